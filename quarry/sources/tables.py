@@ -52,9 +52,10 @@ class Tables:
         """Directed edges between parts of consecutive lines of an order.
 
         The window is partitioned by order, so one shuffle on l_orderkey;
-        duplicates are kept (link tables count them)."""
-        w = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
-        li = self.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+        duplicates are kept (link tables count them).  Line numbers repeat
+        within an order, so part and supplier keys break the ties."""
+        w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+        li = self.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
         return (li.select(F.lag("l_partkey").over(w).alias("src"),
                           F.col("l_partkey").alias("dst"))
                 .where(F.col("src").isNotNull()))
@@ -73,7 +74,7 @@ PREFS_SQL = """prefs AS (
 
 PART_EDGES_SQL = """part_edges AS (
   SELECT * FROM (
-    SELECT lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS src,
+    SELECT lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS src,
            l_partkey AS dst
     FROM lineitem) e
   WHERE src IS NOT NULL)"""
@@ -81,5 +82,5 @@ PART_EDGES_SQL = """part_edges AS (
 DOC_TOKENS_SQL = r"""doc_tokens AS (
   SELECT doc_id, unnest(ws) AS word, unnest(range(0, len(ws))) AS pos
   FROM (SELECT doc_id,
-               list_filter(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), x -> x <> '') AS ws
+               list_filter(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), lambda x: x <> '') AS ws
         FROM documents) d)"""
