@@ -209,3 +209,43 @@ def entry_features(title, summary, publisher) -> Column:
     upper_flag = F.when((F.size(sw) > 0) & (n_upper / F.size(sw) > 0.3),
                         F.array(F.lit("UPPERCASE"))).otherwise(F.array().cast("array<string>"))
     return F.array_union(feats, upper_flag)
+
+
+# The English stop-word list of the reference's text toolkit
+# (127 words, in its order).
+ENGLISH_STOP_WORDS = """i me my myself we our ours ourselves you your yours yourself yourselves he him
+his himself she her hers herself it its itself they them their theirs themselves what which who whom
+this that these those am is are was were be been being have has had having do does did doing a an the
+and but if or because as until while of at by for with about against between into through during
+before after above below to from up down in out on off over under again further then once here there
+when where why how all any both each few more most other some such no nor not only own same so than
+too very s t can will just don should now""".split()
+
+# Word and punctuation tokens (letters of any script count as word chars).
+TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
+SENTENCE_PATTERN = r"[^.!?\n]+[.!?]*"
+
+
+def lower_ws_tokens(c) -> Column:
+    """lower().split(): lower-case whitespace tokens."""
+    return F.filter(F.split(F.lower(_c(c)), "\\s+"), lambda x: x != F.lit(""))
+
+
+def sentences(c) -> Column:
+    """sentences: runs up to a closing . ! or ? (or a line end), trimmed,
+    keeping only those with a letter or digit."""
+    parts = F.transform(F.regexp_extract_all(_c(c), F.lit(SENTENCE_PATTERN), 0), lambda x: F.trim(x))
+    return F.filter(parts, lambda x: x.rlike("[\\p{L}\\p{N}]"))
+
+
+def tokens(c) -> Column:
+    """word and punctuation tokens of a text."""
+    return F.regexp_extract_all(_c(c), F.lit(TOKEN_PATTERN), 0)
+
+
+def visible_text(c) -> Column:
+    """F8: every text node of a page joined by newlines: tags become line
+    breaks; comment and declaration bodies count as text; entities stay."""
+    s = F.regexp_replace(_c(c), "(?s)<!--(.*?)-->", "\n$1\n")
+    s = F.regexp_replace(s, "<!([^>]*)>", "\n$1\n")
+    return F.regexp_replace(s, "<[^>]*>", "\n")
