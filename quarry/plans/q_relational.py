@@ -177,7 +177,7 @@ def a2(spark, sf):
     return Rel.count_at_least(Tables(spark, sf).part, "p_name", 2)
 
 
-@register("a3_year_month_counts", sql="""SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month,
+@register("a3_year_month_counts", sql="""SELECT year(o_orderdate) AS year, month(o_orderdate) AS month,
 count(*) AS n FROM orders GROUP BY 1, 2 ORDER BY 1, 2""")
 def a3(spark, sf):
     return Rel.year_month_counts(Tables(spark, sf).orders, "o_orderdate")
@@ -264,7 +264,7 @@ def a18(spark, sf):
 
 
 @register("a19_histogram", sql="""WITH r AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders)
-SELECT least(floor((o_totalprice - lo) / (hi - lo) * 10), 9)::INTEGER AS bin, count(*) AS n
+SELECT least(floor((o_totalprice - lo) / (hi - lo) * 10), 9)::BIGINT AS bin, count(*) AS n
 FROM orders, r GROUP BY 1""")
 def a19(spark, sf):
     return Rel.histogram(Tables(spark, sf).orders, "o_totalprice", 10)

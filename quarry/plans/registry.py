@@ -49,3 +49,20 @@ def load_all() -> dict[str, Query]:
         if mod.name.startswith("q_"):
             importlib.import_module(f"quarry.plans.{mod.name}")
     return REGISTRY
+
+
+def normalize_types(df: DataFrame) -> DataFrame:
+    """Widen top-level int/short/byte columns to long and float to double,
+    the types the SQL oracle reports for the same values."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import ByteType, FloatType, IntegerType, ShortType
+
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (IntegerType, ShortType, ByteType)):
+            cols.append(F.col(f.name).cast("long").alias(f.name))
+        elif isinstance(f.dataType, FloatType):
+            cols.append(F.col(f.name).cast("double").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
