@@ -17,11 +17,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.operators.dist import BROADCAST_ROWS, maybe_broadcast
+from quarry.operators.dist import BROADCAST_ROWS
 from quarry.session import cut_lineage
 
 VSMALL = 0.00001
@@ -92,13 +93,15 @@ def query_positions(wl: DataFrame, words: list[str]) -> tuple[DataFrame, int]:
     urls that hold every present word.  Unknown words are dropped (Q7); the
     second value is the number of words kept."""
     spark = wl.sparkSession
-    present = [r.word for r in wl.where(F.col("word").isin(words)).select("word").distinct().collect()]
+    allq = spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "word string")
+    hits = wl.join(F.broadcast(allq), "word").select("urlid", "word", "location").persist(StorageLevel.MEMORY_AND_DISK)
+    present = {r.word for r in hits.select("word").distinct().collect()}
     kept = [w for w in words if w in present]
     if not kept:
         return spark.createDataFrame([], "urlid " + wl.schema["urlid"].dataType.simpleString() +
                                      ", qi int, location int"), 0
     qdf = spark.createDataFrame([(w, i) for i, w in enumerate(kept)], "word string, qi int")
-    qp = wl.join(F.broadcast(qdf), "word").select("urlid", "qi", "location")
+    qp = hits.join(F.broadcast(qdf), "word").select("urlid", "qi", "location")
     full = (qp.groupBy("urlid").agg(F.countDistinct("qi").alias("_k"))
             .where(F.col("_k") == len(kept)).select("urlid"))
     return qp.join(full, "urlid", "left_semi"), len(kept)
@@ -120,8 +123,10 @@ def match_summary(wl: DataFrame, words: list[str]) -> DataFrame:
     per = qp.groupBy("urlid", "qi").agg(F.count(F.lit(1)).alias("c"), F.min("location").alias("m"))
     s = per.groupBy("urlid").agg(F.product("c").cast("long").alias("n_rows"), F.sum("m").alias("loc_sum"))
     if k <= 1:
-        return s.withColumn("min_dist", F.lit(None).cast("long"))
-    return s.join(min_distance(qp, k), "urlid")
+        out = s.withColumn("min_dist", F.lit(None).cast("long"))
+    else:
+        out = s.join(min_distance(qp, k), "urlid")
+    return out.persist(StorageLevel.MEMORY_AND_DISK)   # read by several score normalisations
 
 
 def min_distance(qp: DataFrame, k: int) -> DataFrame:
