@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # iterative operators re-plan on top of their previous round; inferred
+    # constraints would otherwise grow with every round
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -54,13 +58,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder.
+    """Materialise ``df`` as a table in the shared checkpoint folder and read
+    it back.
 
-    Used by iterative operators every few rounds so that a lost executor
-    re-reads the checkpoint instead of replaying every round.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Used by iterative operators every round or few rounds: a lost executor
+    re-reads the written table instead of replaying every round, and the
+    next round plans against a plain scan (no inherited constraints or
+    statistics from the previous plans)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"cut-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
