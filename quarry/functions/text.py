@@ -7,6 +7,7 @@ the same patterns.
 
 from __future__ import annotations
 
+import pandas as pd  # noqa: F401  (resolves the pandas UDF type hints)
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -249,3 +250,36 @@ def visible_text(c) -> Column:
     s = F.regexp_replace(_c(c), "(?s)<!--(.*?)-->", "\n$1\n")
     s = F.regexp_replace(s, "<!([^>]*)>", "\n$1\n")
     return F.regexp_replace(s, "<[^>]*>", "\n")
+
+
+def html_unescape(c) -> Column:
+    """HTML entities to characters, null to ''.  Vectorised pandas UDF
+    over the standard library decoder (Arrow batches, no per-row calls)."""
+    return _unescape_udf(_c(c))
+
+
+def _make_unescape():
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("string")
+    def unescape(s: pd.Series) -> pd.Series:
+        import html
+
+        return s.fillna("").map(html.unescape)
+
+    return unescape
+
+
+class _LazyUdf:
+    """Create the pandas UDF on first use (needs an active session)."""
+
+    def __init__(self, factory):
+        self.factory, self.fn = factory, None
+
+    def __call__(self, *cols):
+        if self.fn is None:
+            self.fn = self.factory()
+        return self.fn(*cols)
+
+
+_unescape_udf = _LazyUdf(_make_unescape)

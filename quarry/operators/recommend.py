@@ -24,14 +24,21 @@ def transpose(prefs: DataFrame) -> DataFrame:
     return prefs.select(F.col("item_id").alias("user_id"), F.col("user_id").alias("item_id"), "rating")
 
 
-def _pair_sums(joined: DataFrame, ka: str, kb: str) -> DataFrame:
-    """Co-rated sums per pair; ``joined`` has columns ka, kb, ra, rb."""
-    return joined.groupBy(ka, kb).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("ra").alias("s1"), F.sum("rb").alias("s2"),
-        F.sum(F.col("ra") * F.col("ra")).alias("q1"), F.sum(F.col("rb") * F.col("rb")).alias("q2"),
-        F.sum(F.col("ra") * F.col("rb")).alias("p"),
-        F.sum(F.pow(F.col("ra") - F.col("rb"), 2)).alias("sq"))
+_SUMS = {
+    "n": lambda: F.count(F.lit(1)),
+    "s1": lambda: F.sum("ra"), "s2": lambda: F.sum("rb"),
+    "q1": lambda: F.sum(F.col("ra") * F.col("ra")), "q2": lambda: F.sum(F.col("rb") * F.col("rb")),
+    "p": lambda: F.sum(F.col("ra") * F.col("rb")),
+    "sq": lambda: F.sum(F.pow(F.col("ra") - F.col("rb"), 2)),
+}
+NEEDS = {"distance": ["n", "sq"], "pearson": ["n", "s1", "s2", "q1", "q2", "p"]}
+
+
+def _pair_sums(joined: DataFrame, ka: str, kb: str, measures: list[str] | None = None) -> DataFrame:
+    """Co-rated sums per pair; ``joined`` has columns ka, kb, ra, rb.  Only
+    the sums a similarity needs are computed (``measures``)."""
+    names = measures or list(_SUMS)
+    return joined.groupBy(ka, kb).agg(*[_SUMS[m]().alias(m) for m in names])
 
 
 def distance_score(sums_prefix: str = "") -> Column:
@@ -73,7 +80,7 @@ def similarity_to_all(prefs: DataFrame, person, similarity="pearson") -> DataFra
     others = prefs.where(F.col("user_id") != F.lit(person)).select(
         F.col("user_id").alias("other"), "item_id", F.col("rating").alias("rb"))
     j = others.join(mine, "item_id").withColumn("_k", F.lit(0))
-    sums = _pair_sums(j, "_k", "other")
+    sums = _pair_sums(j, "_k", "other", NEEDS.get(similarity) if isinstance(similarity, str) else None)
     return sums.select("other", _sim_col(similarity).alias("score"))
 
 
@@ -107,7 +114,8 @@ def user_recommendations(prefs: DataFrame, person, similarity="pearson") -> Data
             .select("item_id", "score"))
 
 
-def item_pair_sums(prefs: DataFrame, heavy_rows: int = 50_000, salts: int = 32) -> DataFrame:
+def item_pair_sums(prefs: DataFrame, heavy_rows: int = 50_000, salts: int = 32,
+                   measures: list[str] | None = None) -> DataFrame:
     """Co-rating sums for every item pair (a < b) that shares a rater.
 
     The self-join is on the rater; raters with more than ``heavy_rows``
@@ -116,7 +124,7 @@ def item_pair_sums(prefs: DataFrame, heavy_rows: int = 50_000, salts: int = 32)
     a = prefs.select("user_id", F.col("item_id").alias("item_a"), F.col("rating").alias("ra"))
     b = prefs.select("user_id", F.col("item_id").alias("item_b"), F.col("rating").alias("rb"))
     j = pair_join(a, b, "user_id", heavy_rows=heavy_rows, salts=salts).where(F.col("item_a") < F.col("item_b"))
-    return _pair_sums(j, "item_a", "item_b")
+    return _pair_sums(j, "item_a", "item_b", measures)
 
 
 def similar_items(prefs: DataFrame, n: int = 10, heavy_rows: int = 50_000) -> DataFrame:
@@ -124,7 +132,7 @@ def similar_items(prefs: DataFrame, n: int = 10, heavy_rows: int = 50_000) -> Da
     similarity, ties by item id descending.  Items that share no rater are
     left out (they would score 0).  Output (item_id, other_item, similarity,
     rank)."""
-    s = item_pair_sums(prefs, heavy_rows).select("item_a", "item_b", distance_score().alias("similarity"))
+    s = item_pair_sums(prefs, heavy_rows, measures=["sq"]).select("item_a", "item_b", distance_score().alias("similarity"))
     both = s.unionByName(s.select(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "similarity"))
     top = top_n_per_key(both, "item_a", [F.desc("similarity"), F.desc("item_b")], n)
     return top.select(F.col("item_a").alias("item_id"), F.col("item_b").alias("other_item"), "similarity", "rank")
