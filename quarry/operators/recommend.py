@@ -133,7 +133,10 @@ def similar_items(prefs: DataFrame, n: int = 10, heavy_rows: int = 50_000) -> Da
     left out (they would score 0).  Output (item_id, other_item, similarity,
     rank)."""
     s = item_pair_sums(prefs, heavy_rows, measures=["sq"]).select("item_a", "item_b", distance_score().alias("similarity"))
-    both = s.unionByName(s.select(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "similarity"))
+    # both directions from one pass over the pair sums (a union would aggregate the pairs twice)
+    both = s.select(F.explode(F.array(
+        F.struct(F.col("item_a").alias("item_a"), F.col("item_b").alias("item_b"), "similarity"),
+        F.struct(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "similarity"))).alias("x")).select("x.*")
     top = top_n_per_key(both, "item_a", [F.desc("similarity"), F.desc("item_b")], n)
     return top.select(F.col("item_a").alias("item_id"), F.col("item_b").alias("other_item"), "similarity", "rank")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+
 from quarry.operators import recommend as R
 from quarry.plans.registry import register
 from quarry.sources.tables import PREFS_SQL, Tables
@@ -81,7 +83,8 @@ ranked AS (SELECT item_a AS item_id, item_b AS other_item, similarity,
 @register("r6_similar_items", sql=f"WITH {_R6_SQL} SELECT * FROM ranked WHERE rank <= {N_SIMILAR}")
 def r6_similar_items(spark, sf):
     """For every item its 10 nearest items (distance similarity)."""
-    return R.similar_items(Tables(spark, sf).prefs(), N_SIMILAR)
+    prefs = Tables(spark, sf).prefs().persist(StorageLevel.MEMORY_AND_DISK)   # read by the size check and both join sides
+    return R.similar_items(prefs, N_SIMILAR)
 
 
 _R7_SQL = f"""WITH {_R6_SQL},
@@ -95,7 +98,7 @@ GROUP BY 1, 2"""
 @register("r7_item_recommendations", sql=_R7_SQL)
 def r7_item_recommendations(spark, sf):
     """Item-based recommendations for every customer (flagship)."""
-    prefs = Tables(spark, sf).prefs()
+    prefs = Tables(spark, sf).prefs().persist(StorageLevel.MEMORY_AND_DISK)   # read four times below
     return R.item_recommendations(prefs, R.similar_items(prefs, N_SIMILAR))
 
 
