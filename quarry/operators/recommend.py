@@ -85,12 +85,12 @@ def similarity_to_all(prefs: DataFrame, person, similarity="pearson") -> DataFra
 
 
 def sim_pair(prefs: DataFrame, person1, person2, similarity="pearson") -> DataFrame:
-    """R1 / R2 for one pair: a one-row frame ``(score)``; 0 with no overlap."""
-    j = co_rated(prefs, person1, person2).withColumn("_a", F.lit(0)).withColumn("_b", F.lit(0))
-    sums = _pair_sums(j, "_a", "_b")
-    one = prefs.sparkSession.range(1).select(F.lit(0).alias("_a"))
-    return one.join(sums, "_a", "left").select(
-        F.when(F.col("n").isNull(), F.lit(0.0)).otherwise(_sim_col(similarity)).alias("score"))
+    """R1 / R2 for one pair: a one-row frame ``(score)``; 0 with no overlap.
+
+    A global aggregate always returns one row, even over no co-rated item."""
+    j = co_rated(prefs, person1, person2)
+    sums = j.agg(*[_SUMS[m]().alias(m) for m in _SUMS])
+    return sums.select(F.when(F.col("n") == 0, F.lit(0.0)).otherwise(_sim_col(similarity)).alias("score"))
 
 
 def top_matches(prefs: DataFrame, person, n: int = 5, similarity="pearson") -> DataFrame:

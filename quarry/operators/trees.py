@@ -84,6 +84,8 @@ def best_splits(rows: DataFrame, features: list[str], label: str, classes: list,
             g = g.select("node", F.lit(idx).alias("col_idx"), F.lit(c).alias("col"),
                          F.lit(None).cast("double").alias("vnum"), F.col("v").cast("string").alias("vstr"), *stat_cols)
         parts.append(g)
+    # node totals joined on the node id; callers pass rows whose node column
+    # is read from a table (``root_rows``), so the key is never a constant
     cand = reduce(lambda a, b: a.unionByName(b), parts).join(node_tot, "node")
     if reg:
         n1, n = F.col("c_n"), F.col("tc_n")
@@ -106,6 +108,13 @@ def best_splits(rows: DataFrame, features: list[str], label: str, classes: list,
     return best.select("node", "col_idx", "col", "vnum", "vstr", "gain", "n")
 
 
+def root_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The training rows at the root (node 1), materialised once so that the
+    node id is data, not a literal the optimiser could fold into a
+    keyless join."""
+    return cut_lineage(df.select(*columns).withColumn("node", F.lit(1).cast("long")))
+
+
 def _results(rows: DataFrame, label: str) -> DataFrame:
     """Leaf results: class counts as a map (label values as strings)."""
     c = rows.groupBy("node", F.col(label).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("v"))
@@ -133,7 +142,7 @@ def build_tree(df: DataFrame, features: list[str], label: str, score: str = "ent
     num = {c: _is_num(df, c) for c in features}
     classes = [] if score == "variance" else sorted(
         r[0] for r in df.select(label).distinct().collect())          # class list: bounded by the label domain
-    rows = df.select(*features, label).withColumn("node", F.lit(1).cast("long"))
+    rows = root_rows(df, [*features, label])
     parts = []
     depth = 0
     while True:
@@ -173,7 +182,17 @@ def classify(tree: DataFrame, df: DataFrame, features: list[str], key: str) -> D
     inner = maybe_broadcast(inner)
     leaves = tree.where(F.col("is_leaf")).select("node", "results")
     depth = tree.agg(F.max("depth")).first()[0] or 0
-    cur = df.select(key, *features).withColumn("node", F.lit(1).cast("long"))
+    root = tree.where((F.col("node") == 1) & ~F.col("is_leaf")).select("col", "vnum", "vstr").first()
+    if root is None:
+        cur = df.select(key, *features).withColumn("node", F.lit(1).cast("long"))
+    else:
+        # the first step uses the root split as literals (every row is at node 1)
+        lit_split = {"col_idx": F.lit(idx[root["col"]]), "vnum": F.lit(root["vnum"]).cast("double"),
+                     "vstr": F.lit(root["vstr"]).cast("string")}
+        cur = df.select(key, *features, *[v.alias(k) for k, v in lit_split.items()])
+        cur = cur.select(key, *features, F.when(_goes_true({}, features, num), F.lit(2)).otherwise(F.lit(3))
+                         .cast("long").alias("node"))
+        depth -= 1
     for _ in range(depth):
         j = cur.join(inner, "node", "left")
         cur = j.select(key, *features, F.when(F.col("col_idx").isNull(), F.col("node"))

@@ -143,11 +143,9 @@ def p14(spark, sf):
 @register("p14_remove_node", sql=f"""WITH {PART_EDGES_SQL}
 SELECT src, dst, count(*) AS n FROM part_edges WHERE src <> 558 AND dst <> 558 GROUP BY 1, 2""")
 def p14r(spark, sf):
-    """Edges (with multiplicity) after removing vertex 558 (anti-join)."""
-    spark_ = spark
-    e = Tables(spark_, sf).part_edges()
-    drop = spark_.range(1).select(F.lit(558).cast("long").alias("v"))
-    e = e.join(drop, e.src == drop.v, "left_anti").join(drop, e.dst == drop.v, "left_anti")
+    """Edges (with multiplicity) after removing vertex 558 and its edges."""
+    e = Tables(spark, sf).part_edges()
+    e = e.where((F.col("src") != 558) & (F.col("dst") != 558))
     return e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -59,7 +59,7 @@ ORDER BY gain DESC, col_idx, vnum NULLS FIRST, vstr NULLS FIRST LIMIT 1"""
 @register("t1_best_split", sql=_t1_sql("entropy"))
 def t1(spark, sf):
     """Best first split of the order-status tree (entropy gain)."""
-    o = _orders(spark, sf).withColumn("node", F.lit(1).cast("long"))
+    o = TR.root_rows(_orders(spark, sf), [*FEATURES, "o_orderstatus"])
     classes = sorted(r[0] for r in o.select("o_orderstatus").distinct().collect())
     return TR.best_splits(o, FEATURES, "o_orderstatus", classes).select("col_idx", "col", "vnum", "vstr", "gain", "n")
 
@@ -67,7 +67,7 @@ def t1(spark, sf):
 @register("t1_best_split_gini", sql=_t1_sql("gini"))
 def t1g(spark, sf):
     """Best first split by Gini impurity."""
-    o = _orders(spark, sf).withColumn("node", F.lit(1).cast("long"))
+    o = TR.root_rows(_orders(spark, sf), [*FEATURES, "o_orderstatus"])
     classes = sorted(r[0] for r in o.select("o_orderstatus").distinct().collect())
     return TR.best_splits(o, FEATURES, "o_orderstatus", classes, "gini").select("col_idx", "col", "vnum", "vstr", "gain", "n")
 
