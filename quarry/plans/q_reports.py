@@ -44,3 +44,15 @@ def a27(spark, sf):
     return v.agg(F.count_if(F.col("w").startswith("http")).alias("url_tokens"),
                  F.count_if((F.length("w") > 15) & ~F.col("w").startswith("http")).alias("long_words"),
                  F.count(F.lit(1)).alias("vocabulary"))
+
+
+@register("h8_title_token_distribution", sql=r"""WITH t AS (
+  SELECT unnest(list_filter(regexp_split_to_array(trim(p_name), '\s+'), lambda x: x <> '')) AS tok FROM part),
+c AS (SELECT upper(substr(trim(tok, ','), 1, 1)) || lower(substr(trim(tok, ','), 2)) AS token FROM t)
+SELECT token, count(*) AS n FROM c GROUP BY token HAVING count(*) > 1 AND length(token) > 2""")
+def h8(spark, sf):
+    """Capitalised title tokens (commas stripped) used more than once and
+    longer than two characters, over part names."""
+    t = Tables(spark, sf).part.select(F.explode(T.title_tokens("p_name")).alias("token"))
+    c = t.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return c.where((F.col("n") > 1) & (F.length("token") > 2))
