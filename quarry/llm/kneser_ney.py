@@ -178,10 +178,10 @@ def score(docs: DataFrame, log_p: DataFrame, broadcast_bytes: int) -> DataFrame:
     schema = "doc_id long, k1 long, k2 long, lang string, n_units long, sum_log_p double"
     out = None
     for langs, shard, shards in _parts(sizes, broadcast_bytes // 16):
-        mine = log_p.where(F.col("lang").isin(langs) & (F.pmod(F.xxhash64("gram"), F.lit(shards)) == shard))
-        table = mine.select("lang", "gram", F.col("log_p").cast("float")).toPandas()  # at most broadcast_bytes
         by_lang = {}
-        for lang, part in table.groupby("lang"):
+        for lang in langs:  # one at a time: keys and values alone come to the driver, broadcast_bytes at most
+            mine = log_p.where((F.col("lang") == lang) & (F.pmod(F.xxhash64("gram"), F.lit(shards)) == shard))
+            part = mine.select("gram", F.col("log_p").cast("float").alias("log_p")).toArrow()
             keys = part["gram"].to_numpy().view(np.uint64)
             order = np.argsort(keys)
             by_lang[lang] = keys[order], part["log_p"].to_numpy()[order]
