@@ -17,6 +17,10 @@ row's key. An empty table packs into nothing.
 
 from __future__ import annotations
 
+import functools
+import os
+import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -27,39 +31,83 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import cut_lineage, hashed_key
 
-#: Chunks whose ids are remembered by a task.
-CACHE = 400_000
+#: Chunks in a generation of a worker's cache.
+CACHE = 500_000
 PIECES = "doc_id long, k1 long, k2 long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 class Encoder:
-    """Ids of whole texts by the ``tokenizers`` library.
+    """Ids of whole texts by the ``tokenizers`` library, as little-endian
+    32-bit words.
 
     The tokenizer drops white space and no token spans it, so a text's ids are
-    those of its white-space separated chunks; chunks seen before come from a
-    cache of bounded size. Only characters that the tokenizer itself counts as
-    white space separate."""
+    those of its white-space separated chunks. Chunks seen before come from a
+    cache of bounded size: two generations, of which the older one goes when
+    the younger is full. Only characters that the tokenizer itself counts as
+    white space separate. New chunks are encoded as they are, but for those
+    made of Latin letters and then ASCII punctuation without an apostrophe:
+    the tokenizer lower-cases the letters, cuts between the two, and hands each
+    part's bytes, spelled by the byte-level alphabet, to its model. The same is
+    done here, so that the many forms of a word share the model's work."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
-        self.cache: dict[str, list[int]] = {}
-
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode_batch_fast
+        self.tokenize = tokenizer.model.tokenize
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        # every byte that two-byte characters are made of, spelled by the alphabet
+        self.spelling = {b: spell(bytes([b]).decode())[0][0] for b in range(0x21, 0x7F)}
+        for c in map(chr, range(0xC0, 0x100)):
+            self.spelling |= dict(zip(c.encode(), spell(c)[0][0], strict=True))
+        self.plain = re.compile(r"([A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        """Ids of letters or of punctuation, lower case."""
+        ids = self.words.get(part)
+        if ids is None:
+            spelled = part.encode().decode("latin-1").translate(self.spelling)
+            x = [t.id for t in self.tokenize(spelled)]
+            ids = self.words[part] = struct.pack(f"<{len(x)}I", *x)
+        return ids
+
+    def _learn(self, new: list[str]) -> None:
+        young, old, plain, odd = self.young, self.old, self.plain, []
+        for c in new:
+            ids = old.get(c)
+            if ids is not None:
+                young[c] = ids
+            elif m := plain(c):
+                letters, rest = m.groups()
+                young[c] = self._part(letters.lower()) + self._part(rest) if rest else self._part(letters.lower())
+            else:
+                odd.append(c)
+        for at in range(0, len(odd), 4096):
+            part = odd[at:at + 4096]
+            for c, e in zip(part, self.encode(part, add_special_tokens=False), strict=True):
+                young[c] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
         chunks = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        cache = self.cache
-        new = list({c for cs in chunks for c in cs if c not in cache})
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            cache.update(zip(part, (e.ids for e in self.encode(part, add_special_tokens=False)), strict=True))
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        if len(self.words) > CACHE:
+            self.words = {}
+        self._learn(list(set().union(*chunks).difference(self.young)))
+        get = self.young.__getitem__
         for cs in chunks:
-            ids: list[int] = []
-            for c in cs:
-                ids += cache[c]
-            yield np.array(ids, dtype="<u4")
+            yield b"".join(map(get, cs))
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One for each file and worker process, whose tasks share its cache."""
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, doc_id: str = "doc_id",
@@ -72,21 +120,19 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1,
                        F.coalesce(F.col(text), F.lit("")).alias("t"))
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        encoder = Encoder(tokenizer)
+        encode, end = encoder(tokenizer), end_id.to_bytes(4, "little")
+        columns = [c.split()[0] for c in PIECES.split(", ")] + ["ids"] * with_ids
         for frame in frames:
             for at in range(0, len(frame), 256):
                 part = frame.iloc[at:at + 256]
                 out = []
                 meta = part[["doc_id", "k1", "k2"]].itertuples(index=False)
-                for (doc, a, b), ids in zip(meta, encoder(part["t"].tolist()), strict=True):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    for s in range(0, len(ids), window):
-                        x = ids[s:s + window]
-                        out.append((doc, a, b, s, len(x), zlib.crc32(x.tobytes()), len(ids), *([x.tolist()] if with_ids else [])))
-                columns = [c.split()[0] for c in PIECES.split(", ")] + ["ids"] * with_ids
+                for (doc, a, b), ids in zip(meta, encode(part["t"].tolist()), strict=True):
+                    ids += end
+                    for s in range(0, len(ids), 4 * window):
+                        x = ids[s:s + 4 * window]
+                        out.append((doc, a, b, s // 4, len(x) // 4, zlib.crc32(x), len(ids) // 4, *([np.frombuffer(x, "<u4").tolist()] if with_ids else [])))
                 yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
     return rows.mapInPandas(run, PIECES + ", ids array<long>" * with_ids)
