@@ -1,10 +1,10 @@
-"""Document and vector classifiers (inventory A17, B1-B16, F28-F30, F34).
+"""Document and vector classifiers (inventory A17, B1-B9, B11, B12, B14, F28-F30, F34).
 
 Training state is two long tables: ``fc(feature, cat, n)`` and
 ``cc(cat, n)``.  The category list is small by nature and is read once on the
 driver; per-category quantities then become columns of a feature table, so
 scoring is one join of item features with that table and one aggregation
-per item (no item x category cross join).  Products of probabilities are
+per item (no item x category cross join, and no column named after a category).  Products of probabilities are
 sums of logarithms, so long documents do not underflow to 0.
 """
 
@@ -20,10 +20,6 @@ from quarry.functions import vectors as V
 WEIGHT, AP = 1.0, 0.5
 
 
-def _cid(cat) -> str:
-    return "c_" + "".join(ch if ch.isalnum() else "_" for ch in str(cat))
-
-
 def train_counts(items: DataFrame, features: str, cat: str, repeat: int = 1) -> tuple[DataFrame, DataFrame]:
     """Documents per (feature, category) and per category.
 
@@ -35,80 +31,81 @@ def train_counts(items: DataFrame, features: str, cat: str, repeat: int = 1) ->
 
 
 def category_list(cc: DataFrame) -> list[tuple]:
-    """(cat, count) pairs, sorted by category (a handful of rows)."""
+    """(cat, count) pairs, sorted by category.  One row per category comes to
+    the driver: a classifier's categories are part of its schema, as pivoted
+    columns are."""
     return sorted(((r["cat"], r["n"]) for r in cc.collect()), key=lambda x: str(x[0]))
 
 
 def feature_table(fc: DataFrame, cats: list[tuple], weight: float = WEIGHT, ap: float = AP) -> DataFrame:
-    """Per feature: counts, fprob (B2), cprob (B6) and both weighted
-    probabilities (B3) for every category, as columns."""
-    names = [c for c, _ in cats]
-    wide = fc.groupBy("feature").pivot("cat", names).agg(F.first("n"))
-    for c, _ in cats:
-        wide = wide.withColumnRenamed(str(c), "n_" + _cid(c))
+    """Per feature: counts ``n_i``, ``fprob_i`` (B2), ``cprob_i`` (B6) and both
+    weighted probabilities ``wnb_i`` and ``wfi_i`` (B3), where i is the
+    category's place in ``cats``: columns never are named after categories."""
+    ids = range(len(cats))
+    counts = [F.sum(F.when(F.col("cat").eqNullSafe(F.lit(c)), F.col("n")).otherwise(0)).alias(f"n_{i}")
+              for i, (c, _) in enumerate(cats)]
+    wide = fc.groupBy("feature").agg(*counts)
+    totals = sum((F.col(f"n_{i}") for i in ids), F.lit(0))
+    fprob = [(F.col(f"n_{i}").cast("double") / F.lit(float(n))) if n else F.lit(0.0) for i, (_, n) in enumerate(cats)]
+    fsum = sum(fprob, F.lit(0.0))
     cols = [F.col("feature")]
-    totals = sum((F.coalesce(F.col("n_" + _cid(c)), F.lit(0)) for c, _ in cats), F.lit(0))
-    fprob = {}
-    for c, n_c in cats:
-        n = F.coalesce(F.col("n_" + _cid(c)), F.lit(0)).cast("double")
-        fprob[c] = (n / F.lit(float(n_c))) if n_c else F.lit(0.0)
-    fsum = sum(fprob.values(), F.lit(0.0))
-    for c, _ in cats:
-        cid = _cid(c)
-        cprob = F.when(fprob[c] == 0, F.lit(0.0)).otherwise(fprob[c] / fsum)
-        cols += [F.coalesce(F.col("n_" + cid), F.lit(0)).alias("n_" + cid),
-                 fprob[c].alias("fprob_" + cid), cprob.alias("cprob_" + cid),
-                 ((F.lit(weight * ap) + totals * fprob[c]) / (F.lit(weight) + totals)).alias("wnb_" + cid),
-                 ((F.lit(weight * ap) + totals * cprob) / (F.lit(weight) + totals)).alias("wfi_" + cid)]
-    cols.append(totals.alias("totals"))
-    return wide.select(*cols)
+    for i in ids:
+        cprob = F.when(fprob[i] == 0, F.lit(0.0)).otherwise(fprob[i] / fsum)
+        cols += [F.col(f"n_{i}"), fprob[i].alias(f"fprob_{i}"), cprob.alias(f"cprob_{i}"),
+                 ((F.lit(weight * ap) + totals * fprob[i]) / (F.lit(weight) + totals)).alias(f"wnb_{i}"),
+                 ((F.lit(weight * ap) + totals * cprob) / (F.lit(weight) + totals)).alias(f"wfi_{i}")]
+    return wide.select(*cols, totals.alias("totals"))
 
 
 def _item_feature_scores(items: DataFrame, key: str, features: str, ft: DataFrame, cats, prefix: str,
                          ap: float = AP) -> DataFrame:
-    """Per item: sum of ln(weighted prob) per category and the feature
-    count.  Unseen features weigh ``ap``."""
-    f = items.select(key, F.explode(F.array_distinct(features)).alias("feature"))
+    """Per item: ``l_i``, the sum of ln(weighted prob) of category i, and the
+    number of features ``nf``.  Unseen features weigh ``ap``; an item without
+    features keeps one empty row, so no join with the items is needed."""
+    distinct = F.array_distinct(features)
+    f = items.select(key, F.coalesce(F.size(distinct), F.lit(0)).alias("nf"), F.explode_outer(distinct).alias("feature"))
     j = f.join(ft, "feature", "left")
-    aggs = [F.sum(F.log(F.coalesce(F.col(f"{prefix}_{_cid(c)}"), F.lit(ap)))).alias("l_" + _cid(c)) for c, _ in cats]
-    aggs.append(F.count(F.lit(1)).alias("nf"))
-    s = j.groupBy(key).agg(*aggs)
-    return items.select(key).join(s, key, "left").select(
-        key, *[F.coalesce("l_" + _cid(c), F.lit(0.0)).alias("l_" + _cid(c)) for c, _ in cats],
-        F.coalesce("nf", F.lit(0)).alias("nf"))
+    part = lambda i: F.log(F.coalesce(F.col(f"{prefix}_{i}"), F.lit(ap)))
+    aggs = [F.sum(F.when(F.col("feature").isNotNull(), part(i)).otherwise(0.0)).alias(f"l_{i}") for i in range(len(cats))]
+    return j.groupBy(key, "nf").agg(*aggs)
 
 
-def _long(df: DataFrame, key: str, cats, col_prefix: str, out: str) -> DataFrame:
-    stack = ", ".join(f"'{c}', `{col_prefix}{_cid(c)}`" for c, _ in cats)
-    return df.selectExpr(key, f"stack({len(cats)}, {stack}) AS (cat, {out})")
+def _long(df: DataFrame, key: str, cats, out: str) -> DataFrame:
+    """One row per (item, category) from the columns p_i."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("cat"), F.col(f"p_{i}").alias(out)) for i, (c, _) in enumerate(cats)])
+    return df.select(key, F.explode(pairs).alias("x")).select(key, "x.cat", f"x.{out}")
+
+
+def _nb_wide(items: DataFrame, key: str, features: str, fc: DataFrame, cats: list[tuple]) -> DataFrame:
+    total = float(sum(n for _, n in cats))
+    s = _item_feature_scores(items, key, features, feature_table(fc, cats), cats, "wnb")
+    return s.select(key, *[(F.col(f"l_{i}") + F.lit(math.log(n / total))).alias(f"p_{i}") for i, (_, n) in enumerate(cats)])
 
 
 def nb_scores(items: DataFrame, key: str, features: str, fc: DataFrame, cc: DataFrame) -> DataFrame:
     """Ln P(cat) + sum ln weightedprob(f, cat) per (item, cat)."""
     cats = category_list(cc)
-    total = float(sum(n for _, n in cats))
-    ft = feature_table(fc, cats)
-    s = _item_feature_scores(items, key, features, ft, cats, "wnb")
-    for c, n in cats:
-        s = s.withColumn("p_" + _cid(c), F.col("l_" + _cid(c)) + F.lit(math.log(n / total)))
-    return _long(s, key, cats, "p_", "logprob")
+    return _long(_nb_wide(items, key, features, fc, cats), key, cats, "logprob")
+
 
+def _by_place(place: Column, values: list) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), place)
 
-def nb_classify(scores: DataFrame, key: str, thresholds: dict | None = None, default=None) -> DataFrame:
+
+def nb_classify(items: DataFrame, key: str, features: str, fc: DataFrame, cc: DataFrame, thresholds: dict | None = None,
+                default=None) -> DataFrame:
     """The best category unless another's probability times the best's
-    threshold exceeds the best's (then ``default``).  Log space."""
-    thresholds = thresholds or {}
-    thr = F.lit(0.0)
-    for c, t in thresholds.items():
-        thr = F.when(F.col("best") == F.lit(c), F.lit(math.log(t))).otherwise(thr)
-    best = scores.groupBy(key).agg(F.max("logprob").alias("mx"))
-    top = (scores.join(best, key).where(F.col("logprob") == F.col("mx"))
-           .groupBy(key).agg(F.min("cat").alias("best"), F.first("mx").alias("mx")))
-    others = scores.join(top, key).where(F.col("cat") != F.col("best"))
-    beaten = (others.where(F.col("logprob") + thr > F.col("mx")).select(key).distinct()
-              .withColumn("_beaten", F.lit(True)))
-    out = top.join(beaten, key, "left")
-    return out.select(key, F.when(F.col("_beaten"), F.lit(default)).otherwise(F.col("best")).alias("category"))
+    threshold exceeds the best's (then ``default``).  Log space; the categories
+    are columns of the item's row, so the decision is a projection."""
+    cats = category_list(cc)
+    wide = _nb_wide(items, key, features, fc, cats)
+    ranked = F.array_max(F.array(*[F.struct(F.col(f"p_{i}").alias("p"), F.lit(-i).alias("i")) for i in range(len(cats))]))
+    wide = wide.select(key, *[f"p_{i}" for i in range(len(cats))], ranked["p"].alias("mx"), (-ranked["i"]).alias("best"))
+    thr = _by_place(F.col("best"), [math.log((thresholds or {}).get(c, 1.0)) for c, _ in cats])
+    beaten = F.lit(False)
+    for i in range(len(cats)):
+        beaten = beaten | ((F.col("best") != i) & (F.col(f"p_{i}") + thr > F.col("mx")))
+    return wide.select(key, F.when(beaten, F.lit(default)).otherwise(_by_place(F.col("best"), [c for c, _ in cats])).alias("category"))
 
 
 def inv_chi2(chi: Column, df: Column) -> Column:
@@ -128,29 +125,28 @@ def inv_chi2(chi: Column, df: Column) -> Column:
     return F.when(m <= 0, F.lit(1.0)).otherwise(F.least(F.exp(total), F.lit(1.0)))
 
 
+def _fisher_wide(items: DataFrame, key: str, features: str, fc: DataFrame, cats: list[tuple]) -> DataFrame:
+    s = _item_feature_scores(items, key, features, feature_table(fc, cats), cats, "wfi")
+    return s.select(key, *[inv_chi2(F.lit(-2.0) * F.col(f"l_{i}"), F.col("nf") * 2).alias(f"p_{i}") for i in range(len(cats))])
+
+
 def fisher_scores(items: DataFrame, key: str, features: str, fc: DataFrame, cc: DataFrame) -> DataFrame:
     """invchi2(-2 sum ln weighted cprob, 2 * features) per (item, cat)."""
     cats = category_list(cc)
-    ft = feature_table(fc, cats)
-    s = _item_feature_scores(items, key, features, ft, cats, "wfi")
-    for c, _ in cats:
-        s = s.withColumn("p_" + _cid(c), inv_chi2(F.lit(-2.0) * F.col("l_" + _cid(c)), F.col("nf") * 2))
-    return _long(s, key, cats, "p_", "prob")
+    return _long(_fisher_wide(items, key, features, fc, cats), key, cats, "prob")
 
 
-def fisher_classify(scores: DataFrame, key: str, minimums: dict | None = None, default=None) -> DataFrame:
+def fisher_classify(items: DataFrame, key: str, features: str, fc: DataFrame, cc: DataFrame, minimums: dict | None = None,
+                    default=None) -> DataFrame:
     """The category with the highest probability above its minimum
     (ties: first category in sort order), else ``default``."""
+    cats = category_list(cc)
     minimums = minimums or {}
-    mn = F.lit(0.0)
-    for c, t in minimums.items():
-        mn = F.when(F.col("cat") == F.lit(c), F.lit(float(t))).otherwise(mn)
-    ok = scores.where((F.col("prob") > mn) & (F.col("prob") > 0))
-    best = ok.groupBy(key).agg(F.max("prob").alias("mx"))
-    pick = (ok.join(best, key).where(F.col("prob") == F.col("mx"))
-            .groupBy(key).agg(F.min("cat").alias("category")))
-    return scores.select(key).distinct().join(pick, key, "left").select(
-        key, F.coalesce(F.col("category"), F.lit(default)).alias("category"))
+    wide = _fisher_wide(items, key, features, fc, cats)
+    above = [F.when((F.col(f"p_{i}") > float(minimums.get(c, 0.0))) & (F.col(f"p_{i}") > 0),
+                    F.struct(F.col(f"p_{i}").alias("p"), F.lit(-i).alias("i"))) for i, (c, _) in enumerate(cats)]
+    best = F.array_max(F.array(*above))
+    return wide.select(key, F.coalesce(_by_place(-best["i"], [c for c, _ in cats]), F.lit(default)).alias("category"))
 
 
 # ---- vector classifiers (B11-B14) -----------------------------------------------
@@ -197,21 +193,6 @@ def kernel_classify(train: DataFrame, vec: str, label: str, queries: list[tuple]
     return out.select("query_id", "y", F.when(F.col("y") > 0, F.lit(0)).otherwise(F.lit(1)).alias("predicted"))
 
 
-def kernel_offset(train: DataFrame, vec: str, label: str, gamma: float = 10.0, max_rows: int = 20_000) -> float:
-    """Mean RBF within class 1 minus mean RBF within class 0, self
-    pairs included.  Exact, so quadratic in the class sizes: refused above
-    ``max_rows`` training rows rather than sampled."""
-    n = train.count()
-    if n > max_rows:
-        raise ValueError(f"kernel_offset is exact and quadratic; {n} rows exceed max_rows={max_rows}")
-    a = train.select(F.col(label).alias("la"), F.col(vec).alias("va"))
-    b = train.select(F.col(label).alias("lb"), F.col(vec).alias("vb"))
-    s = (a.join(b, a.la == b.lb).groupBy("la")
-         .agg(F.sum(V.rbf("va", "vb", gamma)).alias("s"), F.count(F.lit(1)).alias("n")))
-    d = {r["la"]: r["s"] / r["n"] for r in s.collect()}
-    return d.get(1, 0.0) - d.get(0, 0.0)
-
-
 def min_max_scale(df: DataFrame, vec: str, lows: list, highs: list) -> Column:
     """(x - low) / (high - low) per dimension; a constant dimension
     scales to 0 (the reference divides by zero)."""

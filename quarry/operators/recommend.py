@@ -114,20 +114,19 @@ def user_recommendations(prefs: DataFrame, person, similarity="pearson") -> Data
             .select("item_id", "score"))
 
 
-def item_pair_sums(prefs: DataFrame, heavy_rows: int = 50_000, salts: int = 32,
-                   measures: list[str] | None = None) -> DataFrame:
+def item_pair_sums(prefs: DataFrame, heavy_rows: int = 4_000, measures: list[str] | None = None) -> DataFrame:
     """Co-rating sums for every item pair (a < b) that shares a rater.
 
     The self-join is on the rater; raters with more than ``heavy_rows``
-    ratings are salted (``pair_join``).  Only a < b is built; the caller
+    ratings are dealt into a grid of tasks (``pair_join``).  Only a < b is built; the caller
     mirrors.  Output: item_a, item_b and the sums n s1 s2 q1 q2 p sq."""
     a = prefs.select("user_id", F.col("item_id").alias("item_a"), F.col("rating").alias("ra"))
     b = prefs.select("user_id", F.col("item_id").alias("item_b"), F.col("rating").alias("rb"))
-    j = pair_join(a, b, "user_id", heavy_rows=heavy_rows, salts=salts).where(F.col("item_a") < F.col("item_b"))
+    j = pair_join(a, b, "user_id", heavy_rows=heavy_rows).where(F.col("item_a") < F.col("item_b"))
     return _pair_sums(j, "item_a", "item_b", measures)
 
 
-def similar_items(prefs: DataFrame, n: int = 10, heavy_rows: int = 50_000) -> DataFrame:
+def similar_items(prefs: DataFrame, n: int = 10, heavy_rows: int = 4_000) -> DataFrame:
     """For each item the ``n`` most similar items by distance
     similarity, ties by item id descending.  Items that share no rater are
     left out (they would score 0).  Output (item_id, other_item, similarity,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType
 
 from quarry.functions import text as T
+from quarry.session import cut_lineage
 
 
 def _c(c) -> Column:
@@ -213,12 +214,14 @@ def words_common_to_group(df: DataFrame, group: str, doc: str, tokens_col: str)
 
 # ---- windows (W) ----------------------------------------------------------------
 
-def adjacent_pairs(tokens: DataFrame, key: str, pos: str = "pos", word: str = "word") -> DataFrame:
-    """(key, pos, w1, w2) of adjacent words."""
-    w = Window.partitionBy(key).orderBy(pos)
-    return (tokens.withColumn("w2", F.lead(word).over(w))
-            .where(F.col("w2").isNotNull())
-            .select(key, pos, F.col(word).alias("w1"), "w2"))
+def adjacent_pairs(docs: DataFrame, key: str, words: Column) -> DataFrame:
+    """(key, pos, w1, w2) of adjacent words of the array ``words``;
+    pairs are made inside the row, no word is shuffled."""
+    w = F.col("_w")
+    t = docs.select(key, words.alias("_w"))   # materialised once; the lambda must not split the text again
+    pairs = F.transform(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))),
+                        lambda x, i: F.struct(i.alias("pos"), x.alias("w1"), F.get(w, i + 1).alias("w2")))
+    return t.select(key, F.explode(pairs).alias("p")).select(key, "p.pos", "p.w1", "p.w2")
 
 
 def islands(df: DataFrame, key: list, order: str, gap: int) -> DataFrame:
@@ -240,9 +243,18 @@ def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rank") -> Data
     """1-based position of each row in a total order, computed distributed.
 
     A window without partition keys would move every row into one task;
-    instead the frame is range-sorted over all partitions and numbered with
-    ``zipWithIndex`` (one small job counts the rows per partition)."""
-    ordered = df.orderBy(*order_cols)
-    schema = ordered.schema.add(rank_col, "long")
-    rdd = ordered.rdd.zipWithIndex().map(lambda ri: tuple(ri[0]) + (ri[1] + 1,))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    instead the rows are range-partitioned, sorted and written with their place
+    in their partition, and each partition's first rank (one number per
+    partition) is added."""
+    ordered = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    # monotonically_increasing_id: partition in the high bits, place in the low 33
+    placed = cut_lineage(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33).cast("int")
+    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    first, at = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        first.append(at)
+        at += sizes.get(p, 0)
+    base = F.get(F.array(*[F.lit(x).cast("long") for x in first]), part) if first else F.lit(0)
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn(rank_col, base + place + 1).drop("_id")

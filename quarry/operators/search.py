@@ -7,7 +7,7 @@ needs no sequential id service.
 
 Scoring never materialises the per-url combinations of query-word
 positions (the reference's match rows, J1): the frequency score is the
-product of per-word counts, the location score the sum of per-word minimum
+product of per-word counts (a sum of logarithms), the location score the sum of per-word minimum
 positions, and the distance score a dynamic programme over consecutive
 query words evaluated with window functions.  ``match_rows`` still builds the
 literal combination table for callers that want it on small inputs.
@@ -17,39 +17,80 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.operators.dist import BROADCAST_ROWS
 from quarry.session import cut_lineage
 
 VSMALL = 0.00001
-ANCHOR = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
+# href in double quotes, single quotes or none, with or without space around "="
+ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
 
 
 # ---- index (RK1, RK2) ------------------------------------------------------------
 
-def word_locations(docs: DataFrame, key: str, text: Column) -> DataFrame:
+def word_locations(docs: DataFrame, key: str, text: Column, only: list[str] | None = None) -> DataFrame:
     """RK1: (urlid, word, location); ignored words are dropped but still
-    advance the location (W1)."""
+    advance the location (W1).  With ``only``, the rows of these words alone:
+    they are picked inside the text's array, so no other word leaves it."""
     stop = F.array(*[F.lit(w) for w in T.INDEX_STOP_WORDS])
-    t = docs.select(F.col(key).alias("urlid"), F.posexplode(T.words(text)).alias("location", "word"))
+    if only is not None:
+        places = F.transform(T.words(text), lambda w, i: F.struct(w.alias("word"), i.alias("location")))
+        t = docs.select(F.col(key).alias("urlid"), F.explode(F.filter(places, lambda p: p["word"].isin(only))).alias("p"))
+        t = t.select("urlid", "p.location", "p.word")
+    else:
+        t = docs.select(F.col(key).alias("urlid"), F.posexplode(T.words(text)).alias("location", "word"))
     return t.where(~F.array_contains(stop, F.col("word"))).select("urlid", "word", "location")
 
 
-def resolve_url(base: Column, href: Column) -> Column:
-    """join a link with its page URL and drop the fragment.
+def _url_parts(u: Column) -> dict[str, Column]:
+    """Scheme, authority, path and query of a URI reference (RFC 3986, appendix
+    B); scheme, authority and query are null where they are not given."""
+    parts = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
+    given = {"scheme": r"(?s)^[a-zA-Z][a-zA-Z0-9+.-]*:", "authority": r"(?s)^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//",
+             "query": r"(?s)^[^#?]*\?"}
+    out = {}
+    for i, name in enumerate(("scheme", "authority", "path", "query"), 1):
+        part = F.regexp_extract(u, parts, i)
+        out[name] = F.when(u.rlike(given[name]), part) if name in given else part
+    return out
+
+
+def _remove_dots(path: Column) -> Column:
+    """``.`` and ``..`` segments resolved (RFC 3986, 5.2.4)."""
+    segments = F.split(path, "/")
+    none = F.array().cast("array<string>")
 
-    Absolute links are kept, root-relative ones get the scheme and host of
-    the page, other relative ones the page's directory."""
-    origin = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    directory = F.regexp_extract(base, r"^([^?#]*/)", 1)
-    full = (F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
-            .when(href.startswith("/"), F.concat(origin, href))
-            .otherwise(F.concat(directory, href)))
-    return F.split_part(full, F.lit("#"), F.lit(1))
+    def step(kept, s):
+        # the empty segment before the first slash stays
+        up = F.when(F.size(kept) > 1, F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(
+            F.when(F.get(kept, F.lit(0)) == "", kept).otherwise(none))
+        return F.when(s == ".", kept).when(s == "..", up).otherwise(F.concat(kept, F.array(s)))
+
+    kept = F.aggregate(segments, none, step)
+    last = F.element_at(segments, -1)
+    return F.concat(F.array_join(kept, "/"), F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise(""))
+
+
+def resolve_url(base: Column, href: Column) -> Column:
+    """a link joined with its page's URL by the rules of RFC 3986, 5.2,
+    without the fragment."""
+    b, r = _url_parts(base), _url_parts(F.trim(href))
+    directory = F.regexp_extract(b["path"], r"(?s)^(.*/)", 1)
+    merged = F.when(b["authority"].isNotNull() & (b["path"] == ""), F.concat(F.lit("/"), r["path"])).otherwise(
+        F.concat(directory, r["path"]))
+    dotted = F.when(r["path"].startswith("/"), r["path"]).otherwise(merged)
+    own = r["scheme"].isNotNull() | r["authority"].isNotNull()
+    empty = r["path"] == ""
+    path = F.when(own, F.when(r["path"].startswith("/"), _remove_dots(r["path"])).otherwise(r["path"])).when(
+        empty, b["path"]).otherwise(_remove_dots(dotted))
+    query = F.when(own | ~empty | r["query"].isNotNull(), r["query"]).otherwise(b["query"])
+    scheme = F.when(r["scheme"].isNotNull(), r["scheme"]).otherwise(b["scheme"])
+    authority = F.when(own, r["authority"]).otherwise(b["authority"])
+    blank = F.lit("")
+    return F.concat(F.coalesce(F.concat(scheme, F.lit(":")), blank), F.coalesce(F.concat(F.lit("//"), authority), blank),
+                    path, F.coalesce(F.concat(F.lit("?"), query), blank))
 
 
 def page_links(pages: DataFrame, key: str = "url", html: str = "html") -> tuple[DataFrame, DataFrame]:
@@ -58,12 +99,12 @@ def page_links(pages: DataFrame, key: str = "url", html: str = "html") -> tuple[
     Returns ``link(linkid, fromid, toid)`` without self-links (duplicates
     kept) and ``linkwords(linkid, word)`` without ignored words.  Links whose
     resolved URL holds a quote are skipped."""
-    a = pages.select(F.col(key).alias("fromid"),
-                     F.regexp_extract_all(html, F.lit(ANCHOR), 1).alias("h"),
-                     F.regexp_extract_all(html, F.lit(ANCHOR), 2).alias("t"))
-    a = a.select("fromid", F.posexplode(F.arrays_zip("h", "t")).alias("seq", "ht"))
-    a = a.select("fromid", "seq", resolve_url(F.col("fromid"), F.col("ht.h")).alias("toid"),
-                 F.col("ht.t").alias("anchor"))
+    groups = [F.regexp_extract_all(html, F.lit(ANCHOR), i).alias(f"g{i}") for i in (1, 2, 3, 4)]
+    a = pages.select(F.col(key).alias("fromid"), *groups)
+    a = a.select("fromid", F.posexplode(F.arrays_zip("g1", "g2", "g3", "g4")).alias("seq", "g"))
+    href = F.concat(*[F.coalesce(F.col(f"g.g{i}"), F.lit("")) for i in (1, 2, 3)])
+    a = a.select("fromid", "seq", href.alias("href"), F.col("g.g4").alias("anchor"))
+    a = a.select("fromid", "seq", resolve_url(F.col("fromid"), F.col("href")).alias("toid"), "anchor")
     a = a.where(~F.col("toid").contains("'") & (F.col("toid") != F.col("fromid")))
     a = a.withColumn("linkid", F.concat_ws("#", F.col("fromid"), F.col("seq").cast("string")))
     link = a.select("linkid", "fromid", "toid")
@@ -93,15 +134,18 @@ def query_positions(wl: DataFrame, words: list[str]) -> tuple[DataFrame, int]:
     urls that hold every present word.  Unknown words are dropped (Q7); the
     second value is the number of words kept."""
     spark = wl.sparkSession
-    allq = spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "word string")
-    hits = wl.join(F.broadcast(allq), "word").select("urlid", "word", "location").persist(StorageLevel.MEMORY_AND_DISK)
+    empty = spark.createDataFrame([], "urlid " + wl.schema["urlid"].dataType.simpleString() + ", qi int, location int")
+    if not words:
+        return empty, 0
+    hits = cut_lineage(wl.where(F.col("word").isin(words)).select("urlid", "word", "location"))
     present = {r.word for r in hits.select("word").distinct().collect()}
     kept = [w for w in words if w in present]
     if not kept:
-        return spark.createDataFrame([], "urlid " + wl.schema["urlid"].dataType.simpleString() +
-                                     ", qi int, location int"), 0
-    qdf = spark.createDataFrame([(w, i) for i, w in enumerate(kept)], "word string, qi int")
-    qp = hits.join(F.broadcast(qdf), "word").select("urlid", "qi", "location")
+        return empty, 0
+    # a word asked for twice stands for two query positions
+    at = F.filter(F.array(*[F.struct(F.lit(w).alias("w"), F.lit(i).alias("i")) for i, w in enumerate(kept)]),
+                  lambda x: x["w"] == F.col("word"))
+    qp = hits.select("urlid", F.explode(at).alias("q"), "location").select("urlid", F.col("q.i").alias("qi"), "location")
     full = (qp.groupBy("urlid").agg(F.countDistinct("qi").alias("_k"))
             .where(F.col("_k") == len(kept)).select("urlid"))
     return qp.join(full, "urlid", "left_semi"), len(kept)
@@ -117,16 +161,17 @@ def match_rows(wl: DataFrame, words: list[str]) -> DataFrame:
 
 
 def match_summary(wl: DataFrame, words: list[str]) -> DataFrame:
-    """RK4 / RK6-RK8 raw values per url: number of match rows, best
-    position sum and best word distance, without building the rows."""
+    """RK4 / RK6-RK8 raw values per url: the logarithm of the number of match
+    rows (the number itself outgrows every type on long texts), best position
+    sum and best word distance, without building the rows."""
     qp, k = query_positions(wl, words)
     per = qp.groupBy("urlid", "qi").agg(F.count(F.lit(1)).alias("c"), F.min("location").alias("m"))
-    s = per.groupBy("urlid").agg(F.product("c").cast("long").alias("n_rows"), F.sum("m").alias("loc_sum"))
+    s = per.groupBy("urlid").agg(F.sum(F.log("c")).alias("log_rows"), F.sum("m").alias("loc_sum"))
     if k <= 1:
         out = s.withColumn("min_dist", F.lit(None).cast("long"))
     else:
         out = s.join(min_distance(qp, k), "urlid")
-    return out.persist(StorageLevel.MEMORY_AND_DISK)   # read by several score normalisations
+    return cut_lineage(out)   # a row per matching url, read by several score normalisations
 
 
 def min_distance(qp: DataFrame, k: int) -> DataFrame:
@@ -173,8 +218,9 @@ def normalize(df: DataFrame, col: str, small_is_better: bool = False) -> DataFra
 
 
 def frequency_score(summary: DataFrame) -> DataFrame:
-    """RK6: number of match rows, max-normalised."""
-    return normalize(summary, "n_rows")
+    """RK6: number of match rows, max-normalised, from its logarithm."""
+    hi = _scalar(summary, F.max("log_rows"))
+    return summary.select("urlid", F.exp(F.col("log_rows") - F.lit(float(hi or 0.0))).alias("score"))
 
 
 def location_score(summary: DataFrame) -> DataFrame:
@@ -201,25 +247,25 @@ def pagerank(link: DataFrame, urls: DataFrame, rounds: int = 20, damping: float
     """RK3: 0.15 + 0.85 * sum over distinct linkers of pr(linker) / out-links
     (out-links counted with duplicates), starting at 1.0.
 
-    Each round uses the previous round's values (Q21).  The weighted edge
-    table is checkpointed once; the rank vector is broadcast when its row
-    count is under the broadcast limit, so edges never shuffle, and a
-    reliable checkpoint cuts the lineage every few rounds."""
+    Each round uses the previous round's values (Q21).  The weighted edges are
+    dealt out by their source once and kept so; a round is one join on that
+    dealing and one aggregation by target, to which every node adds a zero, so
+    that nodes without linkers need no join of their own.  Ranks never leave
+    the executors; every few rounds, and at the end, they are written."""
     outdeg = link.groupBy(F.col("fromid").alias("src")).agg(F.count(F.lit(1)).alias("c"))
     w = (link.select(F.col("fromid").alias("src"), F.col("toid").alias("dst")).distinct()
          .join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("c")).alias("w")))
-    w = cut_lineage(w)
+    edges = cut_lineage(w).repartition("src").persist()
     nodes = cut_lineage(urls.select(F.col("urlid").alias("id")))
-    small = nodes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     pr = nodes.select("id", F.lit(1.0).alias("score"))
     for i in range(rounds):
-        side = F.broadcast(pr) if small else pr
-        contrib = (w.join(side.withColumnRenamed("id", "src"), "src")
-                   .groupBy("dst").agg(F.sum(F.col("score") * F.col("w")).alias("s")))
-        pr = (nodes.join(contrib, nodes.id == contrib.dst, "left")
-              .select("id", (F.lit(1.0 - damping) + F.lit(damping) * F.coalesce("s", F.lit(0.0))).alias("score")))
-        if (i + 1) % checkpoint_every == 0 and i + 1 < rounds:
+        given = edges.join(pr, edges["src"] == pr["id"]).select(F.col("dst").alias("id"), (F.col("score") * F.col("w")).alias("s"))
+        own = nodes.select("id", F.lit(0.0).alias("s"))
+        pr = (given.union(own).groupBy("id").agg(F.sum("s").alias("s"))
+              .select("id", (F.lit(1.0 - damping) + F.lit(damping) * F.col("s")).alias("score")))
+        if (i + 1) % checkpoint_every == 0 or i + 1 == rounds:
             pr = cut_lineage(pr)
+    edges.unpersist()
     return pr.withColumnRenamed("id", "urlid")
 
 

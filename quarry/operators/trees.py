@@ -1,17 +1,24 @@
 """Decision and regression trees (inventory T1-T7, A11-A14, P9).
 
-The tree is a node table ``(node, depth, col, vnum, vstr, is_leaf, results,
-n)``; node ids follow heap numbering (root 1, true child 2n, false child
-2n+1).  Building is level-wise: one pass per level scores every candidate
-split of every open node at once and moves each row to its child, so the
-number of Spark jobs grows with the depth, not with the number of nodes.
+The tree is a node table ``(node, depth, col, vnum, vstr, is_leaf, results, n,
+mean, var)``.  A node is named by its path from the root, ``r``, then ``T`` or
+``F`` for each step to a true or false child, so the depth has no limit.
+Building is level-wise: one pass per level scores every candidate split of
+every open node at once and moves each row to its child, so the number of Spark
+jobs grows with the depth, not with the number of nodes.
 
 Candidate splits are all values of every feature in the node, as in the
 reference: numeric features split on ``>=`` (true side), others on ``=``.
-Label counts per candidate come from one aggregation per (node, feature,
-value) with the classes pivoted into columns; numeric ``>=`` counts are suffix
-sums over the sorted distinct values.  Ties between equal gains go to the
-lower feature index, then the lower value.
+All features of a row are stacked and counted in one aggregation.  Impurities
+come from sums over classes (of ``c log c`` or ``c^2``) that change with each
+value only by the classes it holds, so no class list is needed and both sides
+of a numeric split are running sums.  These are taken over ranges of values, a
+range a task, with one number per range added, so a node that holds all rows is
+not one task.  Ties between gains equal to 9 decimals go to the lower feature
+index, then the lower value.
+
+A leaf keeps its class counts, or for a variance tree the mean and variance of
+its targets.
 """
 
 from __future__ import annotations
@@ -22,183 +29,242 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from quarry.operators.dist import maybe_broadcast
 from quarry.session import cut_lineage
 
-GAIN_DIGITS = 9
-MAX_DEPTH = 60          # heap ids are longs: 2^62 is the last safe level
+TIE_DIGITS = 9
+NOISE = 1e-12           # a gain below this is rounding of a zero gain
+ROOT = "r"
+CANDIDATE = ["node", "col_idx", "vnum", "vstr"]
 
 
 def _is_num(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, NumericType)
 
 
-def _score(counts: list[Column], n: Column, score: str, s1: Column | None = None, s2: Column | None = None) -> Column:
-    """Impurity of a set from its class counts (entropy, gini) or from its
-    target moments (variance: s1 = sum y, s2 = sum y^2)."""
-    if score == "variance":
-        mean = s1 / n
-        return F.when(n > 0, s2 / n - mean * mean).otherwise(F.lit(0.0))
-    total = None
-    for c in counts:
-        p = c / n
-        if score == "entropy":
-            term = F.when(c > 0, -p * F.log2(p)).otherwise(F.lit(0.0))
-        else:  # gini: sum_{i != j} p_i p_j = 1 - sum p^2
-            term = p * p
-        total = term if total is None else total + term
-    if score == "gini":
-        total = F.lit(1.0) - total
-    return F.when(n > 0, total).otherwise(F.lit(0.0))
-
-
-def best_splits(rows: DataFrame, features: list[str], label: str, classes: list, score: str = "entropy") -> DataFrame:
+def _stacked(rows: DataFrame, features: list[str], keep: str) -> DataFrame:
+    """One row per (row, feature) with a value: node, col_idx, vnum or vstr."""
+    cells = []
+    for i, c in enumerate(features):
+        num = _is_num(rows, c)
+        cells.append(F.struct(F.lit(i).alias("col_idx"),
+                              (F.col(c) if num else F.lit(None)).cast("double").alias("vnum"),
+                              (F.lit(None) if num else F.col(c)).cast("string").alias("vstr")))
+    out = rows.select("node", keep, F.explode(F.array(*cells)).alias("x")).select("node", keep, "x.*")
+    return out.where(F.col("vnum").isNotNull() | F.col("vstr").isNotNull())
+
+
+def running_sums(df: DataFrame, keys: list[str], order: str, sums: list[str]) -> DataFrame:
+    """``df`` with ``run_<s>``: per key the sum of s over all rows with the
+    same or a larger ``order``.  (keys, order) must be unique.
+
+    Rows are dealt into ranges of (keys, order); each range is summed by
+    itself, and what lies before it is a sum over ranges."""
+    dealt = df.repartitionByRange(*keys, F.desc(order)).withColumn("_b", F.spark_partition_id())
+    placed = cut_lineage(dealt)
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    base = (placed.groupBy(*keys, "_b").agg(*[F.sum(s).alias(s) for s in sums])
+            .select(*keys, "_b", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_base_{s}") for s in sums]))
+    within = Window.partitionBy(*keys, "_b").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    return (placed.join(base, [*keys, "_b"])
+            .select(*df.columns, *[(F.sum(s).over(within) + F.col(f"_base_{s}")).alias(f"run_{s}") for s in sums]))
+
+
+def _term(score: str, x: Column) -> Column:
+    """What a class of x rows adds: x log2 x (entropy) or x^2 (gini)."""
+    x = x.cast("double")
+    return F.when(x > 0, x * F.log2(x)).otherwise(F.lit(0.0)) if score == "entropy" else x * x
+
+
+def _impurity(score: str, n: Column, s: Column) -> Column:
+    """Impurity of n rows whose classes' terms sum to s."""
+    n = n.cast("double")
+    return F.when(n > 0, F.log2(n) - s / n if score == "entropy" else F.lit(1.0) - s / (n * n)).otherwise(F.lit(0.0))
+
+
+def _class_candidates(rows: DataFrame, features: list[str], label: str, score: str) -> DataFrame:
+    """(candidate, n1, h1, n, h, h2): sizes and impurities of both sides."""
+    rows = rows.withColumn("k", F.col(label).cast("string"))
+    totals = cut_lineage(rows.groupBy("node", "k").agg(F.count(F.lit(1)).alias("t")))
+    nodes = totals.groupBy("node").agg(F.sum("t").alias("n"), F.sum(_term(score, F.col("t"))).alias("ft"))
+    cnt = _stacked(rows, features, "k").groupBy(*CANDIDATE, "k").agg(F.count(F.lit(1)).alias("c"))
+    cnt = cut_lineage(_with_totals(cnt, totals))
+    c, t = F.col("c"), F.col("t")
+    eq = (cnt.where("vstr IS NOT NULL").groupBy(*CANDIDATE)
+          .agg(F.sum("c").alias("n1"), F.sum(_term(score, c)).alias("s1"), F.sum(_term(score, t - c) - _term(score, t)).alias("d2")))
+    per_class = running_sums(cnt.where("vnum IS NOT NULL").drop("vstr"), ["node", "col_idx", "k"], "vnum", ["c"])
+    run = F.col("run_c")
+    steps = (per_class.groupBy("node", "col_idx", "vnum")
+             .agg(F.sum("c").alias("n1"), F.sum(_term(score, run) - _term(score, run - c)).alias("s1"),
+                  F.sum(_term(score, t - run) - _term(score, t - run + c)).alias("d2")))
+    ge = running_sums(steps, ["node", "col_idx"], "vnum", ["n1", "s1", "d2"]).select(
+        "node", "col_idx", "vnum", F.lit(None).cast("string").alias("vstr"), F.col("run_n1").alias("n1"),
+        F.col("run_s1").alias("s1"), F.col("run_d2").alias("d2"))
+    cand = eq.unionByName(ge).join(nodes, "node")
+    n, n1 = F.col("n"), F.col("n1")
+    return cand.select(*CANDIDATE, "n", "n1", _impurity(score, n, F.col("ft")).alias("h"), _impurity(score, n1, F.col("s1")).alias("h1"),
+                       _impurity(score, n - n1, F.col("ft") + F.col("d2")).alias("h2"))
+
+
+def _with_totals(cnt: DataFrame, totals: DataFrame) -> DataFrame:
+    """Class counts with the class's total in the node; a null label is a
+    class like any other."""
+    key = lambda: F.coalesce(F.concat(F.lit("="), F.col("k")), F.lit(""))
+    return (cnt.withColumn("k", key()).join(totals.withColumn("k", key()), ["node", "k"]))
+
+
+def _moment_candidates(rows: DataFrame, features: list[str], label: str) -> DataFrame:
+    """The same for variance: counts, sums and sums of squares of the target."""
+    rows = rows.withColumn("y", F.col(label).cast("double"))
+    y = F.col("y")
+    moments = [F.count(F.lit(1)).alias("n1"), F.sum(y).alias("s1"), F.sum(y * y).alias("q1")]
+    nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q"))
+    cnt = cut_lineage(_stacked(rows, features, "y").groupBy(*CANDIDATE).agg(*moments))
+    ge = running_sums(cnt.where("vnum IS NOT NULL").drop("vstr"), ["node", "col_idx"], "vnum", ["n1", "s1", "q1"])
+    ge = ge.select("node", "col_idx", "vnum", F.lit(None).cast("string").alias("vstr"),
+                   *[F.col(f"run_{c}").alias(c) for c in ("n1", "s1", "q1")])
+    cand = cnt.where("vstr IS NOT NULL").unionByName(ge).join(nodes, "node")
+
+    def var(n: Column, s: Column, q: Column) -> Column:
+        return F.when(n > 0, F.greatest(q / n - (s / n) * (s / n), F.lit(0.0))).otherwise(F.lit(0.0))
+
+    n, s, q, n1, s1, q1 = (F.col(c) for c in ("n", "s", "q", "n1", "s1", "q1"))
+    return cand.select(*CANDIDATE, "n", "n1", var(n, s, q).alias("h"), var(n1, s1, q1).alias("h1"),
+                       var(n - n1, s - s1, q - q1).alias("h2"))
+
+
+def best_splits(rows: DataFrame, features: list[str], label: str, score: str = "entropy") -> DataFrame:
     """The best split of every node of ``rows`` (columns node + features
     + label).  Output (node, col_idx, col, vnum, vstr, gain, n); only splits
-    with gain > 0 and both sides non-empty."""
-    num = {c: _is_num(rows, c) for c in features}
-    reg = score == "variance"
-    if reg:
-        stat_cols = ["c_n", "c_s1", "c_s2"]
-
-        def stats(df):
-            y = F.col(label).cast("double")
-            return [F.count(F.lit(1)).alias("c_n"), F.sum(y).alias("c_s1"), F.sum(y * y).alias("c_s2")]
-    else:
-        stat_cols = [f"c_{i}" for i in range(len(classes))]
-
-        def stats(df):
-            return [F.count_if(F.col(label) == F.lit(k)).alias(f"c_{i}") for i, k in enumerate(classes)]
-
-    node_tot = rows.groupBy("node").agg(*stats(rows))
-    node_tot = node_tot.select("node", *[F.col(c).alias("t" + c) for c in stat_cols])
-    parts = []
-    for idx, c in enumerate(features):
-        g = rows.groupBy("node", F.col(c).alias("v")).agg(*stats(rows)).where(F.col("v").isNotNull())
-        if num[c]:
-            w = Window.partitionBy("node").orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, 0)
-            g = g.select("node", "v", *[F.sum(s).over(w).alias(s) for s in stat_cols])
-            g = g.select("node", F.lit(idx).alias("col_idx"), F.lit(c).alias("col"),
-                         F.col("v").cast("double").alias("vnum"), F.lit(None).cast("string").alias("vstr"), *stat_cols)
-        else:
-            g = g.select("node", F.lit(idx).alias("col_idx"), F.lit(c).alias("col"),
-                         F.lit(None).cast("double").alias("vnum"), F.col("v").cast("string").alias("vstr"), *stat_cols)
-        parts.append(g)
-    # node totals joined on the node id; callers pass rows whose node column
-    # is read from a table (``root_rows``), so the key is never a constant
-    cand = reduce(lambda a, b: a.unionByName(b), parts).join(node_tot, "node")
-    if reg:
-        n1, n = F.col("c_n"), F.col("tc_n")
-        h = _score([], n, score, F.col("tc_s1"), F.col("tc_s2"))
-        h1 = _score([], n1, score, F.col("c_s1"), F.col("c_s2"))
-        h2 = _score([], n - n1, score, F.col("tc_s1") - F.col("c_s1"), F.col("tc_s2") - F.col("c_s2"))
+    with a gain and both sides non-empty."""
+    if score == "variance":
+        cand = _moment_candidates(rows, features, label)
     else:
-        n1 = sum((F.col(s) for s in stat_cols), F.lit(0))
-        n = sum((F.col("t" + s) for s in stat_cols), F.lit(0))
-        h = _score([F.col("t" + s) for s in stat_cols], n, score)
-        h1 = _score([F.col(s) for s in stat_cols], n1, score)
-        h2 = _score([F.col("t" + s) - F.col(s) for s in stat_cols], n - n1, score)
-    p = n1 / n
-    gain = F.round(h - p * h1 - (F.lit(1.0) - p) * h2, GAIN_DIGITS)
-    scored = cand.select("node", "col_idx", "col", "vnum", "vstr", gain.alias("gain"), n.alias("n"), n1.alias("n1"))
-    ok = scored.where((F.col("gain") > 0) & (F.col("n1") > 0) & (F.col("n1") < F.col("n")))
-    w = Window.partitionBy("node").orderBy(F.desc("gain"), "col_idx", F.asc_nulls_first("vnum"),
-                                           F.asc_nulls_first("vstr"))
-    best = ok.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
-    return best.select("node", "col_idx", "col", "vnum", "vstr", "gain", "n")
+        cand = _class_candidates(rows, features, label, score)
+    p = F.col("n1") / F.col("n")
+    gain = F.col("h") - p * F.col("h1") - (F.lit(1.0) - p) * F.col("h2")
+    ok = (cand.withColumn("gain", gain)
+          .where((F.col("gain") > NOISE) & (F.col("n1") > 0) & (F.col("n1") < F.col("n"))))
+    # the best of a node by an aggregate (partial first), not by a sort of its candidates
+    rank = F.struct((-F.round("gain", TIE_DIGITS)).alias("g"), "col_idx", F.coalesce("vnum", F.lit(0.0)).alias("v"),
+                    F.coalesce("vstr", F.lit("")).alias("s"))
+    best = ok.groupBy("node").agg(F.min_by(F.struct("col_idx", "vnum", "vstr", "gain", "n"), rank).alias("b"))
+    names = F.array(*[F.lit(c) for c in features])
+    return best.select("node", "b.col_idx", F.get(names, F.col("b.col_idx")).alias("col"), "b.vnum", "b.vstr", "b.gain", "b.n")
 
 
 def root_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The training rows at the root (node 1), materialised once so that the
-    node id is data, not a literal the optimiser could fold into a
-    keyless join."""
-    return cut_lineage(df.select(*columns).withColumn("node", F.lit(1).cast("long")))
+    """The training rows at the root, materialised once so that the node is
+    data, not a literal the optimiser could fold into a keyless join."""
+    return cut_lineage(df.select(*columns).withColumn("node", F.lit(ROOT)))
 
 
-def _results(rows: DataFrame, label: str) -> DataFrame:
-    """Leaf results: class counts as a map (label values as strings)."""
-    c = rows.groupBy("node", F.col(label).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("v"))
-    return c.groupBy("node").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("results"),
-                                 F.sum("v").alias("n"))
+def _leaves(rows: DataFrame, label: str, score: str, depth: int) -> DataFrame:
+    """Leaf rows of the node table for the nodes of ``rows``."""
+    head = ["node", F.lit(depth).alias("depth"), F.lit(None).cast("string").alias("col"), F.lit(None).cast("double").alias("vnum"),
+            F.lit(None).cast("string").alias("vstr"), F.lit(True).alias("is_leaf")]
+    if score == "variance":
+        y = F.col(label).cast("double")
+        c = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean"), F.var_pop(y).alias("var"))
+        return c.select(*head, F.lit(None).cast("map<string,bigint>").alias("results"), "n", "mean", "var")
+    c = rows.groupBy("node", F.coalesce(F.col(label).cast("string"), F.lit("null")).alias("k")).agg(F.count(F.lit(1)).alias("v"))
+    c = c.groupBy("node").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("results"),
+                              F.sum("v").alias("n"))
+    return c.select(*head, "results", "n", F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("var"))
 
 
-def _goes_true(splits_cols: dict, features: list[str], num: dict) -> Column:
-    """Predicate of the node's split evaluated on a row."""
-    cond = F.lit(False)
-    for idx, c in enumerate(features):
-        if num[c]:
-            test = F.col(c).cast("double") >= F.col("vnum")
-        else:
-            test = F.col(c).cast("string") == F.col("vstr")
-        cond = F.when(F.col("col_idx") == idx, F.coalesce(test, F.lit(False))).otherwise(cond)
-    return cond
+def _test_of(features: list[str], num: dict) -> Column:
+    """The node's split evaluated on a row (P9); null if the value is."""
+    test = F.lit(None).cast("boolean")
+    for i, c in enumerate(features):
+        here = F.col(c).cast("double") >= F.col("vnum") if num[c] else F.col(c).cast("string") == F.col("vstr")
+        test = F.when(F.col("col_idx") == i, here).otherwise(test)
+    return test
+
+
+def _child(side: Column) -> Column:
+    return F.concat(F.col("node"), F.when(F.coalesce(side, F.lit(False)), "T").otherwise("F"))
 
 
 def build_tree(df: DataFrame, features: list[str], label: str, score: str = "entropy",
                max_depth: int | None = None) -> DataFrame:
-    """Grow the tree until no split has a positive gain (or
-    ``max_depth``).  Q25 fixed: every level uses ``score``."""
-    limit = min(max_depth if max_depth is not None else MAX_DEPTH, MAX_DEPTH)
+    """Grow the tree until no split has a gain, or to ``max_depth``
+    if the caller sets one.  Q25 fixed: every level uses ``score``."""
     num = {c: _is_num(df, c) for c in features}
-    classes = [] if score == "variance" else sorted(
-        r[0] for r in df.select(label).distinct().collect())          # class list: bounded by the label domain
     rows = root_rows(df, [*features, label])
-    parts = []
-    depth = 0
+    parts, depth = [], 0
     while True:
-        splits = best_splits(rows, features, label, classes, score) if depth < limit else None
-        if splits is not None:
-            splits = cut_lineage(splits)
-        has_split = splits is not None and splits.limit(1).count() > 0
-        res = _results(rows, label)
-        if not has_split:
-            parts.append(res.select("node", F.lit(depth).alias("depth"), F.lit(None).cast("string").alias("col"),
-                                    F.lit(None).cast("double").alias("vnum"), F.lit(None).cast("string").alias("vstr"),
-                                    F.lit(True).alias("is_leaf"), "results", "n"))
+        splits = None
+        if max_depth is None or depth < max_depth:
+            splits = cut_lineage(best_splits(rows, features, label, score))
+        if splits is None or splits.isEmpty():
+            parts.append(_leaves(rows, label, score, depth))
             break
-        leaves = res.join(splits.select("node"), "node", "left_anti")
-        parts.append(leaves.select("node", F.lit(depth).alias("depth"), F.lit(None).cast("string").alias("col"),
-                                   F.lit(None).cast("double").alias("vnum"), F.lit(None).cast("string").alias("vstr"),
-                                   F.lit(True).alias("is_leaf"), "results", "n"))
-        parts.append(splits.select("node", F.lit(depth).alias("depth"), "col", "vnum", "vstr",
-                                   F.lit(False).alias("is_leaf"),
-                                   F.lit(None).cast("map<string,bigint>").alias("results"), "n"))
-        moved = rows.join(maybe_broadcast(splits.select("node", "col_idx", "vnum", "vstr")), "node")
-        rows = cut_lineage(moved.select(*features, label, F.when(_goes_true({}, features, num), F.col("node") * 2)
-                                        .otherwise(F.col("node") * 2 + 1).alias("node")))
+        leaves = _leaves(rows.join(splits.select("node"), "node", "left_anti"), label, score, depth)
+        inner = splits.select("node", F.lit(depth).alias("depth"), "col", "vnum", "vstr", F.lit(False).alias("is_leaf"),
+                              F.lit(None).cast("map<string,bigint>").alias("results"), "n",
+                              F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("var"))
+        parts.append(cut_lineage(leaves.unionByName(inner)))
+        moved = rows.join(splits.select("node", "col_idx", "vnum", "vstr"), "node")
+        rows = cut_lineage(moved.select(*features, label, _child(_test_of(features, num)).alias("node")))
         depth += 1
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    return cut_lineage(out)
+    return cut_lineage(reduce(lambda a, b: a.unionByName(b), parts))
+
+
+def _inner(tree: DataFrame, features: list[str]) -> DataFrame:
+    idx = F.coalesce(*[F.when(F.col("col") == c, F.lit(i)) for i, c in enumerate(features)])
+    return tree.where(~F.col("is_leaf")).select("node", idx.alias("col_idx"), "vnum", "vstr")
+
+
+def _routed(tree: DataFrame, df: DataFrame, features: list[str], key: str, both: bool) -> DataFrame:
+    """(key, node): the leaf, or with ``both`` every leaf that missing values
+    leave open, of each row."""
+    num = {c: _is_num(df, c) for c in features}
+    inner = _inner(tree, features)
+    depth = tree.agg(F.max("depth")).first()[0] or 0
+    cur = cut_lineage(df.select(key, *features, F.lit(ROOT).alias("node")))
+    for d in range(depth):
+        test = _test_of(features, num)
+        sides = F.when(test.isNull() & F.lit(both), F.array(F.lit("T"), F.lit("F"))).otherwise(
+            F.array(F.when(F.coalesce(test, F.lit(False)), "T").otherwise("F")))
+        sides = F.when(F.col("col_idx").isNull(), F.array(F.lit(""))).otherwise(sides)
+        cur = (cur.join(inner, "node", "left")
+               .select(key, *features, "node", F.explode(sides).alias("side"))
+               .select(key, *features, F.concat("node", "side").alias("node")))
+        if d % 8 == 7:
+            cur = cut_lineage(cur)
+    return cur.select(key, "node")
 
 
 def classify(tree: DataFrame, df: DataFrame, features: list[str], key: str) -> DataFrame:
     """Route every row from the root to its leaf by repeated joins with
-    the internal nodes (one join per level); output (key, node, results)."""
-    num = {c: _is_num(df, c) for c in features}
-    idx = {c: i for i, c in enumerate(features)}
-    inner = tree.where(~F.col("is_leaf")).select(
-        "node", F.coalesce(*[F.when(F.col("col") == c, F.lit(i)) for c, i in idx.items()]).alias("col_idx"),
-        "vnum", "vstr")
-    inner = maybe_broadcast(inner)
-    leaves = tree.where(F.col("is_leaf")).select("node", "results")
+    the internal nodes (one join per level); a missing value goes to the false
+    side.  Output (key, node, results, mean)."""
+    leaves = tree.where(F.col("is_leaf")).select("node", "results", "mean")
+    return _routed(tree, df, features, key, both=False).join(leaves, "node").select(key, "node", "results", "mean")
+
+
+def classify_missing(tree: DataFrame, df: DataFrame, features: list[str], key: str) -> DataFrame:
+    """T4: where the split value is missing both branches are followed and
+    their class counts merged, each weighted by its share of the two branches'
+    counts; counts of a class in both are added (Q26).  ``key`` must be unique.
+    Output (key, class, weight)."""
+    leaves = tree.where(F.col("is_leaf")).select("node", F.explode("results").alias("class", "weight"))
+    cur = _routed(tree, df, features, key, both=True).join(leaves, "node").select(
+        key, "node", "class", F.col("weight").cast("double").alias("weight"))
     depth = tree.agg(F.max("depth")).first()[0] or 0
-    root = tree.where((F.col("node") == 1) & ~F.col("is_leaf")).select("col", "vnum", "vstr").first()
-    if root is None:
-        cur = df.select(key, *features).withColumn("node", F.lit(1).cast("long"))
-    else:
-        # the first step uses the root split as literals (every row is at node 1)
-        lit_split = {"col_idx": F.lit(idx[root["col"]]), "vnum": F.lit(root["vnum"]).cast("double"),
-                     "vstr": F.lit(root["vstr"]).cast("string")}
-        cur = df.select(key, *features, *[v.alias(k) for k, v in lit_split.items()])
-        cur = cur.select(key, *features, F.when(_goes_true({}, features, num), F.lit(2)).otherwise(F.lit(3))
-                         .cast("long").alias("node"))
-        depth -= 1
-    for _ in range(depth):
-        j = cur.join(inner, "node", "left")
-        cur = j.select(key, *features, F.when(F.col("col_idx").isNull(), F.col("node"))
-                       .when(_goes_true({}, features, num), F.col("node") * 2)
-                       .otherwise(F.col("node") * 2 + 1).alias("node"))
-    return cur.join(leaves, "node").select(key, "node", "results")
+    for d in range(depth, 0, -1):
+        here = F.length("node") == d + 1
+        parent = F.when(here, F.substring(F.col("node"), 1, d)).otherwise(F.col("node"))
+        branch = Window.partitionBy(key, "node")
+        pair = Window.partitionBy(key, parent)
+        # one branch alone keeps its counts: its share is one
+        share = F.sum("weight").over(branch) / F.sum("weight").over(pair)
+        weight = F.when(here, F.col("weight") * share).otherwise(F.col("weight"))
+        cur = (cur.select(key, parent.alias("p"), "class", weight.alias("weight"))
+               .groupBy(key, F.col("p").alias("node"), "class").agg(F.sum("weight").alias("weight")))
+        if d % 4 == 0:
+            cur = cut_lineage(cur)
+    return cur.select(key, "class", "weight")
 
 
 def tree_shape(tree: DataFrame) -> DataFrame:
@@ -207,20 +273,19 @@ def tree_shape(tree: DataFrame) -> DataFrame:
 
 
 def tree_listing(tree: DataFrame) -> DataFrame:
-    """Pre-order listing: a path string per node (true branch first)
-    gives the print order; text is 'col:value?' or the leaf results."""
-    bits = F.expr("substr(bin(node), 2)")
-    path = F.translate(bits, "01", "TF")
-    text = F.when(F.col("is_leaf"), F.to_json("results")).otherwise(
+    """Pre-order listing by the path (true branch first); text is
+    'col:value?' or the leaf results."""
+    leaf = F.coalesce(F.to_json("results"), F.to_json(F.struct("n", "mean", "var")))
+    text = F.when(F.col("is_leaf"), leaf).otherwise(
         F.concat(F.col("col"), F.lit(":"), F.coalesce(F.col("vstr"), F.col("vnum").cast("string")), F.lit("?")))
+    path = F.translate(F.substring(F.col("node"), 2, 1 << 30), "TF", "01")
     return tree.select("node", "depth", path.alias("path"), text.alias("text")).orderBy("path")
 
 
-def _entropy(entries: DataFrame, key: str) -> DataFrame:
-    """(key, h): base-2 entropy of (key, k, c) class-count rows."""
-    n = entries.groupBy(key).agg(F.sum("c").alias("_n"))
-    e = entries.join(n, key).select(key, (F.col("c") / F.col("_n")).alias("_q"))
-    return e.groupBy(key).agg((-F.sum(F.col("_q") * F.log2("_q"))).alias("h"))
+def _entropy(entries: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, h): base-2 entropy of (keys, k, c) class-count rows."""
+    c = F.col("c").cast("double")
+    return entries.groupBy(*keys).agg((F.log2(F.sum(c)) - F.sum(c * F.log2(c)) / F.sum(c)).alias("h"))
 
 
 def prune(tree: DataFrame, min_gain: float, parity: bool = False) -> DataFrame:
@@ -231,34 +296,26 @@ def prune(tree: DataFrame, min_gain: float, parity: bool = False) -> DataFrame:
     Class counts are exploded into (node, class, count) rows, so entropies
     are plain aggregates; one pass per level, from the deepest up."""
     max_depth = tree.agg(F.max("depth")).first()[0] or 0
-    cur = tree
+    cur = cut_lineage(tree)
+    parent = F.expr("substring(node, 1, length(node) - 1)")
     for d in range(max_depth - 1, -1, -1):
-        leaves = cur.where(F.col("is_leaf")).select("node", F.explode("results").alias("k", "c"))
-        kids = leaves.select((F.col("node") / 2).cast("long").alias("p"), (F.col("node") % 2).alias("side"), "k", "c")
-        level = cur.where((~F.col("is_leaf")) & (F.col("depth") == d)).select(F.col("node").alias("p"))
-        both_leaves = (cur.where(F.col("is_leaf")).select((F.col("node") / 2).cast("long").alias("p"))
-                       .groupBy("p").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") == 2).select("p"))
-        cand = level.join(both_leaves, "p")
-        kids = kids.join(cand, "p")
-        ht = _entropy(kids.where(F.col("side") == 0).select("p", "k", "c"), "p").withColumnRenamed("h", "ht")
-        hf = _entropy(kids.where(F.col("side") == 1).select("p", "k", "c"), "p").withColumnRenamed("h", "hf")
-        allc = kids.groupBy("p", "k").agg(F.sum("c").alias("c"))
-        ha = _entropy(allc, "p").withColumnRenamed("h", "ha")
-        g = ha.join(ht, "p").join(hf, "p")
-        delta = (F.col("ha") - (F.col("ht") + F.col("hf") / 2)) if parity else (F.col("ha") - (F.col("ht") + F.col("hf")) / 2)
-        merge = g.where(delta < min_gain).select("p")
-        mres = (allc.join(merge, "p").groupBy("p")
-                .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "c")))).alias("mres")))
-        mres = cut_lineage(mres)
-        drop_children = mres.select(F.explode(F.array(F.col("p") * 2, F.col("p") * 2 + 1)).alias("node"))
-        cur = (cur.join(drop_children, "node", "left_anti")
-               .join(mres.withColumnRenamed("p", "node"), "node", "left"))
-        merged = F.col("mres").isNotNull()
-        cur = cut_lineage(cur.select(
-            "node", "depth",
-            F.when(merged, F.lit(None).cast("string")).otherwise(F.col("col")).alias("col"),
-            F.when(merged, F.lit(None).cast("double")).otherwise(F.col("vnum")).alias("vnum"),
-            F.when(merged, F.lit(None).cast("string")).otherwise(F.col("vstr")).alias("vstr"),
-            (F.col("is_leaf") | merged).alias("is_leaf"),
-            F.coalesce(F.col("mres"), F.col("results")).alias("results"), "n"))
+        kids = (cur.where(F.col("is_leaf") & (F.col("depth") == d + 1))
+                .select(parent.alias("p"), F.expr("right(node, 1)").alias("side"), F.explode("results").alias("k", "c")))
+        sides = _entropy(kids, ["p", "side"]).groupBy("p").agg(
+            F.max(F.when(F.col("side") == "T", F.col("h"))).alias("ht"), F.max(F.when(F.col("side") == "F", F.col("h"))).alias("hf"))
+        every = cut_lineage(kids.groupBy("p", "k").agg(F.sum("c").alias("c")))
+        both = _entropy(every, ["p"]).join(sides.where("ht IS NOT NULL AND hf IS NOT NULL"), "p")
+        delta = (F.col("h") - (F.col("ht") + F.col("hf") / 2)) if parity else (F.col("h") - (F.col("ht") + F.col("hf")) / 2)
+        merged = (every.join(both.where(delta < min_gain).select("p"), "p").groupBy("p")
+                  .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "c")))).alias("mres")))
+        merged = cut_lineage(merged)
+        if merged.isEmpty():
+            continue
+        gone = merged.select(F.explode(F.array(F.concat("p", F.lit("T")), F.concat("p", F.lit("F")))).alias("node"))
+        left = (cur.join(gone, "node", "left_anti")
+                .join(merged.select(F.col("p").alias("node"), "mres"), "node", "left"))
+        now = F.col("mres").isNotNull()
+        cur = cut_lineage(left.select(
+            "node", "depth", *[F.when(~now, F.col(c)).alias(c) for c in ("col", "vnum", "vstr")],
+            (F.col("is_leaf") | now).alias("is_leaf"), F.coalesce("mres", "results").alias("results"), "n", "mean", "var"))
     return cur

@@ -79,8 +79,9 @@ SELECT feature, fp_bad AS fprob_c_bad, fp_good AS fprob_c_good, wnb_bad AS wnb_c
 def b2(spark, sf):
     """fprob and weighted probability of every word in both categories."""
     fc, cc = _train(spark, sf)
-    ft = C.feature_table(fc, C.category_list(cc))
-    return ft.select("feature", "fprob_c_bad", "fprob_c_good", "wnb_c_bad", "wnb_c_good")
+    cats = C.category_list(cc)
+    return C.feature_table(fc, cats).select("feature", *[F.col(f"{m}_{i}").alias(f"{m}_c_{c}")
+                                                         for m in ("fprob", "wnb") for i, (c, _) in enumerate(cats)])
 
 
 @register("b6_category_probabilities", sql=f"""WITH {_BASE_SQL}
@@ -88,8 +89,9 @@ SELECT feature, cp_bad AS cprob_c_bad, cp_good AS cprob_c_good, wfi_bad AS wfi_c
 def b6(spark, sf):
     """cprob and its weighted form of every word in both categories."""
     fc, cc = _train(spark, sf)
-    ft = C.feature_table(fc, C.category_list(cc))
-    return ft.select("feature", "cprob_c_bad", "cprob_c_good", "wfi_c_bad", "wfi_c_good")
+    cats = C.category_list(cc)
+    return C.feature_table(fc, cats).select("feature", *[F.col(f"{m}_{i}").alias(f"{m}_c_{c}")
+                                                         for m in ("cprob", "wfi") for i, (c, _) in enumerate(cats)])
 
 
 @register("b4_naive_bayes_scores", sql=f"WITH {_BASE_SQL} SELECT doc_id, cat, logprob FROM nb")
@@ -108,8 +110,7 @@ SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM beaten) THEN '{DEFAULT}'
 def b5(spark, sf):
     """Naive Bayes decision with threshold 3 on 'bad'."""
     fc, cc = _train(spark, sf)
-    s = C.nb_scores(_test_items(spark, sf), "doc_id", "fs", fc, cc)
-    return C.nb_classify(s, "doc_id", NB_THRESHOLDS, DEFAULT)
+    return C.nb_classify(_test_items(spark, sf), "doc_id", "fs", fc, cc, NB_THRESHOLDS, DEFAULT)
 
 
 @register("b7_fisher_scores", sql=f"WITH {_BASE_SQL} SELECT doc_id, cat, prob FROM fisher")
@@ -127,8 +128,7 @@ SELECT d.doc_id, coalesce(category, '{DEFAULT}') AS category FROM (SELECT DISTIN
 def b8(spark, sf):
     """Fisher decision with minimums 0.8 (bad) and 0.4 (good)."""
     fc, cc = _train(spark, sf)
-    s = C.fisher_scores(_test_items(spark, sf), "doc_id", "fs", fc, cc)
-    return C.fisher_classify(s, "doc_id", FISHER_MINIMUMS, DEFAULT)
+    return C.fisher_classify(_test_items(spark, sf), "doc_id", "fs", fc, cc, FISHER_MINIMUMS, DEFAULT)
 
 
 @register("b9_repeat_training", sql=f"WITH {_BASE_SQL} SELECT feature, cat, n * 10 AS n FROM fc")

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-
 from quarry.operators import recommend as R
 from quarry.plans.registry import register
+from quarry.session import cut_lineage
 from quarry.sources.tables import PREFS_SQL, Tables
 
 PERSON = 7          # the customer the single-person reports are about
@@ -83,7 +82,7 @@ ranked AS (SELECT item_a AS item_id, item_b AS other_item, similarity,
 @register("r6_similar_items", sql=f"WITH {_R6_SQL} SELECT * FROM ranked WHERE rank <= {N_SIMILAR}")
 def r6_similar_items(spark, sf):
     """For every item its 10 nearest items (distance similarity)."""
-    prefs = Tables(spark, sf).prefs().persist(StorageLevel.MEMORY_AND_DISK)   # read by the size check and both join sides
+    prefs = cut_lineage(Tables(spark, sf).prefs())   # read by the key counts and both join sides
     return R.similar_items(prefs, N_SIMILAR)
 
 
@@ -98,8 +97,9 @@ GROUP BY 1, 2"""
 @register("r7_item_recommendations", sql=_R7_SQL)
 def r7_item_recommendations(spark, sf):
     """Item-based recommendations for every customer (flagship)."""
-    prefs = Tables(spark, sf).prefs().persist(StorageLevel.MEMORY_AND_DISK)   # read four times below
-    return R.item_recommendations(prefs, R.similar_items(prefs, N_SIMILAR))
+    prefs = cut_lineage(Tables(spark, sf).prefs())   # read four times below
+    neighbours = cut_lineage(R.similar_items(prefs, N_SIMILAR))   # a stored table of neighbours serves as well
+    return R.item_recommendations(prefs, neighbours)
 
 
 @register("j4_co_rated", sql=f"""WITH {PREFS_SQL}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.functions import vectors as V
 from quarry.operators import relational as Rel
-from quarry.operators.dist import maybe_broadcast, top_n_per_key
+from quarry.operators.dist import top_n_per_key
 from quarry.plans.registry import register
 from quarry.sources.tables import DOC_TOKENS_SQL, PART_EDGES_SQL, PREFS_SQL, Tables
 
@@ -484,7 +484,7 @@ def w3(spark, sf):
 SELECT * FROM (SELECT doc_id, pos, word AS w1, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS w2 FROM doc_tokens)
 WHERE w2 IS NOT NULL""")
 def w5(spark, sf):
-    return Rel.adjacent_pairs(Tables(spark, sf).doc_tokens(), "doc_id")
+    return Rel.adjacent_pairs(Tables(spark, sf).documents, "doc_id", T.words("text"))
 
 
 @register("w6_top_n_per_key", sql=f"""WITH {PREFS_SQL}
@@ -498,7 +498,7 @@ def w6(spark, sf):
 def j3(spark, sf):
     """Part names for every line item; part is broadcast after a size check."""
     t = Tables(spark, sf)
-    p = maybe_broadcast(t.part.select("p_partkey", "p_name"))
+    p = t.part.select("p_partkey", "p_name")
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     return li.join(p, li.l_partkey == p.p_partkey).select("l_orderkey", "l_linenumber", "p_name")
 

@@ -37,7 +37,7 @@ def _summary_sql(words: list[str]) -> str:
 qp0 AS (SELECT urlid, qi, location FROM wl JOIN q USING (word)),
 qp AS (SELECT * FROM qp0 WHERE urlid IN (SELECT urlid FROM qp0 GROUP BY urlid HAVING count(DISTINCT qi) = {k})),
 per AS (SELECT urlid, qi, count(*) AS c, min(location) AS m FROM qp GROUP BY 1, 2),
-s AS (SELECT urlid, product(c)::BIGINT AS n_rows, sum(m)::BIGINT AS loc_sum FROM per GROUP BY 1),
+s AS (SELECT urlid, sum(ln(c)) AS log_rows, sum(m)::BIGINT AS loc_sum FROM per GROUP BY 1),
 dp0 AS (SELECT urlid, location AS pos, 0::BIGINT AS dp FROM qp WHERE qi = 0)"""]
     for i in range(1, k):
         parts.append(f"""u{i} AS (SELECT urlid, pos, dp, 0 AS kind FROM dp{i-1}
@@ -47,21 +47,21 @@ dp{i} AS (SELECT urlid, pos, least(l, r) AS dp FROM (SELECT *,
   min(CASE WHEN kind = 0 THEN dp + pos END) OVER (PARTITION BY urlid ORDER BY pos RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - pos AS r
   FROM u{i}) WHERE kind = 1)""")
     parts.append(f"""md AS (SELECT urlid, min(dp) AS min_dist FROM dp{k-1} GROUP BY 1),
-summary AS (SELECT s.urlid, n_rows, loc_sum, md.min_dist FROM s JOIN md USING (urlid)),
-freq AS (SELECT urlid, n_rows / (SELECT max(n_rows) FROM summary) AS score FROM summary),
+summary AS (SELECT s.urlid, log_rows, loc_sum, md.min_dist FROM s JOIN md USING (urlid)),
+freq AS (SELECT urlid, exp(log_rows - (SELECT max(log_rows) FROM summary)) AS score FROM summary),
 loc AS (SELECT urlid, (SELECT min(loc_sum) FROM summary) / greatest(0.00001, loc_sum) AS score FROM summary),
 dist AS (SELECT urlid, (SELECT min(min_dist) FROM summary) / greatest(0.00001, min_dist) AS score FROM summary)""")
     return ",\n".join(parts)
 
 
-def _doc_index(spark, sf):
+def _doc_index(spark, sf, only=None):
     d = Tables(spark, sf).documents
-    return S.word_locations(d, "doc_id", F.col("text"))
+    return S.word_locations(d, "doc_id", F.col("text"), only)
 
 
-def _page_index(spark, sf):
+def _page_index(spark, sf, only=None):
     p = Tables(spark, sf).pages
-    return S.word_locations(p, "url", T.visible_text(F.col("html")))
+    return S.word_locations(p, "url", T.visible_text(F.col("html")), only)
 
 
 @register("rk1_index_documents", sql=f"WITH {DOC_INDEX_SQL} SELECT urlid, word, location FROM wl")
@@ -76,14 +76,20 @@ def rk1p(spark, sf):
     return _page_index(spark, sf)
 
 
-_LINKS_SQL = """a AS (SELECT url AS fromid,
-    regexp_extract_all(html, '(?is)<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1) AS h,
-    regexp_extract_all(html, '(?is)<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2) AS t FROM pages),
-b AS (SELECT fromid, unnest(h) AS h, unnest(t) AS anchor, unnest(range(0, len(h))) AS seq FROM a),
+# The links of the given pages are rooted, absolute or empty; the oracle cuts the
+# page URL with string functions, not with the operator's patterns.
+_HREF = S.ANCHOR.replace("'", "''")
+_LINKS_SQL = f"""a AS (SELECT url AS fromid, regexp_extract_all(html, '{_HREF}', 1) AS h1, regexp_extract_all(html, '{_HREF}', 2) AS h2,
+    regexp_extract_all(html, '{_HREF}', 3) AS h3, regexp_extract_all(html, '{_HREF}', 4) AS t FROM pages),
+b AS (SELECT fromid, coalesce(unnest(h1), '') || coalesce(unnest(h2), '') || coalesce(unnest(h3), '') AS h, unnest(t) AS anchor, unnest(range(0, len(t))) AS seq FROM a),
+p AS (SELECT *, split_part(fromid, '://', 1) AS scheme,
+             split_part(split_part(split_part(split_part(fromid, '://', 2), '/', 1), '?', 1), '#', 1) AS host FROM b),
 r AS (SELECT fromid, seq, anchor, split_part(CASE
-    WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN h
-    WHEN starts_with(h, '/') THEN regexp_extract(fromid, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || h
-    ELSE regexp_extract(fromid, '^([^?#]*/)', 1) || h END, '#', 1) AS toid FROM b),
+    WHEN h = '' THEN fromid
+    WHEN contains(h, '://') THEN h
+    WHEN starts_with(h, '//') THEN scheme || ':' || h
+    WHEN starts_with(h, '/') THEN scheme || '://' || host || h
+    ELSE 'not covered' END, '#', 1) AS toid FROM p),
 link AS (SELECT fromid || '#' || seq AS linkid, fromid, toid, anchor FROM r
          WHERE NOT contains(toid, '''') AND toid <> fromid)"""
 
@@ -131,7 +137,8 @@ _DOC_SUMMARY = f"WITH {DOC_INDEX_SQL},\n{_summary_sql(S.query_words(DOC_QUERY))}
 
 
 def _doc_summary(spark, sf):
-    return S.match_summary(_doc_index(spark, sf), S.query_words(DOC_QUERY))
+    words = S.query_words(DOC_QUERY)
+    return S.match_summary(_doc_index(spark, sf, words), words)
 
 
 @register("rk4_match_summary", sql=_DOC_SUMMARY + "\nSELECT * FROM summary")
@@ -186,17 +193,14 @@ def rk9(spark, sf):
     return S.inbound_link_score(urls, link)
 
 
-@register("rk10_linktext_score", sql=f"""WITH {_PAGE_LINK_CTE},
+@register("rk10_linktext_score", sql=_pagerank_sql(_PAGE_LINK_CTE) + f""",
 lw AS (SELECT DISTINCT linkid, word FROM (SELECT linkid, unnest({_WORDS_SQL.format(c=_VISIBLE_SQL.format(c='anchor'))}) AS word FROM link)
        WHERE word IN ({", ".join(f"'{w}'" for w in ANCHOR_QUERY)})),
-hits AS (SELECT l.toid, 0.15 AS score FROM lw JOIN link l USING (linkid)),
+hits AS (SELECT l.toid, pr20.score FROM lw JOIN link l USING (linkid) JOIN pr20 ON pr20.id = l.fromid),
 s AS (SELECT n.id AS urlid, coalesce(sum(h.score), 0.0) AS s FROM nodes n LEFT JOIN hits h ON h.toid = n.id GROUP BY 1)
 SELECT urlid, s / nullif((SELECT max(s) FROM s), 0) AS score FROM s""")
 def rk10(spark, sf):
-    """Link-text score of every known url for two anchor words.
-
-    The linkers are pages nobody links to, so their PageRank is 0.15 in
-    every round; the oracle states that value directly."""
+    """Link-text score of every known url for two anchor words."""
     link, lw, urls = _page_graph(spark, sf)
     pr = S.pagerank(link, urls, 20)
     return S.linktext_score(urls, link, lw, pr, ANCHOR_QUERY)
@@ -219,6 +223,7 @@ total AS (SELECT urlid, sum(s) AS score FROM (SELECT urlid, score AS s FROM loc
 SELECT urlid, score FROM total ORDER BY score DESC, urlid DESC LIMIT 10""")
 def rk12p(spark, sf):
     """Top 10 pages for the query by location + frequency + distance."""
-    s = S.match_summary(_page_index(spark, sf), S.query_words(PAGE_QUERY))
-    k = len(S.query_words(PAGE_QUERY))
+    words = S.query_words(PAGE_QUERY)
+    s = S.match_summary(_page_index(spark, sf, words), words)
+    k = len(words)
     return S.weighted_total([(1.0, S.location_score(s)), (1.0, S.frequency_score(s)), (1.0, S.distance_score(s, k))])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.plans.registry import register
 from quarry.sources.tables import Tables
 
-# The event types of the driver's events table (the "tickers").
+# The event types of the given tables, for the oracle alone.
 TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -19,6 +19,6 @@ def io23(spark, sf):
     """Daily value per event type, one column per type, dates present for
     every type only (series aligned by date, Q4 default)."""
     e = Tables(spark, sf).events.select(F.to_date("ts").alias("d"), "event_type", "value")
-    wide = e.groupBy("d").pivot("event_type", TYPES).agg(F.sum("value"))
-    out = wide.select("d", *[F.round(t, 6).alias(t) for t in TYPES])
-    return out.dropna(subset=TYPES)
+    wide = e.groupBy("d").pivot("event_type").agg(F.sum("value"))   # every type that the table has
+    types = [c for c in wide.columns if c != "d"]
+    return wide.select("d", *[F.round(F.col(f"`{t}`"), 6).alias(t) for t in types]).dropna()

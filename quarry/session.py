@@ -41,8 +41,9 @@ def local_session(cores: int | str = "*", partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a scratch folder is made.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that the driver
+    and all executors share.  Only in local mode, where there is one machine,
+    a scratch folder is made if it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = (sc.getConf().get("spark.checkpoint.dir", None)
                 or spark.conf.get("spark.checkpoint.dir", None))
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)

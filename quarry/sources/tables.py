@@ -24,18 +24,9 @@ from quarry.functions import text as T
 TABLES = ("region nation customer supplier part orders lineitem events "
           "documents embeddings pages benchmark labels conversations").split()
 
-
-_SIZE_CACHE: dict[str, int] = {}
-
-
-def _path_bytes(spark: SparkSession, path: str) -> int:
-    """Total bytes under ``path`` via the Hadoop file system of the path."""
-    if path not in _SIZE_CACHE:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        _SIZE_CACHE[path] = int(fs.getContentSummary(p).getLength())
-    return _SIZE_CACHE[path]
+# A caller that reads files of a single row group (one scan task each) may set
+# this to a number of partitions; unset, scans keep the splits of their files.
+SPREAD_CONF = "spark.quarry.scan.spread"
 
 
 class Tables:
@@ -45,22 +36,12 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
 
-    # Inputs between these sizes are spread over the session's cores after
-    # the scan: such a file may be a single row group (one scan task), while
-    # the per-row text work that follows is CPU bound.  Larger inputs already
-    # split into many scan tasks and are left alone (no extra shuffle).
-    SPREAD_MIN_BYTES = 1 << 20
-    SPREAD_MAX_BYTES = 256 << 20
-
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             path = os.path.join(self.sf_dir, f"{name}.parquet")
             df = self.spark.read.parquet(path)
-            size = _path_bytes(self.spark, path)
-            par = self.spark.sparkContext.defaultParallelism
-            if self.SPREAD_MIN_BYTES <= size <= self.SPREAD_MAX_BYTES and par > 1:
-                df = df.repartition(par)
-            return df
+            spread = int(self.spark.conf.get(SPREAD_CONF, "0"))
+            return df.repartition(spread) if spread else df
         raise AttributeError(name)
 
     # ---- derived long views -------------------------------------------------

@@ -25,12 +25,12 @@ def test_counts_and_probabilities(trained):
     n = {(r["feature"], r["cat"]): r["n"] for r in fc.collect()}
     assert n[("quick", "good")] == 2
     ft = {r["feature"]: r for r in C.feature_table(fc, C.category_list(cc)).collect()}
-    assert ft["quick"]["fprob_c_good"] == pytest.approx(0.6666667, abs=1e-6)
-    assert ft["money"]["wnb_c_good"] == pytest.approx(0.25, abs=1e-6)
-    assert ft["money"]["wnb_c_bad"] == pytest.approx(0.5, abs=1e-6)
-    assert ft["quick"]["cprob_c_good"] == pytest.approx(0.5714286, abs=1e-6)
-    assert ft["money"]["cprob_c_bad"] == pytest.approx(1.0, abs=1e-6)
-    assert ft["money"]["wfi_c_bad"] == pytest.approx(0.75, abs=1e-6)
+    assert ft["quick"]["fprob_1"] == pytest.approx(0.6666667, abs=1e-6)
+    assert ft["money"]["wnb_1"] == pytest.approx(0.25, abs=1e-6)
+    assert ft["money"]["wnb_0"] == pytest.approx(0.5, abs=1e-6)
+    assert ft["quick"]["cprob_1"] == pytest.approx(0.5714286, abs=1e-6)
+    assert ft["money"]["cprob_0"] == pytest.approx(1.0, abs=1e-6)
+    assert ft["money"]["wfi_0"] == pytest.approx(0.75, abs=1e-6)
 
 
 def test_naive_bayes_score(spark, trained):
@@ -39,7 +39,7 @@ def test_naive_bayes_score(spark, trained):
     s = {r["cat"]: math.exp(r["logprob"]) for r in C.nb_scores(items, "id", "fs", fc, cc).collect()}
     assert s["good"] == pytest.approx(0.15625, abs=1e-6)
     assert s["bad"] == pytest.approx(0.05, abs=1e-6)
-    dec = C.nb_classify(C.nb_scores(items, "id", "fs", fc, cc), "id", {"bad": 3.0}, "unknown").first()
+    dec = C.nb_classify(items, "id", "fs", fc, cc, {"bad": 3.0}, "unknown").first()
     assert dec["category"] == "good"
 
 
@@ -63,15 +63,27 @@ def test_fisher_classify(spark, trained):
     fc, cc = trained
     items = spark.createDataFrame([(1, "quick rabbit"), (2, "quick money")], "id int, text string").select(
         "id", T.word_set("text").alias("fs"))
-    s = C.fisher_scores(items, "id", "fs", fc, cc)
-    plain = {r["id"]: r["category"] for r in C.fisher_classify(s, "id", {}, "unknown").collect()}
+    plain = {r["id"]: r["category"] for r in C.fisher_classify(items, "id", "fs", fc, cc, {}, "unknown").collect()}
     assert plain == {1: "good", 2: "bad"}
-    strict = {r["id"]: r["category"] for r in C.fisher_classify(s, "id", {"bad": 0.8}, "unknown").collect()}
+    strict = {r["id"]: r["category"] for r in C.fisher_classify(items, "id", "fs", fc, cc, {"bad": 0.8}, "unknown").collect()}
     assert strict[2] == "good"
 
 
-def test_kernel_offset_refuses_large_input(spark):
-    df = spark.range(30).select(F.array(F.col("id").cast("double")).alias("v"), (F.col("id") % 2).cast("int").alias("l"))
-    assert isinstance(C.kernel_offset(df, "v", "l", max_rows=100), float)
-    with pytest.raises(ValueError):
-        C.kernel_offset(df, "v", "l", max_rows=10)
+@pytest.mark.parametrize("names", [("a b", "a_b", "o'k"), ("`x`", "x.y", "x"), ("1", "é", "")])
+def test_any_category_name(spark, names):
+    """Names that clash as identifiers or hold quotes are only ever data."""
+    texts = {n: f"word{i} word{i} shared" for i, n in enumerate(names)}
+    items = spark.createDataFrame([(i, t, n) for i, (n, t) in enumerate(texts.items())], "id int, text string, cat string")
+    items = items.select("id", "cat", T.word_set("text").alias("fs"))
+    fc, cc = C.train_counts(items, "fs", "cat")
+    for classify in (C.nb_classify, C.fisher_classify):
+        got = {r["id"]: r["category"] for r in classify(items, "id", "fs", fc, cc, None, "unknown").collect()}
+        assert got == dict(enumerate(names))
+    assert {r["cat"] for r in C.nb_scores(items, "id", "fs", fc, cc).collect()} == set(names)
+
+
+def test_items_without_features(spark, trained):
+    fc, cc = trained
+    items = spark.createDataFrame([(1, ""), (2, "unseen words only")], "id int, text string").select("id", T.word_set("text").alias("fs"))
+    got = {(r["id"], r["cat"]): r["logprob"] for r in C.nb_scores(items, "id", "fs", fc, cc).collect()}
+    assert got[(1, "good")] == pytest.approx(math.log(0.6)) and got[(2, "bad")] == pytest.approx(math.log(0.4) + 3 * math.log(0.5))

@@ -86,7 +86,7 @@ def test_distance_score_matches_match_rows(spark):
         b[2] = min(b[2], dist)
     assert set(summ) == set(brute)
     for u, (n, loc, dist) in brute.items():
-        assert summ[u]["n_rows"] == n and summ[u]["loc_sum"] == loc and summ[u]["min_dist"] == dist
+        assert summ[u]["log_rows"] == pytest.approx(math.log(n)) and summ[u]["loc_sum"] == loc and summ[u]["min_dist"] == dist
 
 
 def test_pagerank_fixed_point_on_cycle(spark):
