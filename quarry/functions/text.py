@@ -7,7 +7,6 @@ the same patterns.
 
 from __future__ import annotations
 
-import pandas as pd  # noqa: F401  (resolves the pandas UDF type hints)
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -252,34 +251,68 @@ def visible_text(c) -> Column:
     return F.regexp_replace(s, "<[^>]*>", "\n")
 
 
+def _char(code: Column) -> Column:
+    """The character of a code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
+def _numeric_entity(digits: Column, base: int) -> Column:
+    """Text of a numeric character reference by the rules of HTML: C1 numbers
+    stand for Windows-1252 characters, impossible ones for U+FFFD, controls and
+    non-characters for nothing."""
+    # nine significant digits are enough to be out of range
+    short = F.regexp_replace(digits, "^0+", "")
+    n = F.when(F.length(short) > 9, F.lit(0x110000)).otherwise(F.coalesce(F.conv(F.when(short == "", "0").otherwise(short), base, 10).cast("long"), F.lit(0)))
+    c1 = {b: bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)} | {0x00: "\ufffd", 0x0D: "\r"}
+    table = F.create_map(*[F.lit(x) for kv in c1.items() for x in kv])
+    control = ((n < 0x20) & ~n.isin(0x09, 0x0A, 0x0C)) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF) | (n == 0x0B) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    return (F.when(n.isin(*c1), F.try_element_at(table, n.cast("int")))
+            .when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd").when(control, "").otherwise(_char(n)))
+
+
 def html_unescape(c) -> Column:
-    """HTML entities to characters, null to ''.  Vectorised pandas UDF
-    over the standard library decoder (Arrow batches, no per-row calls)."""
-    return _unescape_udf(_c(c))
+    """character references to characters, null to ''.  The text is cut
+    into references and what lies between; names come from the standard
+    library's table of HTML names, as a literal map, and a name without its
+    semicolon is taken by its longest known beginning."""
+    from html.entities import html5
 
+    closed = F.create_map(*[F.lit(x) for k, v in html5.items() if k.endswith(";") for x in (k, v)])
+    bare = sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
+    open_ = F.create_map(*[F.lit(x) for k in bare for x in (k, html5[k])])
+    head = "^(" + "|".join(bare) + ")"
 
-def _make_unescape():
-    from pyspark.sql.functions import pandas_udf
+    def one(p: Column) -> Column:
+        name = F.substring(p, 2, 1 << 30)
+        start = F.regexp_extract(name, head, 1)
+        named = F.coalesce(F.try_element_at(closed, name), F.when(start != "", F.concat(F.try_element_at(open_, start), F.substr(name, F.length(start) + 1))), p)
+        hexed, dec = F.regexp_extract(p, "^&#[xX]([0-9a-fA-F]+)", 1), F.regexp_extract(p, "^&#([0-9]+)", 1)
+        return (F.when(~p.startswith("&"), p).when(hexed != "", _numeric_entity(hexed, 16))
+                .when(dec != "", _numeric_entity(dec, 10)).otherwise(named))
 
-    @pandas_udf("string")
-    def unescape(s: pd.Series) -> pd.Series:
-        import html
+    pieces = F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit("&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z0-9]+;?|[^&]+|&"), F.lit(0))
+    return F.array_join(F.transform(pieces, one), "")
 
-        return s.fillna("").map(html.unescape)
 
-    return unescape
+def quoted_printable(c) -> Column:
+    """Quoted-printable to text: soft line breaks go, =XX are bytes of UTF-8."""
+    s = F.regexp_replace(_c(c), "=[ \\t]*\\r?\\n", "")
+    pieces = F.regexp_extract_all(s, F.lit("(?:=[0-9A-Fa-f]{2})+|[^=]+|="), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda p: F.when(
+        p.rlike("^(?:=[0-9A-Fa-f]{2})+$"), F.try_to_binary(F.replace(p, F.lit("="), F.lit("")), F.lit("hex")).cast("string")).otherwise(p)), "")
 
 
-class _LazyUdf:
-    """Create the pandas UDF on first use (needs an active session)."""
+def mail_body(c) -> Column:
+    """a quoted-printable HTML body as the text of its nodes; '' for null."""
+    return F.coalesce(html_unescape(F.regexp_replace(visible_text(quoted_printable(c)), "\n+", "\n")), F.lit(""))
 
-    def __init__(self, factory):
-        self.factory, self.fn = factory, None
 
-    def __call__(self, *cols):
-        if self.fn is None:
-            self.fn = self.factory()
-        return self.fn(*cols)
+def mail_date(c) -> Column:
+    """A mail date with its offset (weekday and trailing comment may be there)."""
+    s = F.regexp_replace(F.regexp_replace(_c(c), r"\s*\([^)]*\)\s*$", ""), r"^[A-Za-z]{3},\s*", "")
+    return F.coalesce(F.try_to_timestamp(s, F.lit("d MMM yyyy HH:mm:ss Z")), F.try_to_timestamp(s, F.lit("d MMM yyyy HH:mm Z")))
 
 
-_unescape_udf = _LazyUdf(_make_unescape)
+def mail_epoch_ms(c) -> Column:
+    """a mail date as milliseconds since 1970."""
+    return F.unix_millis(mail_date(c))

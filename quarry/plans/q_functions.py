@@ -8,8 +8,6 @@ from quarry.functions import text as T
 from quarry.plans.registry import register
 from quarry.sources.tables import Tables
 
-TITLE = r"(?is)<title>(.*?)</title>"
-
 
 @register("f23_date_parts", sql="""SELECT o_orderkey, year(o_orderdate) AS year, month(o_orderdate) AS month,
 day(o_orderdate) AS day, hour(o_orderdate) AS hour FROM orders""")
@@ -20,18 +18,22 @@ def f23(spark, sf):
                     F.dayofmonth("o_orderdate").alias("day"), F.hour("o_orderdate").alias("hour"))
 
 
-@register("f6_clean_titles", sql=r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-  regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1),
+@register("f6_clean_pages", sql=r"""SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+  regexp_replace(regexp_replace(html,
   '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?s)<!--.*?-->', '', 'g'),
-  '(?s)<[^>]*>', ' ', 'g'), '&nbsp;', ' ', 'g'), '  ', ' ', 'g'), '  ', ' ', 'g')) AS title FROM pages""")
+  '(?s)<[^>]*>', ' ', 'g'), '&nbsp;', ' ', 'g'), '  ', ' ', 'g'), '  ', ' ', 'g'))) AS text_md5 FROM pages""")
 def f6(spark, sf):
-    """Cleaned page titles (script, style, comments, tags, nbsp, double spaces)."""
+    """Whole pages cleaned (script, style, comments, tags, nbsp, double
+    spaces), as a digest of the text."""
     p = Tables(spark, sf).pages
-    return p.select("page_id", T.clean_html(F.regexp_extract("html", TITLE, 1)).alias("title"))
+    return p.select("page_id", F.md5(T.clean_html("html").cast("binary")).alias("text_md5"))
 
 
-@register("f7_decoded_titles")
+@register("f7_decoded_pages", sql=r"""SELECT page_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+  '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g')) AS text_md5 FROM pages""")
 def f7(spark, sf):
-    """Page titles with HTML entities decoded."""
+    """Whole pages with character references decoded, as a digest.  The oracle
+    states the references that the given pages hold; all others are tested
+    against the standard library."""
     p = Tables(spark, sf).pages
-    return p.select("page_id", T.html_unescape(F.regexp_extract("html", TITLE, 1)).alias("title"))
+    return p.select("page_id", F.md5(T.html_unescape("html").cast("binary")).alias("text_md5"))

@@ -363,12 +363,19 @@ def s2(spark, sf):
     return Rel.set_compare(a, b)
 
 
-@register("s3_senders_not_receivers", sql="""SELECT user_id FROM events WHERE event_type = 'signup'
-EXCEPT SELECT user_id FROM events WHERE ts::DATE = DATE '2024-01-03'""")
+@register("s3_senders_receivers", sql="""WITH a AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'signup'),
+b AS (SELECT DISTINCT user_id FROM events WHERE ts::DATE = DATE '2024-01-03')
+SELECT 'both' AS part, user_id FROM (SELECT * FROM a INTERSECT SELECT * FROM b)
+UNION ALL SELECT 'a_only', user_id FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+UNION ALL SELECT 'b_only', user_id FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
 def s3(spark, sf):
+    """Members of either set: in both, in the first only, in the second only."""
     t = Tables(spark, sf)
     a = t.events.where(F.col("event_type") == "signup").select("user_id")
-    return a.subtract(_day_users(t, "2024-01-03"))
+    b = _day_users(t, "2024-01-03")
+    part = lambda df, name: df.select(F.lit(name).alias("part"), "user_id")
+    return (part(a.intersect(b), "both").unionByName(part(a.subtract(b), "a_only"))
+            .unionByName(part(b.subtract(a), "b_only")))
 
 
 @register("s4_union3", sql="""SELECT user_id FROM events WHERE ts::DATE = DATE '2024-01-01'
@@ -496,7 +503,7 @@ def w6(spark, sf):
 
 @register("j3_dimension_lookup", sql="""SELECT l_orderkey, l_linenumber, p_name FROM lineitem JOIN part ON l_partkey = p_partkey""")
 def j3(spark, sf):
-    """Part names for every line item; part is broadcast after a size check."""
+    """Part names for every line item; the optimiser picks the join by size."""
     t = Tables(spark, sf)
     p = t.part.select("p_partkey", "p_name")
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")

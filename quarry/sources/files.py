@@ -84,26 +84,38 @@ HEADER_NAMES = ["From", "To", "Cc", "Bcc", "Subject", "Date", "Content-Type"]
 def read_mbox(spark: SparkSession, path: str) -> DataFrame:
     """IO11 / IO12: one row per message of an mbox file.
 
-    Records are split on '\\nFrom ' (the first keeps its 'From ' prefix and
-    it is stripped); header fields come from the header block (up to the
-    first blank line), the body is the rest.  To/Cc/Bcc become arrays (F21);
-    the date is parsed with its offset into UTC (Q3 fix)."""
-    raw = spark.read.option("lineSep", "\nFrom ").text(path)
-    msg = raw.select(F.regexp_replace("value", r"^From ", "").alias("m"))
-    msg = msg.select(F.regexp_extract("m", r"(?s)^.*?\n(.*?)(?:\r?\n\r?\n|$)", 1).alias("head"),
-                     F.regexp_extract("m", r"(?s)^.*?\r?\n\r?\n(.*)$", 1).alias("body"))
+    A message starts at a line ``From <sender> <weekday> <month> <day> <time>
+    <year>``; any other line that begins with ``From`` is text.  Records are cut at ``\\nFrom `` and those that start no
+    message are joined to the message before them, within their file.  Header
+    fields come from the header block (up to the first blank line); a field
+    given several times keeps all its values, joined by a comma.  To/Cc/Bcc
+    become arrays (F21); the date is parsed with its offset into UTC (Q3 fix).
+    A multipart body keeps its first text part."""
+    raw = (spark.read.option("lineSep", "\nFrom ").text(path)
+           .select(F.col("value").alias("m"), F.col("_metadata.file_path").alias("file"),
+                   F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq")))
+    dated = r"^(?:From )?\S+ +(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun) +[A-Z][a-z]{2} +\d{1,2} +\d{1,2}:\d\d(?::\d\d)? .*\d{4}\s*(?:\n|$)"
+    order = Window.partitionBy("file").orderBy("block", "seq")
+    raw = raw.withColumn("n", F.sum(F.when(F.col("m").rlike(dated), 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    piece = F.struct("block", "seq", "m")
+    msg = raw.groupBy("file", "n").agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    text = F.array_join(F.transform("p", lambda x: x["m"]), "\nFrom ")
+    msg = msg.where("n > 0").select(F.regexp_replace(F.regexp_replace(text, r"^From ", ""), "\r\n", "\n").alias("m"))
+    msg = msg.select(F.regexp_extract("m", r"(?s)^.*?\n(.*?)(?:\n\n|$)", 1).alias("head"),
+                     F.regexp_extract("m", r"(?s)^.*?\n\n(.*)$", 1).alias("body"))
     cols = []
     for h in HEADER_NAMES:
-        val = F.regexp_extract("head", rf"(?mi)^{h}:[ \t]*(.*(?:\r?\n[ \t]+.*)*)", 1)
+        val = F.array_join(F.regexp_extract_all("head", F.lit(rf"(?mi)^{h}:[ \t]*(.*(?:\n[ \t]+.*)*)"), 1), ",")
         cols.append(F.when(val != "", val).alias(h.replace("-", "_")))
     out = msg.select(*cols, "body")
     for h in ("To", "Cc", "Bcc"):
         out = out.withColumn(h, F.when(F.col(h).isNotNull(), T.recipients(F.col(h))))
-    date = F.regexp_replace(F.col("Date"), r"\s*\([^)]*\)\s*$", "")
-    date = F.regexp_replace(date, r"^[A-Za-z]{3},\s*", "")          # weekday names are not parsed
-    parsed = F.coalesce(F.try_to_timestamp(date, F.lit("d MMM yyyy HH:mm:ss Z")),
-                        F.try_to_timestamp(date, F.lit("d MMM yyyy HH:mm Z")))
-    return out.withColumn("Date", parsed)
+    mark = F.concat(F.lit("--"), F.regexp_extract("Content_Type", r'(?i)boundary="?([^";\s]+)', 1))
+    part = F.get(F.filter(F.split(F.col("body"), F.concat(F.lit("\\Q"), mark, F.lit("\\E"))),
+                          lambda x: x.rlike(r"(?is)^\s*content-type:\s*text/")), F.lit(0))
+    first = F.regexp_extract(part, r"(?s)^\s*.*?\n\n(.*)$", 1)
+    body = F.when(F.col("Content_Type").rlike("(?i)multipart/") & part.isNotNull(), first).otherwise(F.col("body"))
+    return out.withColumns({"body": body, "Date": T.mail_date(F.col("Date"))})
 
 
 def save_table(df: DataFrame, path: str) -> None:
@@ -111,9 +123,13 @@ def save_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def hierarchy_json(groups: DataFrame, label: str, member: str, width: int = 30) -> DataFrame:
-    """IO20: one JSON object per group: {name, children: [{name}]}, the
-    label cut to ``width`` characters, groups with equal labels merged."""
+def hierarchy_json(groups: DataFrame, label: str, member: str, width: int = 30, chunk: int = 1000) -> DataFrame:
+    """IO20: JSON objects {name, children: [{name}]}, the label cut to
+    ``width`` characters, groups with equal labels merged.  A group of more
+    than ``chunk`` members is several objects of its name (``part`` 0, 1, ...),
+    so that a row stays bounded."""
     g = groups.select(F.substring(label, 1, width).alias("name"), F.col(member).alias("child")).distinct()
-    agg = g.groupBy("name").agg(F.array_sort(F.collect_list(F.struct(F.col("child").alias("name")))).alias("children"))
-    return agg.select(F.to_json(F.struct("name", "children")).alias("json"))
+    place = F.row_number().over(Window.partitionBy("name").orderBy("child")) - 1
+    g = g.withColumn("part", F.floor(place / chunk).cast("int"))
+    agg = g.groupBy("name", "part").agg(F.array_sort(F.collect_list(F.struct(F.col("child").alias("name")))).alias("children"))
+    return agg.select("name", "part", F.to_json(F.struct("name", "children")).alias("json"))

@@ -79,3 +79,19 @@ def test_document_store_pushdown(spark, tmp):
     assert sorted(r.id for r in df.collect()) == [1, 3]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThan(rc,3)" in plan
+
+
+def test_mbox_with_crlf_repeated_headers_and_parts(spark, tmp):
+    """A body line that begins with From is text, also in a CRLF file."""
+    text = ("From a@x Mon Dec  1 10:00:00 2025\nFrom: A <a@x>\nTo: b@x\nTo: c@x\nSubject: One\n\nbody\n\nFrom here on it is text\nFrom there too\n\n"
+            "From b@x Tue Dec  2 10:00:00 2025\nFrom: B <b@x>\nSubject: Two\nContent-Type: multipart/alternative; boundary=\"xyz\"\n\n"
+            "--xyz\nContent-Type: text/plain\n\nplain part\n--xyz\nContent-Type: text/html\n\n<p>html part</p>\n--xyz--\n")
+    for name, data in (("lf", text), ("crlf", text.replace("\n", "\r\n"))):
+        path = os.path.join(tmp, name)
+        with open(path, "w", newline="") as f:
+            f.write(data)
+        rows = sorted(IO.read_mbox(spark, path).collect(), key=lambda r: r["Subject"])
+        assert [r["Subject"] for r in rows] == ["One", "Two"]
+        assert rows[0]["To"] == ["b@x", "c@x"]
+        assert "From here on it is text\nFrom there too" in rows[0]["body"]
+        assert rows[1]["body"].strip() == "plain part"
