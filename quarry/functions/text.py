@@ -316,3 +316,17 @@ def mail_date(c) -> Column:
 def mail_epoch_ms(c) -> Column:
     """a mail date as milliseconds since 1970."""
     return F.unix_millis(mail_date(c))
+
+
+def geo(c) -> tuple[Column, Column]:
+    """latitude and longitude of the first element of class geo, given
+    as ``lat; lon`` or by child elements of class latitude and longitude."""
+    number = r"(-?[0-9]+(?:\.[0-9]+)?)"
+    inner = r"(?s)<[^>]*class=\"geo\"[^>]*>"
+    both = inner + rf"\s*{number}\s*;\s*{number}"
+
+    def part(i: int, name: str) -> Column:
+        child = inner + rf".*?class=\"{name}\"[^>]*>\s*{number}"
+        return F.coalesce(F.nullif(F.regexp_extract(_c(c), both, i), F.lit("")), F.nullif(F.regexp_extract(_c(c), child, 1), F.lit(""))).cast("double")
+
+    return part(1, "latitude"), part(2, "longitude")

@@ -81,3 +81,14 @@ def inverse_weight(d, num: float = 1.0, const: float = 0.1) -> Column:
 def subtract_weight(d, const: float = 1.0) -> Column:
     """max(const - d, 0)."""
     return F.greatest(F.lit(const) - _c(d), F.lit(0.0))
+
+
+def tanh(x) -> Column:
+    """the response of a node."""
+    return F.tanh(x)
+
+
+def dtanh(y) -> Column:
+    """the derivative of tanh, from its value."""
+    y = F.col(y) if isinstance(y, str) else y
+    return F.lit(1.0) - y * y

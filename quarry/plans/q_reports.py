@@ -56,20 +56,3 @@ def h8(spark, sf):
     t = Tables(spark, sf).part.select(F.explode(T.title_tokens("p_name")).alias("token"))
     c = t.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     return c.where((F.col("n") > 1) & (F.length("token") > 2))
-
-
-def _suffix_sql(c: str) -> str:
-    out = f"trim({c})"
-    for suf in T.COMPANY_SUFFIXES:
-        out = f"replace({out}, '{suf}', '')"
-    return out
-
-
-@register("h7_company_distribution", sql=f"""SELECT company, count(*) AS n FROM (
-  SELECT {_suffix_sql('p_brand')} AS company FROM part WHERE trim(p_brand) <> '') GROUP BY company HAVING count(*) > 1""")
-def h7(spark, sf):
-    """Company (here: part brand) frequencies after the suffix removals,
-    names used more than once."""
-    p = Tables(spark, sf).part.where(F.trim("p_brand") != "")
-    c = p.select(T.company_name("p_brand").alias("company")).groupBy("company").agg(F.count(F.lit(1)).alias("n"))
-    return c.where(F.col("n") > 1)
