@@ -1,4 +1,4 @@
-"""File sources and sinks (inventory IO2-IO12, IO18-IO22).
+"""File sources and sinks (inventory IO1-IO13, IO18-IO22).
 
 Readers return DataFrames with explicit schemas; writers use Spark's writers
 (one file set per table, written by the executors, never collected).
@@ -30,6 +30,29 @@ def write_count_matrix(counts: DataFrame, row: str, col: str, value: str, column
     wide.withColumnRenamed(row, first_header).write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
 
 
+def read_ratings(spark: SparkSession, items: str, data: str) -> DataFrame:
+    """IO1: (user_id, item, rating, ts): a ``|`` item file (number and title
+    are its first two fields) joined with a tab file of user, item, rating and
+    time.  Items of one title stay apart in the rows (Q1)."""
+    titles = (spark.read.schema("item_no string, item string").option("sep", "|").option("enforceSchema", True)
+              .option("mode", "PERMISSIVE").csv(items))
+    ratings = spark.read.schema("user_id string, item_no string, rating double, ts long").option("sep", "\t").csv(data)
+    return ratings.join(titles, "item_no").select("user_id", "item", "rating", "ts")
+
+
+def mails_to_mbox(spark: SparkSession, folder: str) -> DataFrame:
+    """IO13: (path, value): the messages of every folder named inbox below
+    ``folder`` as mbox records: a separator line of sender and date, then the
+    message.  ``value`` is ready for a text writer."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    m = files.where(F.col("path").rlike("/inbox/[^/]*$")).select("path", F.decode("content", "UTF-8").alias("m"))
+    m = m.withColumn("m", F.regexp_replace("m", "\r\n", "\n"))
+    sender = F.regexp_extract("m", r"(?m)^From:\s*(?:[^<\n]*<)?([^>\s]+)", 1)
+    date = T.mail_date(F.regexp_extract("m", r"(?m)^Date:\s*(.*)$", 1))
+    line = F.concat(F.lit("From "), sender, F.lit(" "), F.date_format(date, "EEE MMM dd HH:mm:ss yyyy"), F.lit("\n"))
+    return m.select("path", F.concat(line, F.col("m"), F.lit("\n")).alias("value")).where("value IS NOT NULL")
+
+
 def read_labelled_csv(spark: SparkSession, path: str, n_features: int, all_numeric: bool = True) -> DataFrame:
     """IO5: comma rows, last column an int label; (data array, match)."""
     cols = [f"c{i}" for i in range(n_features)]

@@ -1,20 +1,16 @@
-"""Structured Streaming operators (inventory ST1-ST3).
+"""Structured Streaming operators (inventory ST1-ST4).
 
-Streams read files as they arrive (``readStream``); results are written with
-``foreachBatch`` or a file sink whose checkpoint sits under the shared
-checkpoint folder.  Tests and registered queries use ``availableNow``
-triggers, so a stream processes what is present and stops.
-"""
+Streams read files as they arrive (``readStream``).  Results and state live in
+a folder that the caller names: run again with the same folder, a stream goes
+on where it stopped; a batch that is replayed after a failure replaces what it
+wrote before.  ``availableNow`` triggers process what is present and stop."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.session import scratch_path
 
 
 def keyword_filter(stream: DataFrame, col: str, terms: str) -> DataFrame:
@@ -27,52 +23,90 @@ def keyword_filter(stream: DataFrame, col: str, terms: str) -> DataFrame:
     return stream.where(cond)
 
 
-def file_stream(spark: SparkSession, folder: str, schema, pattern: str = "*", max_files: int = 1) -> DataFrame:
-    """A parquet file stream over the files of ``folder`` matching
-    ``pattern`` (new files are picked up as they arrive)."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .option("pathGlobFilter", pattern).parquet(folder))
+def file_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
+    """A parquet file stream over a table folder (or over one file's folder by
+    a glob in ``path``); ``max_files`` new files make a micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def run_available(df: DataFrame, name: str, fmt: str = "parquet") -> str:
-    """Run a streaming DataFrame to completion over the data present
-    (``availableNow``), writing a table under the checkpoint folder; returns
-    the table path."""
-    spark = df.sparkSession
-    out = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+def run_available(df: DataFrame, out: str, fmt: str = "parquet") -> str:
+    """Run a streaming DataFrame over the data present, adding to the table
+    ``out``; the progress is kept beside it, so a second run adds only what
+    is new."""
     q = (df.writeStream.format(fmt).option("path", out)
-         .option("checkpointLocation", out + "-ckpt").trigger(availableNow=True).start())
+         .option("checkpointLocation", out + "-progress").trigger(availableNow=True).start())
     q.awaitTermination()
     return out
 
 
-def incremental_counts(spark: SparkSession, stream: DataFrame, features: str, cat: str, name: str = "train") -> str:
-    """ST3: feature / category counts merged batch by batch.
-
-    Each micro-batch's counts go to the partition ``batch_id=<id>`` with
-    overwrite, so a replayed batch (after a failure) replaces its own counts
-    instead of adding them twice.  Returns the table path; ``merged_counts``
-    gives (feature, cat, n)."""
-    out = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        fc = (batch.select(F.explode(F.array_distinct(features)).alias("feature"), F.col(cat).alias("cat"))
-              .groupBy("feature", "cat").agg(F.count(F.lit(1)).alias("n")))
-        fc.write.mode("overwrite").parquet(f"{out}/fc/batch_id={batch_id}")
-        cc = batch.groupBy(F.col(cat).alias("cat")).agg(F.count(F.lit(1)).alias("n"))
-        cc.write.mode("overwrite").parquet(f"{out}/cc/batch_id={batch_id}")
-
-    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", out + "-ckpt")
+def _each_batch(stream: DataFrame, out: str, work) -> str:
+    q = (stream.writeStream.foreachBatch(work).option("checkpointLocation", out + "-progress")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return out
 
 
-def merged_counts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Sum the per-batch counts written by ``incremental_counts``."""
-    fc = spark.read.parquet(f"{path}/fc").groupBy("feature", "cat").agg(F.sum("n").alias("n"))
-    cc = spark.read.parquet(f"{path}/cc").groupBy("cat").agg(F.sum("n").alias("n"))
-    return fc, cc
+def _batch_counts(batch: DataFrame, batch_id: int, features: str, cat: str, out: str) -> None:
+    fc = (batch.select(F.explode(F.array_distinct(features)).alias("feature"), F.col(cat).alias("cat"))
+          .groupBy("feature", "cat").agg(F.count(F.lit(1)).alias("n")))
+    fc.write.mode("overwrite").parquet(f"{out}/fc/batch_id={batch_id}")
+    cc = batch.groupBy(F.col(cat).alias("cat")).agg(F.count(F.lit(1)).alias("n"))
+    cc.write.mode("overwrite").parquet(f"{out}/cc/batch_id={batch_id}")
+
+
+def incremental_counts(stream: DataFrame, features: str, cat: str, out: str) -> str:
+    """ST3: feature / category counts kept batch by batch under ``out``.
+
+    Each micro-batch's counts go to the partition ``batch_id=<id>`` with
+    overwrite, so a replayed batch replaces its own counts instead of adding
+    them twice.  ``merged_counts`` gives (feature, cat, n)."""
+    return _each_batch(stream, out, lambda batch, i: _batch_counts(batch, i, features, cat, out))
+
+
+def merged_counts(spark: SparkSession, path: str, before: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The sum of the batches' counts, of those before batch ``before`` if
+    given."""
+    parts = []
+    for name, keys in (("fc", ["feature", "cat"]), ("cc", ["cat"])):
+        df = spark.read.parquet(f"{path}/{name}")
+        if before is not None:
+            df = df.where(F.col("batch_id") < before)
+        parts.append(df.groupBy(*keys).agg(F.sum("n").alias("n")))
+    return parts[0], parts[1]
+
+
+def classify_and_train(stream: DataFrame, key: str, features: str, cat: str, out: str, default: str = "unknown") -> str:
+    """ST4: each micro-batch is first classified with the counts of the
+    batches before it and then learnt from.  Decisions (key, category) go to
+    ``out``/decided, by batch; the first batch, with nothing learnt, gets
+    ``default``."""
+    from quarry.operators import classify as C
+
+    def work(batch: DataFrame, i: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()   # classified, counted twice; released below
+        if i == 0:
+            got = batch.select(key, F.lit(default).alias("category"))
+        else:
+            fc, cc = merged_counts(spark, out, i)
+            got = C.nb_classify(batch, key, features, fc, cc, None, default)
+        got.write.mode("overwrite").parquet(f"{out}/decided/batch_id={i}")
+        _batch_counts(batch, i, features, cat, out)
+        batch.unpersist()
+
+    return _each_batch(stream, out, work)
+
+
+def snapshots(stream: DataFrame, by: list[str], out: str) -> str:
+    """ST2: a snapshot of counts per micro-batch, under ``snapshot=<id>`` with
+    the time it was taken; with a processing-time trigger that is a snapshot
+    per interval."""
+
+    def work(batch: DataFrame, i: int) -> None:
+        n = batch.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("taken_at", F.current_timestamp())
+        n.write.mode("overwrite").parquet(f"{out}/snapshot={i}")
+
+    return _each_batch(stream, out, work)
 
 
 def labelled_word_sets(stream: DataFrame, labels: DataFrame) -> DataFrame:
