@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import vectors as V
+from quarry.session import cut_lineage
 
 DISTANCES = {"pearson": V.pearson_distance, "euclidean": V.euclidean, "tanimoto": V.tanimoto}
 
@@ -25,9 +26,10 @@ def rotate(df: DataFrame, id_col: str, vec: str) -> DataFrame:
     return df.select(F.posexplode(vec).alias("row", "x"), F.col(id_col).alias("col"))
 
 
-def kmeans(df: DataFrame, id_col: str, vec: str, k: int = 4, distance: str = "pearson", max_iter: int = 100,
+def kmeans(df: DataFrame, id_col: str, vec: str, k: int = 4, distance="pearson", max_iter: int = 100,
            seed: int = 0) -> tuple[DataFrame, list]:
-    """Lloyd iterations with a chosen distance.
+    """Lloyd iterations with a chosen distance (a name of ``DISTANCES`` or
+    a function of two vector columns).
 
     Start: k random points inside the per-dimension [min, max] ranges
     (seeded).  Each round assigns every row to the nearest centroid (ties to
@@ -35,11 +37,12 @@ def kmeans(df: DataFrame, id_col: str, vec: str, k: int = 4, distance: str = "pe
     cluster, and stops when the assignment no longer changes (compared by a
     checksum of the assignment) or after max_iter rounds.
     Returns (assignment (id, cluster), centroids)."""
-    dist = DISTANCES[distance]
-    ranges = (df.select(F.posexplode(vec).alias("pos", "x")).groupBy("pos")
-              .agg(F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("pos").collect())
+    dist = distance if callable(distance) else DISTANCES[distance]
+    df = cut_lineage(df.select(id_col, vec))      # read every round
+    dims = df.agg(F.max(F.size(vec))).first()[0] or 0
+    ends = df.agg(*[f(F.get(F.col(vec), F.lit(i))).alias(f"{n}{i}") for i in range(dims) for n, f in (("lo", F.min), ("hi", F.max))]).first()
     rnd = random.Random(seed)
-    cents = [[r["lo"] + rnd.random() * (r["hi"] - r["lo"]) for r in ranges] for _ in range(k)]
+    cents = [[ends[f"lo{i}"] + rnd.random() * (ends[f"hi{i}"] - ends[f"lo{i}"]) for i in range(dims)] for _ in range(k)]
     last = None
     assign = None
     for _ in range(max_iter):
@@ -50,10 +53,19 @@ def kmeans(df: DataFrame, id_col: str, vec: str, k: int = 4, distance: str = "pe
         if sig == last:
             break
         last = sig
-        means = (assign.select("cluster", F.posexplode(vec).alias("pos", "x")).groupBy("cluster", "pos")
-                 .agg(F.avg("x").alias("m")).collect())
-        new = [list(c) for c in cents]
+        # k rows of dims numbers; one aggregate per dimension, nothing exploded
+        means = assign.groupBy("cluster").agg(*[F.avg(F.get(F.col(vec), F.lit(i))).alias(f"m{i}") for i in range(dims)]).collect()
         for r in means:
-            new[r["cluster"]][r["pos"]] = r["m"]
-        cents = new
+            cents[r["cluster"]] = [r[f"m{i}"] for i in range(dims)]
     return assign.select(id_col, "cluster"), cents
+
+
+def weighted_kmeans(df: DataFrame, features: list[str], weight: str, k: int = 3, seed: int = 0):
+    """K-means of points that stand for ``weight`` equal rows each, by
+    Spark's own estimator.  Returns (rows with ``cluster``, centroids)."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    data = VectorAssembler(inputCols=features, outputCol="_v").transform(df)
+    model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="cluster", weightCol=weight).fit(data)
+    return model.transform(data).drop("_v"), [list(map(float, c)) for c in model.clusterCenters()]

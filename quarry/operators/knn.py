@@ -36,6 +36,11 @@ WEIGHTS: dict[str, Callable[[Column], Column]] = {
 }
 
 
+def _weight(weightf) -> Callable[[Column], Column]:
+    """A weight function by name, or any function of a distance column."""
+    return weightf if callable(weightf) else WEIGHTS[weightf]
+
+
 def distances(data: DataFrame, query: list[float], id_col: str = "id", vec: str = "input") -> DataFrame:
     """(id, distance, result) of every row to the query point."""
     d = F.round(V.euclidean(vec, V.lit_vector(query)), DIST_DIGITS)
@@ -55,7 +60,7 @@ def knn_estimate(data: DataFrame, query: list[float], k: int = 5, id_col: str =
 def weighted_knn(data: DataFrame, query: list[float], k: int = 5, weightf: str = "gaussian",
                  id_col: str = "id", vec: str = "input") -> DataFrame:
     """Weight-averaged result of the k nearest rows; 0 when all weights are 0."""
-    w = WEIGHTS[weightf](F.col("distance"))
+    w = _weight(weightf)(F.col("distance"))
     n = nearest(data, query, k, id_col, vec).select((w * F.col("result")).alias("wr"), w.alias("w"))
     tot = F.sum("w")
     return n.agg(F.when(tot == 0, F.lit(0.0)).otherwise(F.sum("wr") / tot).alias("estimate"))
@@ -69,7 +74,7 @@ def prob_guess(data: DataFrame, query: list[float], ranges: DataFrame, k: int =
     The k neighbours are few (k rows); they are collected once and the
     ranges table is evaluated against them as literals."""
     nb = nearest(data, query, k, id_col, vec).collect()
-    wf = WEIGHTS[weightf]
+    wf = _weight(weightf)
     tw = None
     nw = None
     for r in nb:

@@ -305,14 +305,26 @@ def hidden_key(words: list) -> str:
     return "_".join(sorted(str(w) for w in words))
 
 
-def nn_scores(wordhidden: DataFrame, hiddenurl: DataFrame, words: DataFrame, urls: DataFrame) -> DataFrame:
-    """RK14: output of the click network for every (query, url) pair.
-
-    ``words(query_id, word)``, ``urls(query_id, urlid)``; edges are
-    ``(fromid, toid, strength)``.  Hidden nodes are those linked to a query
-    word or a candidate url; a missing word->hidden weight counts -0.2 and a
-    missing hidden->url weight 0.  Output (query_id, urlid, score) with
-    score = tanh(sum_j tanh(sum_i w_ij) * w_jk)."""
+def click_network(words: DataFrame, urls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """RK13 start: one hidden node per word set of a query with at most three
+    words; weights 1 / words from each word and 0.1 to each candidate url.
+    ``words(query_id, word)``, ``urls(query_id, urlid)``; the edge tables are
+    (fromid, toid, strength)."""
+    keys = (words.distinct().groupBy("query_id").agg(F.array_sort(F.collect_list("word")).alias("ws"))
+            .where(F.size("ws") <= 3).select("query_id", "ws", F.array_join("ws", "_").alias("hid")))
+    wh = keys.select("hid", "ws").distinct().select(F.explode("ws").alias("fromid"), F.col("hid").alias("toid"),
+                                                    (F.lit(1.0) / F.size("ws")).alias("strength"))
+    hu = (keys.join(urls, "query_id").select(F.col("hid").alias("fromid"), F.col("urlid").alias("toid")).distinct()
+          .withColumn("strength", F.lit(0.1)))
+    return wh, hu
+
+
+NO_WORD = -0.2          # strength of a missing word -> hidden edge; a missing hidden -> url edge has 0
+
+
+def _activations(wordhidden: DataFrame, hiddenurl: DataFrame, words: DataFrame, urls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(query_id, hid, ah) of the hidden nodes linked to a query's words or
+    candidate urls, and (query_id, urlid, ao)."""
     wh = wordhidden.select(F.col("fromid").alias("word"), F.col("toid").alias("hid"), F.col("strength").alias("s"))
     hu = hiddenurl.select(F.col("fromid").alias("hid"), F.col("toid").alias("urlid"), F.col("strength").alias("s"))
     hid = (words.join(wh, "word").select("query_id", "hid")
@@ -322,8 +334,45 @@ def nn_scores(wordhidden: DataFrame, hiddenurl: DataFrame, words: DataFrame, url
             .agg(F.sum("s").alias("s"), F.count(F.lit(1)).alias("m")))
     ah = (hid.join(nq, "query_id").join(have, ["query_id", "hid"], "left")
           .select("query_id", "hid", F.tanh(F.coalesce("s", F.lit(0.0)) +
-                                            F.lit(-0.2) * (F.col("nw") - F.coalesce("m", F.lit(0)))).alias("ah")))
+                                            F.lit(NO_WORD) * (F.col("nw") - F.coalesce("m", F.lit(0)))).alias("ah")))
     out = (ah.join(hu, "hid").join(urls, ["query_id", "urlid"])
            .groupBy("query_id", "urlid").agg(F.sum(F.col("ah") * F.col("s")).alias("z")))
-    return (urls.join(out, ["query_id", "urlid"], "left")
-            .select("query_id", "urlid", F.tanh(F.coalesce("z", F.lit(0.0))).alias("score")))
+    ao = (urls.join(out, ["query_id", "urlid"], "left")
+          .select("query_id", "urlid", F.tanh(F.coalesce("z", F.lit(0.0))).alias("ao")))
+    return ah, ao
+
+
+def train_clicks(wordhidden: DataFrame, hiddenurl: DataFrame, words: DataFrame, urls: DataFrame, clicks: DataFrame,
+                 rate: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """RK13: one gradient step over a batch of clicks (query_id, urlid): the
+    changes that the queries ask for are summed per edge (Q22), edges that a
+    query lacked become explicit."""
+    ah, ao = (cut_lineage(x) for x in _activations(wordhidden, hiddenurl, words, urls))
+    wanted = clicks.select("query_id", "urlid").distinct().withColumn("t", F.lit(1.0))
+    od = cut_lineage(ao.join(wanted, ["query_id", "urlid"], "left").select(
+        "query_id", "urlid", ((F.lit(1.0) - F.col("ao") * F.col("ao")) * (F.coalesce("t", F.lit(0.0)) - F.col("ao"))).alias("od")))
+    old_hu = hiddenurl.select(F.col("fromid").alias("hid"), F.col("toid").alias("urlid"), F.col("strength").alias("s"))
+    pair = ah.join(od, "query_id").join(old_hu, ["hid", "urlid"], "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
+    pair = cut_lineage(pair)
+    hd = (pair.groupBy("query_id", "hid").agg(F.sum(F.col("od") * F.col("s")).alias("e"), F.first("ah").alias("ah"))
+          .select("query_id", "hid", ((F.lit(1.0) - F.col("ah") * F.col("ah")) * F.col("e")).alias("hd")))
+    hu = pair.groupBy("hid", "urlid").agg((F.first("s") + F.lit(rate) * F.sum(F.col("od") * F.col("ah"))).alias("new"))
+    change = words.distinct().join(hd, "query_id").groupBy("word", "hid").agg(F.sum("hd").alias("d"))
+    old_wh = wordhidden.select(F.col("fromid").alias("word"), F.col("toid").alias("hid"), F.col("strength").alias("s"))
+    wh = old_wh.join(change, ["word", "hid"], "full_outer").select(
+        F.col("word").alias("fromid"), F.col("hid").alias("toid"),
+        (F.coalesce("s", F.lit(NO_WORD)) + F.lit(rate) * F.coalesce("d", F.lit(0.0))).alias("strength"))
+    left = old_hu.join(hu, ["hid", "urlid"], "full_outer").select(
+        F.col("hid").alias("fromid"), F.col("urlid").alias("toid"), F.coalesce("new", "s").alias("strength"))
+    return wh, left
+
+
+def nn_scores(wordhidden: DataFrame, hiddenurl: DataFrame, words: DataFrame, urls: DataFrame) -> DataFrame:
+    """RK14: output of the click network for every (query, url) pair.
+
+    ``words(query_id, word)``, ``urls(query_id, urlid)``; edges are
+    ``(fromid, toid, strength)``.  Hidden nodes are those linked to a query
+    word or a candidate url; a missing word->hidden weight counts -0.2 and a
+    missing hidden->url weight 0.  Output (query_id, urlid, score) with
+    score = tanh(sum_j tanh(sum_i w_ij) * w_jk)."""
+    return _activations(wordhidden, hiddenurl, words, urls)[1].withColumnRenamed("ao", "score")

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.operators import classify as C
 from quarry.operators.relational import min_max
-from quarry.plans.q_relational import wordset_sql
+from quarry.plans.q_relational import p11, wordset_sql
 from quarry.plans.registry import register
+from quarry.session import cut_lineage
 from quarry.sources.tables import Tables
 
 NB_THRESHOLDS = {"bad": 3.0}
@@ -137,6 +138,42 @@ def b9(spark, sf):
     return _train(spark, sf, repeat=10)[0]
 
 
+_MATRIX_SQL = """mt AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), lambda x: length(x) >= 4)) AS word FROM documents),
+mc AS (SELECT doc_id, word, count(*) AS n FROM mt GROUP BY 1, 2),
+mk AS (SELECT word FROM mc GROUP BY 1 HAVING sum(n) > 3 AND sum(n) < (SELECT count(*) FROM documents) * 0.6),
+cells AS (SELECT doc_id, word FROM mc SEMI JOIN mk USING (word)),
+names AS (SELECT d.doc_id, coalesce(list(word) FILTER (word IS NOT NULL), []) AS fs FROM documents d LEFT JOIN cells USING (doc_id) GROUP BY 1)"""
+
+
+def _names(spark, sf):
+    """per document the names of its non-zero matrix columns."""
+    cells = p11(spark, sf).where("n > 0").groupBy("doc_id").agg(F.collect_list("word").alias("fs"))
+    docs = Tables(spark, sf).documents.select("doc_id")
+    return docs.join(cells, "doc_id", "left").select("doc_id", F.coalesce("fs", F.array().cast("array<string>")).alias("fs"))
+
+
+@register("f41_feature_names", sql=f"WITH {_MATRIX_SQL} SELECT doc_id, array_to_string(list_sort(fs), ' ') AS names FROM names")
+def f41(spark, sf):
+    """Names of the non-zero columns of the document x word matrix."""
+    return _names(spark, sf).select("doc_id", F.array_join(F.array_sort("fs"), " ").alias("names"))
+
+
+_VECTORS_SQL = (f"{_MATRIX_SQL},\n" + _BASE_SQL
+                .replace(f"{wordset_sql('d.text')} AS fs FROM documents d JOIN labels l ON d.doc_id = l.doc_id", "d.fs FROM names d JOIN labels l ON d.doc_id = l.doc_id")
+                .replace(f"{wordset_sql('text')} AS fs FROM documents WHERE", "fs FROM names WHERE"))
+
+
+@register("b10_classify_word_vectors", sql=f"""WITH {_VECTORS_SQL}
+SELECT doc_id, CASE WHEN nb_bad + ln(c_bad / total) >= nb_good + ln(c_good / total) THEN 'bad' ELSE 'good' END AS category FROM sc, ccw""")
+def b10(spark, sf):
+    """Naive Bayes over the word vectors of the matrix."""
+    labels = Tables(spark, sf).labels
+    names = cut_lineage(_names(spark, sf))
+    train = names.join(labels, "doc_id").select(F.when(F.col("quality") == 1, "good").otherwise("bad").alias("cat"), "fs")
+    fc, cc = C.train_counts(train, "fs", "cat")
+    return C.nb_classify(names.join(labels, "doc_id", "left_anti"), "doc_id", "fs", fc, cc)
+
+
 # ---- vector classifiers ----------------------------------------------------------
 
 _MEANS_SQL = """vl AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(0, len(embedding))) AS pos FROM embeddings),

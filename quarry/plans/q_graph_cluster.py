@@ -10,7 +10,7 @@ from quarry.operators import cluster as CL
 from quarry.operators import graph as G
 from quarry.operators.classify import class_means
 from quarry.plans.registry import register
-from quarry.sources.tables import PART_EDGES_SQL, Tables
+from quarry.sources.tables import PART_EDGES_SQL, PREFS_SQL, Tables
 
 SEED_PART = 558
 
@@ -127,3 +127,33 @@ def c5e(spark, sf):
     """K-means (k = 10, Euclidean distance) of the embeddings."""
     a, _ = CL.kmeans(Tables(spark, sf).embeddings, "vec_id", "embedding", k=10, distance="euclidean")
     return a
+
+
+@register("g1_interest_graph", sql=f"""WITH {PREFS_SQL}, e AS (SELECT src, dst FROM (
+  SELECT user_id::VARCHAR AS src, item_id::VARCHAR AS dst, row_number() OVER (PARTITION BY user_id ORDER BY item_id::VARCHAR) AS r FROM prefs) WHERE r <= 500)
+SELECT 'likes' AS kind, src AS id, dst AS other FROM e UNION ALL SELECT DISTINCT 'user', src, '' FROM e UNION ALL SELECT DISTINCT 'item', dst, '' FROM e""")
+def g1(spark, sf):
+    """Typed nodes and edges of customers and the parts they bought."""
+    nodes, edges = G.interest_graph(Tables(spark, sf).prefs(), "user_id", "item_id")
+    return (edges.select(F.col("type").alias("kind"), F.col("src").alias("id"), F.col("dst").alias("other"))
+            .unionByName(nodes.select(F.col("type").alias("kind"), "id", F.lit("").alias("other"))))
+
+
+@register("g8_mutual_friends", sql=f"""WITH {PART_EDGES_SQL},
+u AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM part_edges WHERE src <> dst),
+x AS (SELECT a, b FROM u UNION ALL SELECT b, a FROM u), m AS (SELECT b AS f FROM x WHERE a = {SEED_PART})
+SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst FROM (
+  SELECT {SEED_PART} AS src, f AS dst FROM m UNION ALL SELECT x.a, x.b FROM x JOIN m p ON p.f = x.a JOIN m q ON q.f = x.b)""")
+def g8(spark, sf):
+    """One part, its neighbours, and the edges among them."""
+    return G.mutual_friend_edges(SEED_PART, G.mutual_friends(_edges(spark, sf), SEED_PART))
+
+
+@register("c12_location_clusters")
+def c12(spark, sf):
+    """Places (nations, at coordinates made of their numbers) in three clusters,
+    weighted by their customers."""
+    t = Tables(spark, sf)
+    n = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).cast("double").alias("freq"))
+    at = n.select("c_nationkey", (F.col("c_nationkey") % 5 * 10.0).alias("lon"), (F.col("c_nationkey") % 7 * 5.0).alias("lat"), "freq")
+    return CL.weighted_kmeans(at, ["lon", "lat"], "freq")[0].select("c_nationkey", "cluster")

@@ -105,6 +105,7 @@ def n8(spark, sf):
 
 @register("n4_random_split")
 def n4(spark, sf):
-    """Test rows of a seeded 10 % split (same rows in any partitioning)."""
+    """Both parts of a seeded 10 % split (same rows in any partitioning)."""
     data, _ = _data(spark, sf)
-    return N.random_split(data, "id", 0.1, 42)[1].select("id")
+    train, test = N.random_split(data, "id", 0.1, 42)
+    return train.select("id", F.lit("train").alias("part")).unionByName(test.select("id", F.lit("test").alias("part")))

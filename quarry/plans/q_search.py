@@ -227,3 +227,67 @@ def rk12p(spark, sf):
     s = S.match_summary(_page_index(spark, sf, words), words)
     k = len(words)
     return S.weighted_total([(1.0, S.location_score(s)), (1.0, S.frequency_score(s)), (1.0, S.distance_score(s, k))])
+
+
+RARE_QUERY = ["chouou", "que"]
+
+
+@register("j1_match_rows", sql=f"""WITH {DOC_INDEX_SQL}
+SELECT a.urlid, a.location AS loc0, b.location AS loc1 FROM wl a JOIN wl b USING (urlid) WHERE a.word = '{RARE_QUERY[0]}' AND b.word = '{RARE_QUERY[1]}'""")
+def j1(spark, sf):
+    """Every combination of places of two words, one of them rare."""
+    return S.match_rows(_doc_index(spark, sf, RARE_QUERY), RARE_QUERY)
+
+
+# Queries are part names, their words the query words; candidates are the
+# brands of the parts of that name, clicked is the brand sold most often.
+_CLICKS_SQL = """words AS (SELECT DISTINCT p_name AS query_id, unnest(string_split(p_name, ' ')) AS word FROM part),
+urls AS (SELECT DISTINCT p_name AS query_id, p_brand AS urlid FROM part),
+sold AS (SELECT p_name AS query_id, p_brand AS urlid, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
+clicks AS (SELECT query_id, urlid FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, urlid) AS r FROM sold) WHERE r = 1),
+keys AS (SELECT query_id, list_sort(list(word)) AS ws FROM words GROUP BY 1),
+keyed AS (SELECT query_id, ws, array_to_string(ws, '_') AS hid FROM keys WHERE len(ws) <= 3),
+wh AS (SELECT DISTINCT unnest(ws) AS word, hid, 1.0 / len(ws) AS s FROM keyed),
+hu AS (SELECT DISTINCT hid, urlid, 0.1 AS s FROM keyed JOIN urls USING (query_id)),
+hids AS (SELECT query_id, hid FROM words JOIN wh USING (word) UNION SELECT query_id, hid FROM urls JOIN hu USING (urlid)),
+ah AS (SELECT h.query_id, h.hid, tanh(sum(coalesce(wh.s, -0.2))) AS ah FROM hids h JOIN words w ON w.query_id = h.query_id
+       LEFT JOIN wh ON wh.word = w.word AND wh.hid = h.hid GROUP BY ALL),
+ao AS (SELECT u.query_id, u.urlid, tanh(coalesce(sum(ah.ah * hu.s), 0.0)) AS ao FROM urls u LEFT JOIN ah ON ah.query_id = u.query_id
+       LEFT JOIN hu ON hu.hid = ah.hid AND hu.urlid = u.urlid GROUP BY ALL)"""
+
+
+def _clicks(spark, sf):
+    t = Tables(spark, sf)
+    words = t.part.select(F.col("p_name").alias("query_id"), F.explode(F.split("p_name", " ")).alias("word")).distinct()
+    urls = t.part.select(F.col("p_name").alias("query_id"), F.col("p_brand").alias("urlid")).distinct()
+    sold = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("p_name").alias("query_id"), F.col("p_brand").alias("urlid"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    best = sold.groupBy("query_id").agg(F.min_by("urlid", F.struct(-F.col("n"), "urlid")).alias("urlid"))
+    return words, urls, best
+
+
+@register("rk14_click_scores", sql=f"WITH {_CLICKS_SQL} SELECT query_id, urlid, ao AS score FROM ao")
+def rk14(spark, sf):
+    """Output of the untrained click network for every query and candidate."""
+    words, urls, _ = _clicks(spark, sf)
+    wh, hu = S.click_network(words, urls)
+    return S.nn_scores(wh, hu, words, urls)
+
+
+@register("rk13_click_training", sql=f"""WITH {_CLICKS_SQL},
+od AS (SELECT ao.query_id, ao.urlid, (1 - ao * ao) * (CASE WHEN c.urlid IS NULL THEN 0.0 ELSE 1.0 END - ao) AS od
+       FROM ao LEFT JOIN clicks c ON c.query_id = ao.query_id AND c.urlid = ao.urlid),
+hd AS (SELECT ah.query_id, ah.hid, any_value((1 - ah * ah)) * sum(od.od * coalesce(hu.s, 0.0)) AS hd FROM ah JOIN od USING (query_id)
+       LEFT JOIN hu ON hu.hid = ah.hid AND hu.urlid = od.urlid GROUP BY ALL),
+nhu AS (SELECT ah.hid, od.urlid, coalesce(any_value(hu.s), 0.0) + 0.5 * sum(od.od * ah.ah) AS s FROM ah JOIN od USING (query_id)
+        LEFT JOIN hu ON hu.hid = ah.hid AND hu.urlid = od.urlid GROUP BY ALL),
+nwh AS (SELECT w.word, hd.hid, coalesce(any_value(wh.s), -0.2) + 0.5 * sum(hd.hd) AS s FROM words w JOIN hd USING (query_id)
+        LEFT JOIN wh ON wh.word = w.word AND wh.hid = hd.hid GROUP BY ALL)
+SELECT 'word' AS layer, word AS fromid, hid AS toid, s AS strength FROM nwh
+UNION ALL SELECT 'url', hid, urlid, s FROM nhu""")
+def rk13(spark, sf):
+    """The network's edges after one batch of clicks."""
+    words, urls, clicks = _clicks(spark, sf)
+    wh, hu = S.train_clicks(*S.click_network(words, urls), words, urls, clicks)
+    layer = lambda df, name: df.select(F.lit(name).alias("layer"), "fromid", "toid", "strength")
+    return layer(wh, "word").unionByName(layer(hu, "url"))
