@@ -40,7 +40,7 @@ from quarry.llm.common import cut_lineage, fits_broadcast, hashed_key, map_frame
 ORDER = 4
 UNIT = 16  # bits
 PAD = "\n" * (ORDER - 1)  # a text's start is like a line's
-CHUNK = 1 << 21  # units looked at together
+CHUNK = 1 << 19  # units looked at together
 HELD_OUT = 10  # one trusted document in so many sets the quantiles
 
 

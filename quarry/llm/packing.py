@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import cut_lineage, hashed_key
 
 #: Chunks in a generation of a worker's cache.
-CACHE = 500_000
+CACHE = 300_000
 PIECES = "doc_id long, k1 long, k2 long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -65,15 +65,17 @@ class Encoder:
         self.plain = re.compile(r"([A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
-        """Ids of letters or of punctuation, lower case."""
-        ids = self.words.get(part)
+        """Ids of letters or of punctuation, lower case; a chunk of its own."""
+        ids = self.young.get(part)
         if ids is None:
-            spelled = part.encode().decode("latin-1").translate(self.spelling)
-            x = [t.id for t in self.tokenize(spelled)]
-            ids = self.words[part] = struct.pack(f"<{len(x)}I", *x)
+            ids = self.old.get(part)
+            if ids is None:
+                spelled = part.encode().decode("latin-1").translate(self.spelling)
+                x = [t.id for t in self.tokenize(spelled)]
+                ids = struct.pack(f"<{len(x)}I", *x)
+            self.young[part] = ids
         return ids
 
     def _learn(self, new: list[str]) -> None:
@@ -84,7 +86,10 @@ class Encoder:
                 young[c] = ids
             elif m := plain(c):
                 letters, rest = m.groups()
-                young[c] = self._part(letters.lower()) + self._part(rest) if rest else self._part(letters.lower())
+                low = letters.lower()
+                ids = self._part(c if low == c else low)
+                if low != c:
+                    young[c] = ids + self._part(rest) if rest else ids
             else:
                 odd.append(c)
         for at in range(0, len(odd), 4096):
@@ -96,10 +101,10 @@ class Encoder:
         chunks = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         if len(self.young) > CACHE:
             self.young, self.old = {}, self.young
-        if len(self.words) > CACHE:
-            self.words = {}
-        self._learn(list(set().union(*chunks).difference(self.young)))
-        get = self.young.__getitem__
+        distinct = set().union(*chunks)
+        self._learn(list(distinct.difference(self.young)))
+        young = self.young
+        get = {c: young[c] for c in distinct}.__getitem__  # small, and so near
         for cs in chunks:
             yield b"".join(map(get, cs))
 
@@ -124,8 +129,8 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1,
         encode, end = encoder(tokenizer), end_id.to_bytes(4, "little")
         columns = [c.split()[0] for c in PIECES.split(", ")] + ["ids"] * with_ids
         for frame in frames:
-            for at in range(0, len(frame), 256):
-                part = frame.iloc[at:at + 256]
+            for at in range(0, len(frame), 64):
+                part = frame.iloc[at:at + 64]
                 out = []
                 meta = part[["doc_id", "k1", "k2"]].itertuples(index=False)
                 for (doc, a, b), ids in zip(meta, encode(part["t"].tolist()), strict=True):
