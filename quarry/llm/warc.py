@@ -156,21 +156,22 @@ def candidates(files: DataFrame, range_bytes: int) -> DataFrame:
 
     schema = ("path string, length long, range long, off long, succ long, jump long, block long, size long, kind string, "
               "record string, refers string, digest string")
-    return ranges.repartition(int(min(n, 10_000)), "path", "range").mapInPandas(run, schema)
+    found = ranges.repartition(int(min(n, 10_000)), "path", "range").mapInPandas(run, schema)
+    return found.withColumn("file", F.xxhash64("path"))  # what joins carry instead of the path
 
 
 def _entries(found: DataFrame, most_ranges: int) -> DataFrame:
-    """(path, off) of the first record that the chain from the file's start
+    """(file, off) of the first record that the chain from the file's start
     meets in each range."""
-    reached = cut_lineage(found.where("off = 0").select("path", "off"))
+    reached = cut_lineage(found.where("off = 0").select("file", "off"))
     # a pointer to the file's end has nothing to meet there
-    jumps = found.where("jump < length").select("path", "off", F.col("jump").alias("to"))
+    jumps = found.where("jump < length").select("file", "off", F.col("jump").alias("to"))
     hops = 1
     while hops < most_ranges:
-        far = reached.join(jumps, ["path", "off"]).select("path", F.col("to").alias("off"))
+        far = reached.join(jumps, ["file", "off"]).select("file", F.col("to").alias("off"))
         reached = cut_lineage(reached.union(far).distinct())
-        step = jumps.select("path", F.col("off").alias("to"), F.col("to").alias("next"))
-        jumps = cut_lineage(jumps.join(step, ["path", "to"]).select("path", "off", F.col("next").alias("to")))
+        step = jumps.select("file", F.col("off").alias("to"), F.col("to").alias("next"))
+        jumps = cut_lineage(jumps.join(step, ["file", "to"]).select("file", "off", F.col("next").alias("to")))
         hops *= 2
     return reached
 
@@ -178,8 +179,8 @@ def _entries(found: DataFrame, most_ranges: int) -> DataFrame:
 def verified(found: DataFrame, most_ranges: int) -> DataFrame:
     """The candidates that the chain of record boundaries from the start of
     their file reaches."""
-    entries = _entries(found, most_ranges).select("path", F.col("off").alias("off"), F.lit(True).alias("entry"))
-    flagged = found.join(entries, ["path", "off"], "left")
+    entries = _entries(found, most_ranges).withColumn("entry", F.lit(True))
+    flagged = found.select("file", "range", "off", "succ").join(entries, ["file", "off"], "left")
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         succ = dict(zip(pdf["off"].tolist(), pdf["succ"].tolist(), strict=True))
@@ -188,11 +189,10 @@ def verified(found: DataFrame, most_ranges: int) -> DataFrame:
             while at in succ and at not in on:
                 on.add(at)
                 at = succ[at]
-        return pdf.loc[pdf["off"].isin(on), ["path", "range", "off"]]
+        return pdf.loc[pdf["off"].isin(on), ["file", "range", "off"]]
 
-    chain = flagged.select("path", "range", "off", "succ", "entry").groupBy("path", "range").applyInPandas(
-        walk, "path string, range long, off long")
-    return found.join(chain.select("path", "off"), ["path", "off"])
+    chain = flagged.groupBy("file", "range").applyInPandas(walk, "file long, range long, off long")
+    return found.join(chain.select("file", "off"), ["file", "off"])
 
 
 def _payload(f, block: int, size: int, head_max: int = MAX_HEADER) -> tuple[int, dict[str, str]]:
