@@ -5,6 +5,8 @@ over (message, kind, value) rows."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,15 +81,17 @@ def content_report(df: DataFrame, flat: DataFrame, text: str) -> DataFrame:
     """H2: one row: lexical diversity of words, of screen names and of
     hashtags, and mean words per message."""
     words = df.select(T.ws_tokens(text).alias("w"))
-    w = words.select(F.explode("w").alias("w")).agg((F.countDistinct("w") / F.count("w")).alias("word_diversity"))
-    a = words.agg(F.avg(F.size("w")).alias("avg_words"))
+    w = words.select(F.explode("w").alias("w"))
 
-    def diversity(kind: str) -> DataFrame:
+    def diversity(kind: str) -> Column:
         v = F.when(F.col("kind") == kind, F.col("value"))
-        return flat.agg((F.countDistinct(v) / F.count(v)).alias(f"{kind}_diversity"))
+        return F.countDistinct(v) / F.count(v)
 
-    # four aggregates of one row each
-    return w.join(a).join(diversity("screen_name")).join(diversity("hashtag"))
+    # aggregates of one row each, put side by side
+    parts = {"word_diversity": w.agg((F.countDistinct("w") / F.count("w")).alias("x")), "avg_words": words.agg(F.avg(F.size("w")).alias("x")),
+             "screen_name_diversity": flat.agg(diversity("screen_name").alias("x")), "hashtag_diversity": flat.agg(diversity("hashtag").alias("x"))}
+    rows = reduce(lambda a, b: a.union(b), [df_.select(F.lit(name).alias("name"), "x") for name, df_ in parts.items()])
+    return rows.agg(*[F.max(F.when(F.col("name") == name, F.col("x"))).alias(name) for name in parts])
 
 
 def favourites_report(df: DataFrame, flat: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
