@@ -26,6 +26,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ from quarry.llm.common import cut_lineage, hashed_key
 
 #: Chunks in a generation of a worker's cache.
 CACHE = 400_000
+#: Rows and bytes of text that are encoded together.
+ROWS, TEXT_BYTES = 2048, 8 << 20
 PIECES = "doc_id long, k1 long, k2 long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -43,8 +47,8 @@ class Encoder:
     The tokenizer drops white space and no token spans it, so a text's ids are
     those of its white-space separated chunks. Chunks seen before come from a
     cache of bounded size: two generations, of which the older one goes when
-    the younger is full. Only characters that the tokenizer itself counts as
-    white space separate. New chunks are encoded as they are, but for those
+    the younger is full. Only ASCII white space separates, which the tokenizer
+    counts as white space too. New chunks are encoded as they are, but for those
     made of Latin letters and then ASCII punctuation without an apostrophe:
     the tokenizer lower-cases the letters, cuts between the two, and hands each
     part's bytes, spelled by the byte-level alphabet, to its model. The same is
@@ -78,9 +82,14 @@ class Encoder:
             self.young[part] = ids
         return ids
 
-    def _learn(self, new: list[str]) -> None:
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each of these chunks."""
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
         young, old, plain, odd = self.young, self.old, self.plain, []
-        for c in new:
+        for c in chunks:
+            if c in young:
+                continue
             ids = old.get(c)
             if ids is not None:
                 young[c] = ids
@@ -96,15 +105,23 @@ class Encoder:
             part = odd[at:at + 4096]
             for c, e in zip(part, self.encode(part, add_special_tokens=False), strict=True):
                 young[c] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        chunks = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.young) > CACHE:
-            self.young, self.old = {}, self.young
-        self._learn(list(set().union(*chunks).difference(self.young)))
-        get = self.young.__getitem__
-        for cs in chunks:
-            yield b"".join(map(get, cs))
+        return [young[c] for c in chunks]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (none null) one behind the other, and where each
+        text's begin, with the end of the last. Chunks are numbered by Arrow,
+        each different one is looked up once, and ids are gathered by number."""
+        lists = pc.ascii_split_whitespace(texts)
+        found = lists.flatten().dictionary_encode()
+        number = found.indices.to_numpy(zero_copy_only=False)
+        parts = self._ids(found.dictionary.to_pylist())
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        table = np.frombuffer(b"".join(parts), "<u4")
+        n = size[number]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        place = np.repeat((np.cumsum(size) - size)[number] - ends[:-1], n) + np.arange(ends[-1])
+        chunks = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))
+        return table[place], ends[chunks]
 
 
 @functools.cache
@@ -122,23 +139,38 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1,
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), k1.alias("k1"), k2.alias("k2"),
                        F.coalesce(F.col(text), F.lit("")).alias("t"))
 
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         encode, end = encoder(tokenizer), end_id.to_bytes(4, "little")
-        columns = [c.split()[0] for c in PIECES.split(", ")] + ["ids"] * with_ids
-        for frame in frames:
-            for at in range(0, len(frame), 256):
-                part = frame.iloc[at:at + 256]
-                out = []
-                meta = part[["doc_id", "k1", "k2"]].itertuples(index=False)
-                for (doc, a, b), ids in zip(meta, encode(part["t"].tolist()), strict=True):
-                    ids += end
-                    for s in range(0, len(ids), 4 * window):
-                        x = ids[s:s + 4 * window]
-                        out.append((doc, a, b, s // 4, len(x) // 4, zlib.crc32(x), len(ids) // 4, *([np.frombuffer(x, "<u4").tolist()] if with_ids else [])))
-                yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
-
-    return rows.mapInPandas(run, PIECES + ", ids array<long>" * with_ids)
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                # rows of about so many bytes at a time, one at least
+                size = pc.binary_length(batch.column("t").slice(at, ROWS)).to_numpy(zero_copy_only=False)
+                take = max(1, int(np.searchsorted(np.cumsum(size), TEXT_BYTES, "right")))
+                part, at = batch.slice(at, take), at + take
+                ids, bounds = encode(part.column("t"))
+                row, start, length, crc, total, kept = [], [], [], [], [], []
+                for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                    n = b - a + 1  # with the end token
+                    for s in range(0, n, window):
+                        x = ids[a + s:min(a + s + window, b)].tobytes()
+                        x = x + end if s + window >= n else x
+                        row.append(i)
+                        start.append(s)
+                        length.append(len(x) // 4)
+                        crc.append(zlib.crc32(x))
+                        total.append(n)
+                        if with_ids:
+                            kept.append(np.frombuffer(x, "<u4").tolist())
+                mine = [part.column(c).take(pa.array(row, pa.int64())) for c in ("doc_id", "k1", "k2")]
+                columns = mine + [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
+                names = [c.split()[0] for c in PIECES.split(", ")]
+                if with_ids:
+                    columns, names = [*columns, pa.array(kept, pa.list_(pa.int64()))], [*names, "ids"]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return rows.mapInArrow(run, PIECES + ", ids array<long>" * with_ids)
 
 
 class Room:
