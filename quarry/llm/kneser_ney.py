@@ -238,7 +238,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, margin:
     limits = (named.where("held AND perplexity IS NOT NULL").groupBy("lang")
               .agg(F.percentile_approx("perplexity", F.lit(quantile), F.lit(10000)).alias("q"), F.count(F.lit(1)).alias("n_held"))
               .where(F.col("n_held") >= min_held).select("lang", (F.col("q") * margin).alias("threshold")))
-    out = named.join(F.broadcast(limits), "lang", "left")  # a row for each language
+    out = named.join(fits_broadcast(cut_lineage(limits), 64, 1 << 20), "lang", "left")  # a row for each language
     kept = F.col("has_text") & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select("doc_id", "k1", "k2", F.when(~F.col("no_lang"), F.col("lang")).alias("lang"),
                       F.coalesce("n_units", F.lit(0)).cast("long").alias("n_units"), "perplexity", "threshold", kept.alias("kept"))

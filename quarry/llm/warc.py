@@ -13,8 +13,8 @@ offset beyond its range that its chain reaches, pointer jumping doubles these
 steps from the file's start, and only records on that chain are read. Payloads
 are read (in pieces) for verified records alone.
 
-Defined cases: a null payload counts as empty, a null URL leaves its header
-out, a null page_id is written without a number and read back as null. Of
+Defined cases: a null payload counts as empty, a null URL, or one of more than
+``MAX_URL`` bytes, leaves its header out, a null page_id is written without a number and read back as null. Of
 repeated rows with the largest page_id of their payload each is a response.
 Pages of equal payload without any page_id are all responses. An empty table
 gives no record. Bytes behind a damaged record cannot be reached from the
@@ -38,6 +38,7 @@ from quarry.llm.common import cut_lineage
 MAGIC = b"WARC/1."
 END = "\r\n\r\n"
 MAX_HEADER = 1 << 16
+MAX_URL = MAX_HEADER // 2
 PIECE = 1 << 20
 URN = "urn:page:"
 
@@ -58,7 +59,7 @@ def _records(rows: DataFrame, date: str) -> DataFrame:
     line = lambda k, v: F.concat(F.lit(f"{k}: "), v, F.lit("\r\n"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("html")))
-    url = F.translate(F.col("url"), "\r\n", "")
+    url = F.when(F.octet_length("url") <= MAX_URL, F.translate(F.col("url"), "\r\n", ""))
     head = F.concat(
         F.lit("WARC/1.0\r\n"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),

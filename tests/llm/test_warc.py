@@ -44,7 +44,7 @@ def brute(rows, min_bytes=0):
 ROWS = [(1, "http://a/\r\nX: y", "<p>same</p>"), (2, None, "<p>same</p>"), (3, "u", "<p>same</p>"), (4, "u", None), (5, "u", ""),
         (6, "u", FAKE), (7, "u", "text " + FAKE + FAKE + " more"), (8, "u", "é ü \U0001F600 \r\n\r\n WARC/1.0\r\n"), (9, "u", "x" * 300_000),
         (10, "u", "WARC/1." * 3000), (None, "u", "no id"), (None, "u", "no id"), (None, "u", "<p>same</p>"), (11, "u", "twice"), (11, "u", "twice"),
-        (12, "u", FAKE.replace("12", "90000")), (13, "u", "\r\n\r\n"), (14, "u", "ends in WARC/1.0")] + [(100 + i, "u", f"page {i} " + "y" * (i * 37 % 900)) for i in range(60)]
+        (12, "u", FAKE.replace("12", "90000")), (13, "u", "\r\n\r\n"), (14, "u", "ends in WARC/1.0"), (15, "http://long/" + "x" * 200_000, "long url")] + [(100 + i, "u", f"page {i} " + "y" * (i * 37 % 900)) for i in range(60)]
 
 
 @pytest.mark.parametrize("range_bytes", [1 << 20, 997, 64])
