@@ -6,7 +6,8 @@ licence words of highest IDF are looked up; each posting proposes a template at
 one relative position (place in the file minus place in the template), and
 positions on which enough rare words agree are candidates. A candidate counts
 if all mandatory phrases of the template stand there consecutively; its score
-is the share of the template's words found in place.
+is the share of the template's words found in place. A file may begin or end
+inside a template; the words that it lacks lower the score.
 
 The index is as large as the templates, whatever the corpus. The scan reads
 the texts twice (frequencies, then matches) and shuffles one count per template
@@ -108,17 +109,16 @@ class Index:
                     n_base, first, last = n_base + 1, i if first is None else first, i
                     base.add(label)
             for k, place in self.postings.get(w, ()):
-                if i >= place:
-                    agree.setdefault((k, i - place), set()).add(w)
+                agree.setdefault((k, i - place), set()).add(w)
         labels, score = set(base), 0.0
         for (k, shift), found in agree.items():
             if len(found) < self.need[k]:
                 continue
             template = self.words[k]
-            here = words[shift:shift + len(template)]
+            here = words[max(0, shift):shift + len(template)]  # a file may begin inside a template
             if all(any(tuple(here[j:j + len(p)]) == p for j in range(len(here) - len(p) + 1)) for p in self.phrases[k]):
                 labels.add(self.templates[k].label)
-                score = max(score, sum(a == b for a, b in zip(here, template, strict=False)) / len(template))
+                score = max(score, sum(a == b for a, b in zip(here, template[max(0, -shift):], strict=False)) / len(template))
         return len(words), n_base, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), score
 
 

@@ -59,3 +59,11 @@ def test_rarest_words_are_looked_up():
 
 def test_empty_table(docs_of):
     assert L.scan(docs_of([])).count() == 0
+
+
+def test_text_that_begins_inside_a_template(docs_of):
+    rows = [(1, "MIT License\n\nCopyright (c) someone"), (2, "Apache License\nVersion 2.0, January 2004"), (3, "GNU General Public License version 3, 29 June 2007"),
+            (4, "GNU Lesser General Public License"), (5, "free of charge, to any person obtaining a copy of this software"), (6, "license mit")]
+    got = {r["doc_id"]: r for r in L.scan(docs_of(rows)).collect()}
+    assert [got[i]["labels"] for i in range(1, 7)] == ["mit", "apache-2.0", "gpl,gpl-3.0", "gpl,lgpl", "", ""]
+    assert got[1]["score"] == 2 / 5 and got[2]["score"] == 5 / 8 and got[3]["score"] == 6 / 12
