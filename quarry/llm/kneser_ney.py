@@ -15,12 +15,25 @@ The second pass sends the gram table to the tasks in parts of at most
 ``broadcast_bytes``, whole languages together where they fit, a larger language
 cut by a hash of the gram; sums of the parts are added.
 
-A document is rejected if its perplexity exceeds ``margin`` times the
-``quantile`` of the held-out trusted documents of its language.
+Every trusted document is also scored by a model that leaves out its own tenth
+(the held-out tenth by the model itself); these models are further languages of
+the same tables. A document is rejected if its perplexity exceeds ``margin``
+times the ``quantile`` of these scores of its language.
+
+Repeated words are likely under any model of trusted text, so a second measure
+looks at longer grams: the share of a document's ``WINDOW``-grams that are
+distinct. A document is rejected if it is below the lower quantile (1 -
+``quantile``) of its language's trusted documents, over ``margin``.
+
+A language with fewer than ``min_held`` such documents takes its quantile from
+all languages: that of perplexity over the language's median, times its own
+median, and that of the share as it is.
 
 Defined cases: null and empty texts have no perplexity and are rejected; a null
-language is a language of its own; languages with fewer than ``min_held``
-held-out documents have no threshold and are kept whole; labels without a
+language is a language of its own; a language without a trusted document, or
+with those of one tenth only, has no perplexity threshold and is judged by the
+share alone; texts shorter than a window have no share; without any trusted
+document everything with a text is kept; labels without a
 document, repeated labels and null ids in labels do nothing; repeated rows are
 scored alike. Other columns are not read.
 """
@@ -34,6 +47,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from quarry.llm.common import cut_lineage, fits_broadcast, hashed_key, map_frames
 
@@ -41,7 +55,8 @@ ORDER = 4
 UNIT = 16  # bits
 PAD = "\n" * (ORDER - 1)  # a text's start is like a line's
 CHUNK = 1 << 19  # units looked at together
-HELD_OUT = 10  # one trusted document in so many sets the quantiles
+HELD_OUT = 10  # folds of the trusted documents; the model leaves out the first
+WINDOW = 16  # units of the grams whose distinct share is measured
 
 
 def _chunks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -67,31 +82,72 @@ def _chunks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.concatenate(units), np.concatenate(owners)
 
 
+def distinct_shares(texts: list[str]) -> np.ndarray:
+    """Share of distinct grams of WINDOW units of each text, repeats looked
+    for within CHUNK units; nan if it has none. Grams stand as 64-bit hashes."""
+    out = np.full(len(texts), np.nan)
+    for i, t in enumerate(texts):
+        u = np.frombuffer((t or "").encode("utf-16-le"), "<u2")
+        total, distinct = len(u) - WINDOW + 1, 0
+        for at in range(0, total, CHUNK):
+            part = u[at:at + CHUNK + WINDOW - 1].astype(np.uint64)
+            gram = np.zeros(len(part) - WINDOW + 1, np.uint64)
+            for k in range(WINDOW):
+                gram = gram * np.uint64(0x9E3779B97F4A7C15) + part[k:k + len(gram)] + np.uint64(1)
+            distinct += len(pd.unique(gram))
+        if total > 0:
+            out[i] = distinct / total
+    return out
+
+
+@F.pandas_udf(DoubleType())
+def _share(text: pd.Series) -> pd.Series:
+    out = pd.Series(distinct_shares(text.tolist()), dtype=object)
+    return out.where(out.notna(), None)
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) of documents (lang, text, train): every distinct gram of
-    the corpus and how often trusted text for training has it."""
+    """(lang, gram, n0, n1, ...) of documents (lang, text, fold): every distinct
+    gram of the corpus and how often the trusted text of each fold has it.
+    Documents of fold -1 are not trusted."""
     flush = 1 << 21
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, pd.Series] = {}
+        held: dict[tuple[str, int], pd.Series] = {}
         for frame in frames:
-            for (lang, train), part in frame.groupby(["lang", "train"], sort=True):
+            for key, part in frame.groupby(["lang", "fold"], sort=True):
                 for gram, _ in _chunks(part["text"].tolist()):
                     codes, keys = pd.factorize(gram)
-                    n = np.bincount(codes, minlength=len(keys)) if train else np.zeros(len(keys), np.int64)
+                    n = np.bincount(codes, minlength=len(keys)) if key[1] >= 0 else np.zeros(len(keys), np.int64)
                     new = pd.Series(n, index=keys)
-                    old = held.get(lang)
-                    held[lang] = new if old is None else old.add(new, fill_value=0).astype(np.int64)
+                    old = held.get(key)
+                    held[key] = new if old is None else old.add(new, fill_value=0).astype(np.int64)
             if sum(map(len, held.values())) > flush:
                 yield from out(held)
                 held = {}
         yield from out(held)
 
     def out(held):
-        for lang, s in held.items():
-            yield pd.DataFrame({"lang": lang, "gram": s.index.to_numpy(np.uint64).view(np.int64), "n": s.to_numpy(np.int64)})
+        for (lang, fold), s in held.items():
+            yield pd.DataFrame({"lang": lang, "fold": fold, "gram": s.index.to_numpy(np.uint64).view(np.int64), "n": s.to_numpy(np.int64)})
+
+    n = [F.sum(F.when(F.col("fold") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(HELD_OUT)]
+    return docs.mapInPandas(run, "lang string, fold int, gram long, n long").groupBy("lang", "gram").agg(*n)
+
+
+def _model(fold: Column, lang: Column) -> Column:
+    """Name of the model of a language that leaves out a fold. Fold 0's is the
+    one that scores the corpus."""
+    return F.concat(fold.cast("string"), lang)
+
 
-    return docs.mapInPandas(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+def model_counts(counts: DataFrame) -> DataFrame:
+    """(lang, gram, n, wanted) of each model, from ``gram_counts``: its training
+    counts, and whether it is to score the gram. Fold 0's model scores all."""
+    total = sum((F.col(f"n{i}") for i in range(1, HELD_OUT)), F.col("n0"))
+    models = [F.struct(_model(F.lit(i), F.col("lang")).alias("lang"), "gram", (total - F.col(f"n{i}")).alias("n"),
+                       (F.lit(True) if i == 0 else F.col(f"n{i}") > 0).alias("wanted")) for i in range(HELD_OUT)]
+    return counts.select(F.explode(F.array(*models)).alias("m")).select("m.*").where("wanted OR n > 0")
 
 
 def _suffix(gram: Column, order: int) -> Column:
@@ -124,10 +180,10 @@ def _by_lang(lang: Column, values: dict[str, float]) -> Column:
 
 
 def log_probabilities(counts: DataFrame) -> DataFrame:
-    """(lang, gram, log_p) for every gram of ``counts`` (lang, gram, n) whose
-    language has training text."""
+    """(lang, gram, log_p) for every wanted gram of ``counts`` (lang, gram, n,
+    wanted) whose language has training text."""
     adjusted = {ORDER: counts.where("n > 0").select("lang", "gram", F.col("n").alias("a"))}
-    wanted = {ORDER: counts.select("lang", "gram")}
+    wanted = {ORDER: counts.where("wanted").select("lang", "gram")}
     for k in range(ORDER - 1, 0, -1):
         adjusted[k] = cut_lineage(adjusted[k + 1].groupBy("lang", _suffix(F.col("gram"), k).alias("gram"))
                                   .agg(F.count(F.lit(1)).alias("a")))
@@ -212,7 +268,8 @@ def score(docs: DataFrame, log_p: DataFrame, broadcast_bytes: int) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, margin: float = 1.15, min_held: int = 10,
              broadcast_bytes: int = 64 << 20, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per row of ``docs``: doc_id, k1, k2 (row key), lang, n_units,
-    perplexity, threshold (of its language; null without one) and kept.
+    perplexity, threshold (of its language; null without one), distinct_share,
+    least_share (its threshold) and kept.
     Trusted are the documents that ``labels`` (doc_id, quality, toxic) gives
     quality 1 and not toxic."""
     trusted = (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
@@ -221,24 +278,42 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, margin:
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), k1.alias("k1"), k2.alias("k2"),
                        F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.col(lang).isNull().alias("no_lang"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    has_text = F.length("text") > 0
+    fold = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(HELD_OUT)).cast("int")
     marked = (rows.join(fits_broadcast(trusted, 16, broadcast_bytes), F.col("doc_id") == F.col("__id"), "left")
-              .withColumn("held", F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(HELD_OUT)) == 0)
-              .withColumn("train", F.col("__id").isNotNull() & ~F.col("held"))
-              .withColumn("held", F.col("__id").isNotNull() & F.col("held")))
-    counts = cut_lineage(gram_counts(marked.select("lang", "text", "train")))
-    parts = score(rows, log_probabilities(counts), broadcast_bytes)
+              .withColumn("fold", F.when(F.col("__id").isNotNull(), fold).otherwise(-1)))
+    counts = model_counts(cut_lineage(gram_counts(marked.select("lang", "text", "fold"))))
+    folds = F.when(F.col("fold") > 0, F.array(F.lit(0), "fold")).otherwise(F.array(F.lit(0)))
+    asked = (marked.select("doc_id", "k1", "k2", "lang", "text", F.explode(folds).alias("model"))
+             .withColumn("lang", _model(F.col("model"), F.col("lang"))).drop("model"))
+    parts = score(asked, log_probabilities(counts), broadcast_bytes)
     # copies of a row give the same sums, so their mean, times the parts, stands for each
-    scored = (parts.groupBy("k1", "k2").agg((F.avg("sum_log_p") * F.max("shards")).alias("sum_log_p"),
-                                            F.max("n_units").alias("n_units")))
-    ppl = F.exp(-F.col("sum_log_p") / F.col("n_units"))
-    scored = scored.withColumn("perplexity", F.when(F.col("n_units") > 0, ppl))
-    named = marked.select("doc_id", "k1", "k2", "lang", "no_lang", "held", has_text.alias("has_text")).join(scored, ["k1", "k2"], "left")
-    named = cut_lineage(named)
-    limits = (named.where("held AND perplexity IS NOT NULL").groupBy("lang")
-              .agg(F.percentile_approx("perplexity", F.lit(quantile), F.lit(10000)).alias("q"), F.count(F.lit(1)).alias("n_held"))
-              .where(F.col("n_held") >= min_held).select("lang", (F.col("q") * margin).alias("threshold")))
-    out = named.join(fits_broadcast(cut_lineage(limits), 64, 1 << 20), "lang", "left")  # a row for each language
-    kept = F.col("has_text") & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
+    scored = (parts.groupBy("k1", "k2", "lang").agg((F.avg("sum_log_p") * F.max("shards")).alias("sum_log_p"),
+                                                    F.max("n_units").alias("n_units")))
+    ppl = F.when(F.col("n_units") > 0, F.exp(-F.col("sum_log_p") / F.col("n_units")))
+    whole = F.col("lang").startswith("0")
+    scored = (scored.groupBy("k1", "k2", F.expr("substring(lang, 2)").alias("lang"))
+              .agg(F.max(F.when(whole, F.col("n_units"))).alias("n_units"), F.max(F.when(whole, ppl)).alias("perplexity"),
+                   F.max(F.when(~whole, ppl)).alias("unseen")))
+    named = marked.select("doc_id", "k1", "k2", "lang", "no_lang", "fold", (F.length("text") > 0).alias("has_text"),
+                          _share("text").alias("distinct_share")).join(scored, ["k1", "k2", "lang"], "left")
+    named = cut_lineage(named.withColumn("unseen", F.when(F.col("fold") == 0, F.col("perplexity")).otherwise(F.col("unseen"))))
+
+    def at(value: str | Column, q: float) -> Column:
+        return F.percentile_approx(value, F.lit(q), F.lit(10000))
+
+    held = named.where("fold >= 0")
+    limits = cut_lineage(held.groupBy("lang").agg(
+        at("unseen", quantile).alias("q"), at("unseen", 0.5).alias("mid"), F.count("unseen").alias("n_held"),
+        at("distinct_share", 1 - quantile).alias("low"), F.count("distinct_share").alias("n_share")))
+    limits = fits_broadcast(limits, 64, 1 << 20)  # a row for each language
+    pooled = held.join(limits, "lang").agg(at(F.col("unseen") / F.col("mid"), quantile).alias("q"),
+                                           at("distinct_share", 1 - quantile).alias("low")).first()
+    every = F.lit(pooled["low"]).cast("double")
+    high = F.when(F.col("n_held") >= min_held, F.col("q")).otherwise(F.col("mid") * F.lit(pooled["q"]).cast("double"))
+    low = F.when(F.col("n_share") >= min_held, F.col("low")).otherwise(every)
+    out = named.join(limits, "lang", "left").withColumns({"threshold": high * margin, "least_share": low / margin})
+    kept = (F.col("has_text") & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
+            & F.coalesce(F.col("distinct_share") >= F.col("least_share"), F.lit(True)))
     return out.select("doc_id", "k1", "k2", F.when(~F.col("no_lang"), F.col("lang")).alias("lang"),
-                      F.coalesce("n_units", F.lit(0)).cast("long").alias("n_units"), "perplexity", "threshold", kept.alias("kept"))
+                      F.coalesce("n_units", F.lit(0)).cast("long").alias("n_units"), "perplexity", "threshold",
+                      "distinct_share", "least_share", kept.alias("kept"))

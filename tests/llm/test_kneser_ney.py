@@ -105,3 +105,53 @@ def test_empty_tables(spark, docs_of):
     assert K.classify(docs_of([]), labels).count() == 0
     got = K.classify(docs_of([(1, "a"), (2, "")]), labels).collect()
     assert {r["doc_id"]: r["kept"] for r in got} == {1: True, 2: False}
+
+
+def prose(rnd, n=60):
+    parts = ["an", "the", "ing", "ou", "re", "st", "tion", "er"]
+    return " ".join("".join(rnd.choice(parts) for _ in range(rnd.randint(1, 3))) for _ in range(n))
+
+
+def test_rejects_repeated_words(spark, docs_of):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(i, prose(rnd)) for i in range(300)] + [(1000 + i, prose(rnd)) for i in range(100)]
+    rows += [(2000 + i, f"{w} " * 60) for i, w in enumerate(("the", "other", "string", "ou", "restan"))]
+    rows += [(2100, "the " * 40 + "string " * 40 + "an " * 40), (2101, prose(rnd, 5) + " string" * 80)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["kept"] for r in K.classify(docs_of(rows), labels).collect()}
+    assert not any(v for k, v in got.items() if k >= 2000) and sum(got[1000 + i] for i in range(100)) >= 99
+
+
+def test_language_with_few_trusted_documents_is_filtered(spark, docs_of):
+    import random
+
+    rnd = random.Random(4)
+    rows = [(i, prose(rnd)) for i in range(200)] + [(1000 + i, prose(rnd), "fr") for i in range(6)]
+    rows += [(2000 + i, prose(rnd), "fr") for i in range(30)]
+    rows += [(3000 + i, " ".join(w.upper() + "!!" for w in prose(rnd).split()), "fr") for i in range(10)] + [(4000, "the " * 60, "fr"), (4001, "the " * 60, "xx")]
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows[:206]], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in K.classify(docs_of(rows), labels).collect()}
+    assert got[2000]["threshold"] is not None and not any(r["kept"] for k, r in got.items() if k >= 3000)
+    assert sum(got[2000 + i]["kept"] for i in range(30)) >= 29
+
+
+def test_trusted_documents_are_scored_without_their_fold(docs_of, spark):
+    """With no margin the threshold is the largest of these scores."""
+    texts = TRAIN * 3
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    fold = {r["id"]: r["f"] for r in spark.range(len(texts)).select("id", F.pmod(F.xxhash64(F.lit("held"), "id"), F.lit(K.HELD_OUT)).alias("f")).collect()}
+    want = max(brute_model([x for j, x in enumerate(texts) if fold[j] != fold[i]])[1](t) for i, t in enumerate(texts))
+    got = K.classify(docs_of(list(enumerate(texts))), labels, quantile=1.0, margin=1.0).collect()
+    assert all(r["threshold"] == pytest.approx(want, rel=1e-4) for r in got)
+
+
+def test_distinct_shares():
+    import numpy as np
+
+    texts = ["", None, "x" * (K.WINDOW - 1), "x" * 100, "abcdefghij" * 20, "\U0001F600" * 30, "".join(map(chr, range(200, 400)))]
+    for t, s in zip(texts, K.distinct_shares(texts), strict=True):
+        u = np.frombuffer((t or "").encode("utf-16-le"), "<u2").tolist()
+        grams = [tuple(u[i:i + K.WINDOW]) for i in range(len(u) - K.WINDOW + 1)]
+        assert s == len(set(grams)) / len(grams) if grams else math.isnan(s)
