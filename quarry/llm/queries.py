@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (
+    chat,
     decontaminate,
+    divergence,
     html_extract,
     kneser_ney,
     license_scan,
     line_dedup,
     packing,
     quality_rules,
+    resample,
     simhash,
     url_filter,
     warc,
@@ -106,6 +109,28 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one made of control strings, as a row of a table
+    of mixed sources; read back from its canonical, formatted form."""
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    sources = chat.as_sources(chat.conversations(rows))
+    return chat.digests(chat.read_back(chat.formatted(chat.canonical(sources, ["conv_id"]))))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document towards the benchmark's words."""
+    out = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of sources and terms of sources by divergence, per language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -115,7 +140,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontaminate, op2_quality_rules, op3_line_dedup, op4_url_filter, op5_simhash, op6_packing,
-                            op7_warc, op8_quality_classifier, op9_license_scan, op10_html_extract, pipeline)}
+                            op7_warc, op8_quality_classifier, op9_license_scan, op10_html_extract, op11_chat_format,
+                            op12_resample, op13_source_divergence, pipeline)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -211,5 +237,67 @@ SELECT page_id, host, path, rule, b.canon IS NOT NULL AS listed,
 FROM c LEFT JOIN b USING (canon)"""
 
 
+def _op11_sql() -> str:
+    def escaped(x: str) -> str:
+        for opener, rests in chat.TEMPLATE.controls:
+            x = rf"regexp_replace({x}, '({opener})(\\*)({rests})', '\1\\\2\3', 'g')"
+        return x
+
+    t = chat.TEMPLATE
+    marks = len(t.start) + len(t.middle) + len(t.end)
+    return rf"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM c),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn NULLS FIRST, r, x) AS turns,
+         coalesce(string_agg(x, '' ORDER BY turn NULLS FIRST, r, x) FILTER (r = 'assistant'), '') AS loss,
+         string_agg(r, ',' ORDER BY turn NULLS FIRST, r, x) AS roles,
+         sum({marks} + length({escaped("r")}) + length({escaped("x")}))::BIGINT AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars,
+       CASE WHEN roles = 'user,assistant' THEN 'prompt-response' WHEN roles = 'system,user,assistant' THEN 'system-question'
+            WHEN n_turns > 1 AND regexp_full_match(roles, 'system(,(user|assistant|system))*') THEN 'conversations' ELSE 'messages' END AS layout
+FROM g"""
+
+
+def _op13_sql() -> str:
+    share = lambda n, total, v: f"1 + (1000000000::HUGEINT * ({n} + 1)) // ({total} + {v})"
+    gap = lambda p, q: f"((({p}) - ({q})) * (({p}) - ({q}))) // ({q})"
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+w AS (SELECT k, lang, source, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT k) >= {divergence.MIN_DOCS}),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (
+  SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(any_value(total), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN size USING (lang)
+       LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)
+  GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n, {share("coalesce(n, 0)", "total", "v")} AS p
+  FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+q AS (SELECT lang, term, {share("sum(n)", "any_value(a)", "any_value(v)")} AS q
+      FROM c JOIN (SELECT lang, any_value(v) AS v, sum(total) AS a FROM g GROUP BY lang) USING (lang) GROUP BY lang, term),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum({gap("a.p", "b.p")}) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, {gap("p", "q")} FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": _op2_sql(), "op3_line_dedup": _op3_sql(), "op4_url_filter": _op4_sql()}
+    return {"op2_quality_rules": _op2_sql(), "op3_line_dedup": _op3_sql(), "op4_url_filter": _op4_sql(),
+            "op11_chat_format": _op11_sql(), "op13_source_divergence": _op13_sql()}
