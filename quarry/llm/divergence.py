@@ -5,8 +5,9 @@ of a language's vocabulary: a term's checksum names its shard, and the number
 of shards follows an estimate of the language's distinct terms, so that a
 vocabulary of any size is made of parts of bounded size. A ``CountVectorizer``
 with ``minDF`` and the largest vocabulary size is fitted per language and
-shard; its vectors are written, read back as plain indices and values, and
-summed by (language, source, index), map side first.
+shard. The documents' sparse count vectors over it are made in Arrow columns
+(the model's own function takes over 2 us a term, ten times as long) and summed
+by source in the task that makes them, the tasks' sums by a shuffle.
 
 A share p of a term depends on its count and on the group's totals alone, and
 a term that a source lacks has the source's base share p0. So the divergence
@@ -26,6 +27,7 @@ Ties go by item. An empty table gives no row. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
 import zlib
@@ -48,6 +50,8 @@ TOP_TERMS = 200
 SHARD_TERMS = 1 << 19
 #: Indices of a block and sources of a cell of the pair evaluation.
 BLOCK, CELL = 4096, 256
+#: Rows and bytes of text that are cut into terms together.
+ROWS, TEXT_BYTES = 2048, 4 << 20
 #: Fits that run side by side.
 THREADS = 3
 #: A term no text can hold; it keeps a vocabulary from being empty.
@@ -71,39 +75,104 @@ def _terms(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return rows[keep.to_numpy(zero_copy_only=False)], terms.filter(keep)
 
 
-def _lists(rows: np.ndarray, shard: np.ndarray, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """A list of terms for every (row, shard) that has any."""
-    if shard.any():
-        order = np.lexsort((shard, rows))
-        rows, shard, terms = rows[order], shard[order], terms.take(pa.array(order))
-    first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (shard[1:] != shard[:-1])]) if len(rows) else np.zeros(0, np.int64)
-    ends = pa.array(np.r_[first, len(rows)].astype(np.int32))
-    return rows[first], shard[first], pa.ListArray.from_arrays(ends, terms.cast(pa.string()))
-
-
-def terms_of(docs: DataFrame, shards: dict[str, int] | None = None) -> DataFrame:
-    """(lang, source, shard, terms) per document and shard with a term, of
-    rows (lang, source, text) without a null language or source.
-
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``ROWS`` rows and ``TEXT_BYTES`` of
+    text (the last column), or of a single longer text."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            done = ends[at - 1] if at else 0
+            n = max(1, min(ROWS, int(np.searchsorted(ends, done + TEXT_BYTES, "right")) - at))
+            yield batch.slice(at, n)
+            at += n
+
+
+def _first(rows: np.ndarray, lang: np.ndarray, codes: np.ndarray, most: int) -> np.ndarray:
+    """Positions of the terms, in order, without a document's repeats and
+    without those that ``most`` documents of the language before hold too."""
+    width = int(rows[-1]) + 1
+    key, at = np.unique((codes * (int(lang.max()) + 1) + lang) * width + rows, return_index=True)
+    _, start, sizes = np.unique(key // width, return_index=True, return_counts=True)
+    return np.sort(at[np.arange(len(key)) - np.repeat(start, sizes) < most])
+
+
+def terms_of(docs: DataFrame, shards: dict[str, int] | None = None, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(lang, source, shard, terms, some) per document and shard with a term,
+    of rows (lang, source, text) without a null language or source; terms are
+    strings joined by blanks.
+
+    ``some`` holds the document's terms once, less those that ``min_docs``
+    documents of its language before it in the same slice hold: enough to tell
+    which terms ``min_docs`` documents hold, and fewer.
     ``shards``: shards of each language, one where not named."""
     many = {k: v for k, v in (shards or {}).items() if v > 1}
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows, terms = _terms(batch.column(2))
+            if not len(rows):
+                continue
+            coded = terms.dictionary_encode()
+            codes = coded.indices.to_numpy().astype(np.int64)
             shard = np.zeros(len(rows), np.int64)
             if many:
                 n = np.array([many.get(x, 1) for x in batch.column(0).to_pylist()], np.int64)[rows]
-                coded = terms.dictionary_encode()
                 sums = np.fromiter((zlib.crc32(x.as_buffer()) for x in coded.dictionary), np.int64, len(coded.dictionary))
-                shard = sums[coded.indices.to_numpy()] % n if len(sums) else shard
-            at, shard, lists = _lists(rows, shard, terms)
-            at = pa.array(at)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(shard.astype(np.int32)), lists],
-                                             ["lang", "source", "shard", "terms"])
+                shard = sums[codes] % n
+                order = np.lexsort((shard, rows))
+                rows, shard, codes, terms = rows[order], shard[order], codes[order], terms.take(pa.array(order))
+            at = _first(rows, batch.column(0).dictionary_encode().indices.to_numpy().astype(np.int64)[rows], codes, min_docs)
+            starts = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (shard[1:] != shard[:-1])])
+            lists = [pc.binary_join(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), xs.cast(pa.string())), " ") for ends, xs in (
+                (np.r_[starts, len(rows)], terms), (np.r_[np.searchsorted(at, starts), len(at)], terms.take(pa.array(at))))]
+            own = pa.array(rows[starts])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), pa.array(shard[starts].astype(np.int32)), *lists],
+                                             ["lang", "source", "shard", "terms", "some"])
 
     return docs.select("lang", "source", F.col("text").cast("binary")).mapInArrow(
-        cut, "lang string, source string, shard int, terms array<string>")
+        cut, "lang string, source string, shard int, terms string, some string")
+
+
+def distinct_terms(docs: DataFrame) -> DataFrame:
+    """(lang, n): about how many distinct terms each language has."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            rows, terms = _terms(batch.column(1))
+            lang = batch.column(0).take(pa.array(rows))
+            pairs = pa.Table.from_arrays([lang, terms.cast(pa.string())], ["lang", "term"]).group_by(["lang", "term"]).aggregate([])
+            yield from pairs.combine_chunks().to_batches()
+
+    return docs.select("lang", F.col("text").cast("binary")).mapInArrow(cut, "lang string, term string").groupBy("lang").agg(F.approx_count_distinct("term").alias("n"))
+
+
+def group_sums(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(source, ix, n): sums by source of the sparse count vectors of rows
+    (source, terms, joined by blanks) over the vocabulary of a fitted ``CountVectorizer``.
+
+    A vector holds its document's counts of the terms that have an index; the
+    vectors of a batch are summed as they are made."""
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # at most ``shard_terms`` terms or so
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = {x: i for i, x in enumerate(shared.value)}
+        for batch in _slices(batches):
+            terms = pc.ascii_split_whitespace(batch.column(1))
+            source, coded = batch.column(0).dictionary_encode(), terms.flatten().dictionary_encode()
+            found = np.fromiter((index.get(x, -1) for x in coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+            doc = np.repeat(np.arange(batch.num_rows), pc.list_value_length(terms).to_numpy())
+            ix = found[coded.indices.to_numpy()] if len(found) else found
+            held = ix >= 0
+            vector, count = np.unique(doc[held] * len(index) + ix[held], return_counts=True)  # (document, index): count
+            own = source.indices.to_numpy().astype(np.int64)[vector // len(index)]
+            key, at = np.unique(own * len(index) + vector % len(index), return_inverse=True)
+            n = np.zeros(len(key), np.int64)
+            np.add.at(n, at, count)
+            yield pa.RecordBatch.from_arrays([source.dictionary.take(pa.array(key // len(index))), pa.array((key % len(index)).astype(np.int32)), pa.array(n)],
+                                             ["source", "ix", "n"])
+
+    return rows.mapInArrow(add, "source string, ix int, n long").groupBy("source", "ix").agg(F.sum("n").alias("n"))
 
 
 def _part(lang: Column, shard: Column) -> Column:
@@ -112,28 +181,25 @@ def _part(lang: Column, shard: Column) -> Column:
 
 
 def _fit(terms: DataFrame, folder: str, name: str, min_docs: int) -> None:
-    """Fit one part's vocabulary; write it, and the vectors of the part's rows."""
+    """Fit one part's vocabulary; write it, and the sums of the part's vectors."""
     spark = terms.sparkSession
     own = terms.where(F.col("part") == name)
-    some = spark.range(min_docs).select(F.array(F.lit(NO_TERM)).alias("terms"))
-    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=2**31 - 1).fit(
-        own.select("terms").unionByName(some))
+    more = spark.range(min_docs).select(F.array(F.lit(NO_TERM)).alias("some"))
+    counter = CountVectorizer(inputCol="some", outputCol="vector", minDF=float(min_docs), vocabSize=2**31 - 1)
+    model = counter.fit(own.where("some <> ''").select(F.split("some", " ").alias("some")).unionByName(more))
     model.write().save(os.path.join(folder, "models", name))
-    model.transform(own).select("lang", "source", "shard", "vector").write.parquet(os.path.join(folder, "vectors", f"part={name}"))
+    group_sums(own.select("source", "terms"), model.vocabulary).write.parquet(os.path.join(folder, "sums", name))
 
 
 def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS, shard_terms: int = SHARD_TERMS) -> tuple[DataFrame, DataFrame]:
     """(lang, source, shard, ix, n): occurrences of each kept term in each
     group, and (lang, shard, ix, term): the kept terms. Both are written."""
     spark = docs.sparkSession
-    sizes = (terms_of(docs).select("lang", F.explode("terms").alias("t")).groupBy("lang")
-             .agg(F.approx_count_distinct("t").alias("n"))
-             .select("lang", F.ceil(F.col("n") / shard_terms).cast("int").alias("shards")).collect())
-    shards = {r["lang"]: max(1, r["shards"]) for r in sizes}
+    shards = {r["lang"]: max(1, -(-r["n"] // shard_terms)) for r in distinct_terms(docs).collect()}
     folder = scratch_path(spark, f"divergence-{uuid.uuid4().hex}")
     path = os.path.join(folder, "terms")
-    terms_of(docs, shards).withColumn("part", _part(F.col("lang"), F.col("shard"))).write.partitionBy("part").parquet(path)
-    terms = spark.read.schema("lang string, source string, shard int, terms array<string>, part string").parquet(path)
+    terms_of(docs, shards, min_docs).withColumn("part", _part(F.col("lang"), F.col("shard"))).write.partitionBy("part").parquet(path)
+    terms = spark.read.schema("lang string, source string, shard int, terms string, some string, part string").parquet(path)
     parts = [(r["lang"], r["shard"], r["part"]) for r in terms.select("lang", "shard", "part").distinct().collect()]
     if not parts:
         return (spark.createDataFrame([], "lang string, source string, shard int, ix int, n long"),
@@ -141,18 +207,14 @@ def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS, shard_terms: int = S
     with ThreadPoolExecutor(THREADS) as pool:
         for done in [pool.submit(_fit, terms, folder, name, min_docs) for *_, name in parts]:
             done.result()
-    # a vector is stored as a struct and read back as one
-    vectors = spark.read.schema("lang string, source string, shard int, vector struct<type: tinyint, size: int, indices: array<int>, "
-                                "values: array<double>>").parquet(os.path.join(folder, "vectors"))
-    counts = (vectors.select("lang", "source", "shard", F.inline(F.arrays_zip(F.col("vector.indices").alias("ix"), F.col("vector.values").alias("v"))))
-              .groupBy("lang", "source", "shard", "ix").agg(F.sum(F.col("v").cast("long")).alias("n")))
-    words = None
-    for lang, shard, name in parts:
-        one = (spark.read.schema("vocabulary array<string>").parquet(os.path.join(folder, "models", name, "data"))
-               .select(F.lit(lang).alias("lang"), F.lit(shard).alias("shard"), F.posexplode("vocabulary").alias("ix", "term"))
-               .where(F.col("term") != NO_TERM))
-        words = one if words is None else words.unionByName(one)
-    return cut_lineage(counts), cut_lineage(words)
+
+    def read(lang: str, shard: int, schema: str, *at: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(os.path.join(folder, *at)).withColumns({"lang": F.lit(lang), "shard": F.lit(shard)})
+
+    counts = [read(lang, shard, "source string, ix int, n long", "sums", name) for lang, shard, name in parts]
+    words = [read(lang, shard, "vocabulary array<string>", "models", name, "data")
+             .select("lang", "shard", F.posexplode("vocabulary").alias("ix", "term")) for lang, shard, name in parts]
+    return functools.reduce(DataFrame.unionByName, counts), functools.reduce(DataFrame.unionByName, words).where(F.col("term") != NO_TERM)
 
 
 def share(n: Column, total: Column, size: Column) -> Column:
@@ -173,56 +235,55 @@ def _np_gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 def _shared(rows: pd.DataFrame) -> pd.DataFrame:
     """Sums over the terms that both sources of a pair hold, for one block of
     indices and one cell of the grid."""
-    left, right = rows[rows["own"] == rows["ca"]], rows[rows["own"] == rows["cb"]]
-    first = int(rows["ix"].min())
-    sources, column = np.unique(right["source"].to_numpy(str), return_inverse=True)
-    held = np.full((int(rows["ix"].max()) - first + 1, len(sources)), -1, np.int64)
-    held[right["ix"].to_numpy() - first, column] = right["p"].to_numpy()
-    base = np.zeros(len(sources), np.int64)
-    base[column] = right["p0"].to_numpy()
-    out: list[tuple[str, str, int]] = []
-    for source, own in left.groupby("source", sort=False):
-        sub = held[own["ix"].to_numpy() - first]
+    own, ix, p, p0 = (rows[c].to_numpy() for c in ("own", "ix", "p", "p0"))
+    left, right = (rows["cell"] == rows["ca"]).to_numpy(), (rows["cell"] == rows["cb"]).to_numpy()
+    ix = ix - ix.min(initial=0)
+    others, column = np.unique(own[right], return_inverse=True)
+    held = np.full((ix.max(initial=0) + 1, len(others)), -1, np.int64)
+    held[ix[right], column] = p[right]
+    base = np.zeros(len(others), np.int64)
+    base[column] = p0[right]
+    out = []
+    for source in np.unique(own[left]):
+        mine = np.flatnonzero(left & (own == source))
+        sub = held[ix[mine]]
         r, c = np.nonzero(sub >= 0)
-        p, q = own["p"].to_numpy()[r], sub[r, c]
-        p0, q0 = np.int64(own["p0"].iloc[0]), base[c]
-        z = np.zeros(len(sources), np.int64)
-        np.add.at(z, c, _np_gap(p, q) - _np_gap(p, q0) - _np_gap(p0, q) + _np_gap(p0, q0))
+        a, q, a0, q0 = p[mine][r], sub[r, c], p0[mine[0]], base[c]
+        z = np.zeros(len(others), np.int64)
+        np.add.at(z, c, _np_gap(a, q) - _np_gap(a, q0) - _np_gap(a0, q) + _np_gap(a0, q0))
         hit = np.unique(c)
-        out += zip([source] * len(hit), sources[hit].tolist(), z[hit].tolist(), strict=True)
-    text = lambda xs: pd.Series(xs, dtype=object)
-    return pd.DataFrame({"lang": text([rows["lang"].iloc[0]] * len(out)), "source": text([x[0] for x in out]),
-                         "item": text([x[1] for x in out]), "z": pd.Series([x[2] for x in out], dtype="int64")})
+        out.append(np.stack([np.full(len(hit), source), others[hit], z[hit]]))
+    return pd.DataFrame(np.concatenate(out, axis=1).T if out else np.zeros((0, 3), np.int64), columns=["own", "other", "v"])
 
 
 def _pairs(groups: DataFrame, shares: DataFrame, cell: int) -> DataFrame:
     """(lang, source, item, value) for all pairs of sources of a language."""
-    side = groups.select("lang", F.col("source").alias("item"), F.col("p0").alias("q0"), "size")
-    side = fits_broadcast(side, 200, 16 << 20)
-    hist = shares.groupBy("lang", "source", "p", "p0").agg(F.count(F.lit(1)).alias("terms"))
-    held = hist.groupBy("lang", "source").agg(F.sum("terms").alias("held"))
-    lacked = (groups.join(held, ["lang", "source"], "left")
-              .select("lang", "source", F.col("p0").alias("p"), "p0", (F.col("size") - F.coalesce("held", F.lit(0))).alias("terms")))
+    side = groups.select("lang", F.col("own").alias("other"), F.col("p0").alias("q0"))
+    side = fits_broadcast(side, 100, 16 << 20)
+    hist = cut_lineage(shares.groupBy("lang", "own", "p", "p0").agg(F.count(F.lit(1)).alias("terms")))
+    held = hist.groupBy("own").agg(F.sum("terms").alias("held"))
+    lacked = (groups.join(held, "own", "left")
+              .select("lang", "own", F.col("p0").alias("p"), "p0", (F.col("size") - F.coalesce("held", F.lit(0))).alias("terms")))
     p, p0, q0, n = F.col("p"), F.col("p0"), F.col("q0"), F.col("terms")
-    other = F.col("source") != F.col("item")
+    differ = F.col("own") != F.col("other")
     zero = F.lit(0).cast("long")
     # the second source's base against the first's counts, absent terms included
-    one = (hist.unionByName(lacked).join(side, "lang").where(other)
-           .select("lang", "source", "item", F.coalesce(n * gap(p, q0), zero).alias("v")))
+    one = hist.unionByName(lacked).join(side, "lang").where(differ).select("own", "other", F.coalesce(n * gap(p, q0), zero).alias("v"))
     # the second source's counts against the first's base
-    two = (hist.join(side, "lang").where(other)
-           .select("lang", F.col("item").alias("source"), F.col("source").alias("item"), (n * (gap(q0, p) - gap(q0, p0))).alias("v")))
+    two = (hist.join(side, "lang").where(differ)
+           .select(F.col("other").alias("own"), F.col("own").alias("other"), (n * (gap(q0, p) - gap(q0, p0))).alias("v")))
     cells = groups.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("cells"))
+    at = lambda a, b: F.struct(F.col(a).alias("ca"), F.col(b).alias("cb"))
     dealt = (shares.join(fits_broadcast(cells, 100, 16 << 20), "lang")
-             .withColumn("own", F.pmod(F.xxhash64("source"), F.col("cells")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-             .withColumn("at", F.explode(F.array_distinct(F.array(F.struct(F.col("own").alias("ca"), F.col("other").alias("cb")),
-                                                                  F.struct(F.col("other").alias("ca"), F.col("own").alias("cb"))))))
-             .select("lang", "source", "shard", "ix", "p", "p0", "own", "at.ca", "at.cb", F.expr(f"ix div {BLOCK}").alias("block")))
-    three = (dealt.groupBy("lang", "shard", "block", "ca", "cb").applyInPandas(_shared, "lang string, source string, item string, z long")
-             .where(other).select("lang", "source", "item", F.col("z").alias("v")))
-    return (one.unionByName(two).unionByName(three).groupBy("lang", "source", "item").agg(F.sum("v").alias("value"))
-            .select("lang", "source", F.lit("pair").alias("part"), "item", "value"))
+             .withColumn("cell", F.pmod(F.xxhash64("own"), F.col("cells")).cast("int"))
+             .withColumn("met", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+             .withColumn("at", F.explode(F.array_distinct(F.array(at("cell", "met"), at("met", "cell")))))
+             .select("lang", "own", "shard", "ix", "p", "p0", "cell", "at.ca", "at.cb", F.expr(f"ix div {BLOCK}").alias("block")))
+    three = dealt.groupBy("lang", "shard", "block", "ca", "cb").applyInPandas(_shared, "own long, other long, v long").where(differ)
+    names = fits_broadcast(groups.select("lang", "own", "source"), 200, 16 << 20)
+    items = fits_broadcast(groups.select(F.col("own").alias("other"), F.col("source").alias("item")), 200, 16 << 20)
+    return (one.unionByName(two).unionByName(three).groupBy("own", "other").agg(F.sum("v").alias("value"))
+            .join(names, "own").join(items, "other").select("lang", "source", F.lit("pair").alias("part"), "item", "value"))
 
 
 def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS,
@@ -238,18 +299,20 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS,
     zero = F.lit(0).cast("long")
     groups = (docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
               .select("lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("size", zero).alias("size")))
-    groups = cut_lineage(groups.withColumn("p0", share(zero, F.col("total"), F.col("size"))))
+    groups = cut_lineage(groups.withColumn("p0", share(zero, F.col("total"), F.col("size"))).withColumn("own", F.monotonically_increasing_id()))
     # rows of one language may be most of all: the small side is sent to them
     stats = fits_broadcast(groups, 200, 16 << 20)
     shares = cut_lineage(counts.join(stats, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("size")))
-                         .select("lang", "source", "shard", "ix", "n", "p", "p0"))
+                         .select("lang", "own", "shard", "ix", "n", "p", "p0"))
     by_lang = groups.groupBy("lang", "size").agg(F.sum("total").alias("all"))
-    whole = (shares.groupBy("lang", "shard", "ix").agg(F.sum("n").alias("n")).join(fits_broadcast(by_lang, 100, 16 << 20), "lang")
-             .select("lang", "shard", "ix", share(F.col("n"), F.col("all"), F.col("size")).alias("q")))
-    # rows of the same shape, so that a window per group keeps its best before the shuffle
-    terms = (shares.select("lang", "source", "shard", "ix", "p").join(whole, ["lang", "shard", "ix"]).where(F.col("p") > F.col("q"))
-             .join(words, ["lang", "shard", "ix"])
-             .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), gap(F.col("p"), F.col("q")).alias("value")))
+    whole = Window.partitionBy("lang", "shard", "ix")
+    more = (shares.withColumn("whole", F.sum("n").over(whole)).join(fits_broadcast(by_lang, 100, 16 << 20), "lang")
+            .withColumn("q", share(F.col("whole"), F.col("all"), F.col("size"))).where(F.col("p") > F.col("q"))
+            .select("lang", "own", "shard", "ix", gap(F.col("p"), F.col("q")).alias("value")))
+    # ties at the end are kept until the terms' names are there to break them
+    near = more.withColumn("r", F.rank().over(Window.partitionBy("own").orderBy(F.desc("value")))).where(F.col("r") <= top_terms)
+    names = fits_broadcast(groups.select("own", "source"), 200, 16 << 20)
+    terms = near.join(words, ["lang", "shard", "ix"]).join(names, "own").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
     best = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     ranked = lambda df: df.withColumn("rank", F.row_number().over(best))
     return ranked(_pairs(groups, shares, cell)).unionByName(ranked(terms).where(F.col("rank") <= top_terms))
