@@ -38,6 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,7 +54,7 @@ BLOCK, CELL = 4096, 256
 #: Rows and bytes of text that are cut into terms together.
 ROWS, TEXT_BYTES = 2048, 4 << 20
 #: Fits that run side by side.
-THREADS = 3
+THREADS = 2
 #: A term no text can hold; it keeps a vocabulary from being empty.
 NO_TERM = " "
 
@@ -88,13 +89,15 @@ def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += n
 
 
-def _first(rows: np.ndarray, lang: np.ndarray, codes: np.ndarray, most: int) -> np.ndarray:
-    """Positions of the terms, in order, without a document's repeats and
-    without those that ``most`` documents of the language before hold too."""
+def _first(rows: np.ndarray, lang: np.ndarray, codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, code) of the terms without a document's repeats and without those
+    that ``most`` documents of the language before hold too."""
     width = int(rows[-1]) + 1
-    key, at = np.unique((codes * (int(lang.max()) + 1) + lang) * width + rows, return_index=True)
-    _, start, sizes = np.unique(key // width, return_index=True, return_counts=True)
-    return np.sort(at[np.arange(len(key)) - np.repeat(start, sizes) < most])
+    key = np.unique((codes * (int(lang.max()) + 1) + lang[rows]) * width + rows)
+    group = key // width
+    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    key = key[np.arange(len(key)) - np.repeat(start, np.diff(start, append=len(key))) < most]
+    return key % width, key // width // (int(lang.max()) + 1)
 
 
 def terms_of(docs: DataFrame, shards: dict[str, int] | None = None, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -115,17 +118,20 @@ def terms_of(docs: DataFrame, shards: dict[str, int] | None = None, min_docs: in
                 continue
             coded = terms.dictionary_encode()
             codes = coded.indices.to_numpy().astype(np.int64)
-            shard = np.zeros(len(rows), np.int64)
+            n = np.array([many.get(x, 1) for x in batch.column(0).to_pylist()], np.int64)
+            sums = np.fromiter((zlib.crc32(x.as_buffer()) for x in coded.dictionary), np.int64, len(coded.dictionary)) if many else None
+            shard_of = lambda r, c: sums[c] % n[r] if many else np.zeros(len(r), np.int64)
+            shard, most = shard_of(rows, codes), int(n.max())
             if many:
-                n = np.array([many.get(x, 1) for x in batch.column(0).to_pylist()], np.int64)[rows]
-                sums = np.fromiter((zlib.crc32(x.as_buffer()) for x in coded.dictionary), np.int64, len(coded.dictionary))
-                shard = sums[codes] % n
-                order = np.lexsort((shard, rows))
+                order = np.argsort(rows * most + shard, kind="stable")
                 rows, shard, codes, terms = rows[order], shard[order], codes[order], terms.take(pa.array(order))
-            at = _first(rows, batch.column(0).dictionary_encode().indices.to_numpy().astype(np.int64)[rows], codes, min_docs)
-            starts = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (shard[1:] != shard[:-1])])
+            lists_at = rows * most + shard
+            starts = np.flatnonzero(np.r_[True, lists_at[1:] != lists_at[:-1]])
+            r, c = _first(rows, batch.column(0).dictionary_encode().indices.to_numpy().astype(np.int64), codes, min_docs)
+            some = np.sort((r * most + shard_of(r, c)) * len(coded.dictionary) + c)
+            some_ends = np.r_[np.searchsorted(some, lists_at[starts] * len(coded.dictionary)), len(some)]
             lists = [pc.binary_join(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), xs.cast(pa.string())), " ") for ends, xs in (
-                (np.r_[starts, len(rows)], terms), (np.r_[np.searchsorted(at, starts), len(at)], terms.take(pa.array(at))))]
+                (np.r_[starts, len(rows)], terms), (some_ends, coded.dictionary.take(pa.array(some % len(coded.dictionary)))))]
             own = pa.array(rows[starts])
             yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), pa.array(shard[starts].astype(np.int32)), *lists],
                                              ["lang", "source", "shard", "terms", "some"])
@@ -139,24 +145,24 @@ def distinct_terms(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            rows, terms = _terms(batch.column(1))
-            lang = batch.column(0).take(pa.array(rows))
-            pairs = pa.Table.from_arrays([lang, terms.cast(pa.string())], ["lang", "term"]).group_by(["lang", "term"]).aggregate([])
-            yield from pairs.combine_chunks().to_batches()
+            named = batch.column(0).dictionary_encode()
+            for i, lang in enumerate(named.dictionary.to_pylist()):
+                _, terms = _terms(batch.column(1).filter(pc.equal(named.indices, i)))
+                terms = terms.unique().cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(terms)), terms], ["lang", "term"])
 
     return docs.select("lang", F.col("text").cast("binary")).mapInArrow(cut, "lang string, term string").groupBy("lang").agg(F.approx_count_distinct("term").alias("n"))
 
 
-def group_sums(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
+def group_sums(rows: DataFrame, vocabulary: Broadcast[list[str]]) -> DataFrame:
     """(source, ix, n): sums by source of the sparse count vectors of rows
     (source, terms, joined by blanks) over the vocabulary of a fitted ``CountVectorizer``.
 
     A vector holds its document's counts of the terms that have an index; the
     vectors of a batch are summed as they are made."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # at most ``shard_terms`` terms or so
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = {x: i for i, x in enumerate(shared.value)}
+        index = {x: i for i, x in enumerate(vocabulary.value)}
         for batch in _slices(batches):
             terms = pc.ascii_split_whitespace(batch.column(1))
             source, coded = batch.column(0).dictionary_encode(), terms.flatten().dictionary_encode()
@@ -188,7 +194,9 @@ def _fit(terms: DataFrame, folder: str, name: str, min_docs: int) -> None:
     counter = CountVectorizer(inputCol="some", outputCol="vector", minDF=float(min_docs), vocabSize=2**31 - 1)
     model = counter.fit(own.where("some <> ''").select(F.split("some", " ").alias("some")).unionByName(more))
     model.write().save(os.path.join(folder, "models", name))
-    group_sums(own.select("source", "terms"), model.vocabulary).write.parquet(os.path.join(folder, "sums", name))
+    vocabulary = spark.sparkContext.broadcast(model.vocabulary)  # a part's: about ``shard_terms`` terms at most
+    group_sums(own.select("source", "terms"), vocabulary).write.parquet(os.path.join(folder, "sums", name))
+    vocabulary.destroy()
 
 
 def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS, shard_terms: int = SHARD_TERMS) -> tuple[DataFrame, DataFrame]:
