@@ -119,7 +119,7 @@ def terms_of(docs: DataFrame, shards: dict[str, int] | None = None, min_docs: in
             coded = terms.dictionary_encode()
             codes = coded.indices.to_numpy().astype(np.int64)
             n = np.array([many.get(x, 1) for x in batch.column(0).to_pylist()], np.int64)
-            sums = np.fromiter((zlib.crc32(x.as_buffer()) for x in coded.dictionary), np.int64, len(coded.dictionary)) if many else None
+            sums = np.fromiter(map(zlib.crc32, coded.dictionary.cast(pa.large_binary()).to_pylist()), np.int64, len(coded.dictionary)) if many else None
             shard_of = lambda r, c: sums[c] % n[r] if many else np.zeros(len(r), np.int64)
             shard, most = shard_of(rows, codes), int(n.max())
             if many:
