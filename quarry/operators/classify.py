@@ -62,8 +62,11 @@ def _item_feature_scores(items: DataFrame, key: str, features: str, ft: DataFram
     """Per item: ``l_i``, the sum of ln(weighted prob) of category i, and the
     number of features ``nf``.  Unseen features weigh ``ap``; an item without
     features keeps one empty row, so no join with the items is needed."""
-    distinct = F.array_distinct(features)
-    f = items.select(key, F.coalesce(F.size(distinct), F.lit(0)).alias("nf"), F.explode_outer(distinct).alias("feature"))
+    # the set and its size are made before the explode: beside it, the size would
+    # be worked out again for every row that comes out of it
+    sets = items.select(key, F.array_distinct(features).alias("fs"))
+    sets = sets.select(key, F.coalesce(F.size("fs"), F.lit(0)).alias("nf"), "fs")
+    f = sets.select(key, "nf", F.explode_outer("fs").alias("feature"))
     j = f.join(ft, "feature", "left")
     part = lambda i: F.log(F.coalesce(F.col(f"{prefix}_{i}"), F.lit(ap)))
     aggs = [F.sum(F.when(F.col("feature").isNotNull(), part(i)).otherwise(0.0)).alias(f"l_{i}") for i in range(len(cats))]

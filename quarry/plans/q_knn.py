@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import knn as N
+from quarry.operators import knn_join as NJ
 from quarry.operators.classify import class_means
 from quarry.plans.registry import register
+from quarry.session import cut_lineage
 from quarry.sources.tables import Tables
 
 K = 5
@@ -109,3 +111,75 @@ def n4(spark, sf):
     data, _ = _data(spark, sf)
     train, test = N.random_split(data, "id", 0.1, 42)
     return train.select("id", F.lit("train").alias("part")).unionByName(test.select("id", F.lit("test").alias("part")))
+
+
+# ---- every row with vec_id % 100 = 0 as a query, against all rows -------------
+
+TRIALS, PERCENT = 10, 10
+
+
+def _rows(spark, sf):
+    e = Tables(spark, sf).embeddings
+    return e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("input"), F.col("label").cast("double").alias("result"))
+
+
+def _near(spark, sf):
+    data = _rows(spark, sf)
+    asked = data.where(F.col("id") % 100 == 0).select(F.col("id").alias("query_id"), "input")
+    return NJ.nearest_join(data, asked, K)
+
+
+_JOIN_SQL = f"""vl AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(0, len(embedding))) AS pos FROM embeddings),
+dist AS (SELECT q.vec_id AS query_id, vl.vec_id AS id, any_value(vl.label)::DOUBLE AS result,
+                round(sqrt(sum((vl.x - q.x) * (vl.x - q.x))), 9) AS distance
+         FROM vl JOIN vl q ON q.pos = vl.pos AND q.vec_id % 100 = 0 AND q.vec_id <> vl.vec_id GROUP BY 1, 2),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM dist) WHERE rank <= {K})"""
+
+
+@register("j10_k2_nearest_join", sql=f"WITH {_JOIN_SQL} SELECT query_id, id, distance, result, rank FROM nn")
+def nearest_join(spark, sf):
+    """The 5 nearest other vectors of every query row."""
+    return _near(spark, sf).select("query_id", "id", "distance", "result", "rank")
+
+
+@register("n2_knn_estimates", sql=f"WITH {_JOIN_SQL} SELECT query_id, avg(result) AS estimate FROM nn GROUP BY 1")
+def n2_rows(spark, sf):
+    """Mean label of the 5 nearest vectors of every query row."""
+    return NJ.estimates(_near(spark, sf)).select("query_id", "estimate")
+
+
+@register("n3_weighted_estimates", sql=f"""WITH {_JOIN_SQL},
+w AS (SELECT *, exp(-(distance * distance) / (2 * 5.0 * 5.0)) AS g, 1.0 / (distance + 0.1) AS i, greatest(1.0 - distance, 0.0) AS s FROM nn)
+SELECT query_id, sum(g * result) / sum(g) AS gaussian, sum(i * result) / sum(i) AS inverse,
+       CASE WHEN sum(s) = 0 THEN 0.0 ELSE sum(s * result) / sum(s) END AS subtract FROM w GROUP BY 1""")
+def n3_rows(spark, sf):
+    """The weighted estimates of every query row by the three weight functions."""
+    near = cut_lineage(_near(spark, sf))
+    out = None
+    for name in ("gaussian", "inverse", "subtract"):
+        one = NJ.estimates(near, N.WEIGHTS[name](F.col("distance"))).select("query_id", F.col("estimate").alias(name))
+        out = one if out is None else out.join(one, "query_id")
+    return out
+
+
+@register("n6_prob_guesses", sql=f"""WITH {_JOIN_SQL}, w AS (SELECT *, exp(-(distance * distance) / (2 * 5.0 * 5.0)) AS g FROM nn)
+SELECT query_id, coalesce(sum(g) FILTER (result BETWEEN 2.0 AND 6.0), 0.0) / sum(g) AS prob FROM w GROUP BY 1""")
+def n6_rows(spark, sf):
+    """Weight share of the neighbours with a label in [2, 6], per query row."""
+    near = _near(spark, sf).withColumn("result", F.col("result").between(2.0, 6.0).cast("double"))
+    return NJ.estimates(near, N.WEIGHTS["gaussian"](F.col("distance"))).select("query_id", F.col("estimate").alias("prob"))
+
+
+@register("n5_cross_validation", sql=f"""WITH {_JOIN_SQL.split("nn AS")[0].rstrip(", " + chr(10))},
+trials AS (SELECT unnest(range(0, {TRIALS})) AS trial),
+held AS (SELECT vec_id, label, trial FROM embeddings, trials
+         WHERE ('0x' || substr(md5(vec_id || ':' || trial), 1, 8))::BIGINT % 100 < {PERCENT}),
+near AS (SELECT q.vec_id, q.trial, q.label, d.result,
+                row_number() OVER (PARTITION BY q.vec_id, q.trial ORDER BY d.distance, d.id) AS rank
+         FROM held q JOIN dist d ON d.query_id = q.vec_id ANTI JOIN held h ON h.vec_id = d.id AND h.trial = q.trial),
+guess AS (SELECT vec_id, trial, any_value(label)::DOUBLE AS actual, avg(result) AS estimate FROM near WHERE rank <= {K} GROUP BY 1, 2)
+SELECT trial, count(*) AS n, avg((actual - estimate) * (actual - estimate)) AS error FROM guess GROUP BY 1""")
+def n5(spark, sf):
+    """Mean squared error of the estimate in ten trials with a tenth of the
+    rows held out; tested are the held-out rows among the query rows."""
+    return NJ.cross_validate(_rows(spark, sf), F.col("id") % 100 == 0, K, TRIALS, PERCENT)

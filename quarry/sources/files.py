@@ -16,11 +16,15 @@ def read_labelled_matrix(spark: SparkSession, path: str, long: bool = True) -> D
     """IO2: tab file, header = column names, first column = row name, the
     rest numbers.  Long form (row, col, value) by default, else (row, vec)."""
     df = spark.read.option("sep", "\t").option("header", True).csv(path)
-    name, cols = df.columns[0], df.columns[1:]
+    cols = df.columns[1:]
     if long:
-        stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-        return df.selectExpr(f"`{name}` AS row", f"stack({len(cols)}, {stack}) AS (col, value)")
-    return df.select(F.col(name).alias("row"), F.array(*[F.col(c).cast("double") for c in cols]).alias("vec"))
+        # numbered inside, so that a header may hold any character
+        wide = df.toDF("row", *[str(i) for i in range(len(cols))])
+        tall = wide.unpivot("row", [str(i) for i in range(len(cols))], "at", "value")
+        header = F.array(*[F.lit(c) for c in cols])
+        return tall.select("row", F.get(header, F.col("at").cast("int")).alias("col"), F.col("value").cast("double").alias("value"))
+    wide = df.toDF("row", *[str(i) for i in range(len(cols))])
+    return wide.select("row", F.array(*[F.col(str(i)).cast("double") for i in range(len(cols))]).alias("vec"))
 
 
 def write_count_matrix(counts: DataFrame, row: str, col: str, value: str, columns: list[str], path: str,

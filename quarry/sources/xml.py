@@ -36,11 +36,12 @@ def item_rows(df: DataFrame, key: str, xml: str) -> DataFrame:
 
 def attribute_vectors(df: DataFrame, key: str, xml: str, required: list[str]) -> DataFrame:
     """IO17: (key, vec) of the required attributes' numbers in the order given;
-    items that lack one are dropped.  The list is looked up inside the row."""
+    items that lack one are dropped.  The list is looked up inside the row; of
+    an attribute that is given twice the first counts."""
     attrs = F.from_xml(F.col(xml), "Attribute array<struct<id: string, value: string>>")["Attribute"]
-    table = F.map_from_entries(F.filter(attrs, lambda a: a["id"].isNotNull()))
-    got = df.select(key, table.alias("m"))
-    vec = F.array(*[F.try_element_at("m", F.lit(a)).cast("double") for a in required])
+    got = df.select(key, attrs.alias("m"))
+    first = lambda a: F.get(F.filter("m", lambda x: x["id"] == a), F.lit(0))["value"]
+    vec = F.array(*[first(a).try_cast("double") for a in required])
     return got.select(key, vec.alias("vec")).where(~F.exists("vec", lambda x: x.isNull()))
 
 

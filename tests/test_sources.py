@@ -95,3 +95,17 @@ def test_mbox_with_crlf_repeated_headers_and_parts(spark, tmp):
         assert rows[0]["To"] == ["b@x", "c@x"]
         assert "From here on it is text\nFrom there too" in rows[0]["body"]
         assert rows[1]["body"].strip() == "plain part"
+
+
+def test_headers_with_quotes_and_repeated_attributes(spark, tmp_path):
+    from quarry.sources import files, xml
+
+    path = tmp_path / "m.tsv"
+    path.write_text("Blog\tdon't\ta`b\tx.y\nfirst\t1\t2\t\nsecond\t3\t4\t5\n")
+    got = sorted((r["row"], r["col"], r["value"]) for r in files.read_labelled_matrix(spark, str(path)).collect())
+    assert got == [("first", "a`b", 2.0), ("first", "don't", 1.0), ("first", "x.y", None),
+                   ("second", "a`b", 4.0), ("second", "don't", 3.0), ("second", "x.y", 5.0)]
+    text = ("<i><Attribute><id>1</id><value>2</value></Attribute><Attribute><id>1</id><value>9</value></Attribute>"
+            "<Attribute><id>3</id><value>4.5</value></Attribute></i>")
+    rows = spark.createDataFrame([(1, text), (2, "<i><Attribute><id>1</id><value>2</value></Attribute></i>")], "k long, xml string")
+    assert [(r["k"], r["vec"]) for r in xml.attribute_vectors(rows, "k", "xml", ["3", "1"]).collect()] == [(1, [4.5, 2.0])]
