@@ -1,4 +1,4 @@
-"""Contact and title operators (inventory J6, J11, C9, C13, H8, H9).
+"""Contact and title operators (inventory J6, J11, C9, C11, C13, H8, H9).
 
 Titles are compared by the Jaccard distance of their word sets.  The join
 orders each title's words from rare to common and meets titles on a prefix of
@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.operators.components import components
 
 
-def similar_titles(titles: DataFrame, title: str, distance: float = 0.5) -> DataFrame:
+def similar_titles(titles: DataFrame, title: str, distance: float = 0.5, inclusive: bool = False) -> DataFrame:
     """(a, b, distance) of different titles, a < b, at a Jaccard distance
-    below ``distance``."""
+    below ``distance``, or at most that if ``inclusive``."""
     words = titles.select(F.col(title).alias("t")).where(F.col(title).isNotNull()).distinct()
     words = words.select("t", F.array_distinct(T.ws_tokens("t")).alias("w")).where(F.size("w") > 0)
     rows = words.select("t", F.size("w").alias("n"), F.explode("w").alias("x"))
@@ -28,7 +29,8 @@ def similar_titles(titles: DataFrame, title: str, distance: float = 0.5) -> Data
            .where("a < b").select("a", "b").distinct())
     wa, wb = words.select(F.col("t").alias("a"), F.col("w").alias("wa")), words.select(F.col("t").alias("b"), F.col("w").alias("wb"))
     d = T.jaccard_distance("wa", "wb")
-    return met.join(wa, "a").join(wb, "b").select("a", "b", d.alias("distance")).where(F.col("distance") < distance)
+    return met.join(wa, "a").join(wb, "b").select("a", "b", d.alias("distance")).where(
+        F.col("distance") <= distance if inclusive else F.col("distance") < distance)
 
 
 def title_clusters(titles: DataFrame, title: str, distance: float = 0.5) -> DataFrame:
@@ -39,6 +41,16 @@ def title_clusters(titles: DataFrame, title: str, distance: float = 0.5) -> Data
     return both.union(both.select("cluster", F.col("cluster").alias("member")).distinct())
 
 
+def level_clusters(titles: DataFrame, title: str, distance: float = 0.5) -> DataFrame:
+    """C11: (cluster, member): the clusters of single-linkage clustering cut at
+    ``distance``, named by their first title; clusters of one are left out.
+
+    Two titles are in one cluster of that level exactly if a chain of pairs at
+    most ``distance`` apart joins them: the components of the near pairs."""
+    return components(similar_titles(titles, title, distance, inclusive=True), "a", "b").select(
+        F.col("component").alias("cluster"), F.col("id").alias("member"))
+
+
 def roll_up(clusters: DataFrame, contacts: DataFrame, title: str, contact: str) -> DataFrame:
     """(cluster, contact): the contacts whose title is in a cluster, one
     row for each matching title."""

@@ -142,3 +142,24 @@ def c13(spark, sf):
     k = c.select("cluster", F.explode(F.array_distinct(T.ws_tokens("member"))).alias("word")).groupBy("cluster", "word").agg(F.count(F.lit(1)).alias("n"))
     m = c.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
     return k.join(m, "cluster").where("n = m").select("cluster", "word", (F.col("n") / F.col("m")).alias("share"))
+
+
+_LEVEL_SQL = f"""WITH RECURSIVE {_PAIRS_SQL},
+e AS (SELECT a, b FROM d WHERE distance <= 0.5 UNION ALL SELECT b, a FROM d WHERE distance <= 0.5),
+r AS (SELECT DISTINCT a AS member, a AS seen FROM e UNION SELECT r.member, e.b FROM r JOIN e ON e.a = r.seen),
+c AS (SELECT min(seen) AS cluster, member FROM r GROUP BY member)"""
+
+
+@register("c11_level_clusters", sql=f"{_LEVEL_SQL} SELECT cluster, member FROM c")
+def c11(spark, sf):
+    """The clusters of part titles at level one half of single linkage."""
+    return C.level_clusters(Tables(spark, sf).part.select(F.expr(_PART_TITLE).alias("t")), "t")
+
+
+@register("c11_level_contacts", sql=f"""{_LEVEL_SQL}
+SELECT cluster, count(DISTINCT member) AS titles, count(*) AS n FROM c JOIN part ON {_PART_TITLE} = member GROUP BY ALL""")
+def c11_contacts(spark, sf):
+    """Parts rolled up by the clusters of that level."""
+    p = Tables(spark, sf).part.select("p_partkey", F.expr(_PART_TITLE).alias("t"))
+    rows = C.roll_up(C.level_clusters(p, "t"), p, "t", "p_partkey")
+    return rows.groupBy("cluster").agg(F.countDistinct("member").alias("titles"), F.count(F.lit(1)).alias("n"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import vectors as V
 from quarry.operators import cluster as CL
 from quarry.operators import graph as G
+from quarry.operators import scaling as SC
 from quarry.operators.classify import class_means
 from quarry.plans.registry import register
 from quarry.sources.tables import PART_EDGES_SQL, PREFS_SQL, Tables
@@ -157,3 +158,23 @@ def c12(spark, sf):
     n = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).cast("double").alias("freq"))
     at = n.select("c_nationkey", (F.col("c_nationkey") % 5 * 10.0).alias("lon"), (F.col("c_nationkey") % 7 * 5.0).alias("lat"), "freq")
     return CL.weighted_kmeans(at, ["lon", "lat"], "freq")[0].select("c_nationkey", "cluster")
+
+
+@register("g5_closeness")
+def g5(spark, sf):
+    """Closeness of every part of the undirected part graph, by counters of
+    1,024 registers (3 % error)."""
+    return G.closeness_centrality(_edges(spark, sf), lg_k=10)
+
+
+@register("g4_betweenness")
+def g4(spark, sf):
+    """Betweenness of every part from the shortest paths of 64 sources."""
+    return G.betweenness_centrality(_edges(spark, sf), n_sources=64, batch=32)
+
+
+@register("c8_landmark_scaling")
+def c8(spark, sf):
+    """Two coordinates for every vector."""
+    placed = SC.landmark_scaling(Tables(spark, sf).embeddings, "vec_id", "embedding")
+    return placed.select(F.col("id").alias("vec_id"), F.round(F.col("place")[0], 6).alias("x"), F.round(F.col("place")[1], 6).alias("y"))
