@@ -58,3 +58,67 @@ def test_table(spark):
     got = sorted((tuple(r) for r in H.main_text(pages).collect()), key=repr)
     assert got == sorted([(1, "u", "a 😀", 3), (1, "u", "a 😀", 3), (2, None, "", 0), (None, "x", "", 0)], key=repr)
     assert H.main_text(pages.where("false")).count() == 0
+
+
+def test_inline_boilerplate_leaves_its_paragraph():
+    for inner in ("<button>Buy {0}</button>", "<label>Name {0}</label>", "<textarea>{0}</textarea>", "<iframe>{0}</iframe>", "<video>{0}</video>",
+                  "<span class='ad'>{0}</span>", "<span hidden>{0}</span>", "<span style='display:none'>{0}</span>"):
+        html = page(f"<article><p>Before it. {inner.format('no')} {LONG}</p><p>{LONG}</p></article>")
+        assert H.extract(html) == f"Before it. {LONG.strip()}\n\n{LONG.strip()}", inner
+
+
+def test_unclosed_inline_name_loses_nothing():
+    assert H.extract(page(f"<article><p>One <span class='ad'>two. {LONG}</p><p>{LONG}</p></article>")) == f"One two. {LONG.strip()}\n\n{LONG.strip()}"
+
+
+def test_wrappers_do_not_empty_the_page():
+    body = f"<article><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></article><footer>{LONG}</footer>"
+    want = "\n\n".join(["Head", LONG.strip(), LONG.strip()])
+    for wrap in ("<div class='layout has-sidebar'>{}</div>", "<form action='/'>{}</form>", "<div class='sidebar'>{}</div>", "<div id='page' class='no-comments'>{}</div>"):
+        assert H.extract(page(wrap.format(body))) == want, wrap
+    text = f"<article><p>{LONG}</p><p class='notice-of-change'>{LONG}1</p><div class='social-history'>{LONG}2</div></article>"
+    assert H.extract(page(text)) == "\n\n".join([LONG.strip(), f"{LONG}1", f"{LONG}2"])
+
+
+def test_comments_stay_out_however_long():
+    thread = "".join(f"<article class='comment'><p>{LONG}{i}</p></article>" for i in range(30))
+    assert H.extract(page(f"<article><h1>Head</h1><p>{LONG}</p></article><div class='comments'>{thread}</div>")) == f"Head\n\n{LONG.strip()}"
+
+
+def test_linked_paragraphs_in_the_article_and_menus():
+    html = page(f"<article><p>{LONG}</p><p><a href='x'>{LONG}</a></p><p>{LONG}</p></article>")
+    assert H.extract(html) == "\n\n".join([LONG.strip()] * 3)
+    menu = "".join(f"<li><a href='{i}'>Item {i}</a></li>" for i in range(5))
+    assert H.extract(page(f"<article><p>{LONG}</p><ul>{menu}</ul><p>{LONG}</p></article>")) == "\n\n".join([LONG.strip()] * 2)
+
+
+def test_density_decides_where_the_article_is_a_card():
+    html = page(f"<div><h1>Head</h1><p>{LONG * 2}</p><p>{LONG * 2}</p></div><article><p>A card of a related story, read more of it there.</p></article>")
+    assert H.extract(html).startswith(f"Head\n\n{(LONG * 2).strip()}\n\n{(LONG * 2).strip()}")
+    words = "buy cheap tickets online hotel flight deals casino bonus price shop sale offer " * 4
+    assert words.strip() not in H.extract(page(f"<div><p>{LONG * 2}</p><div>{words}</div><p>{LONG * 2}</p></div>"))
+
+
+def test_languages_without_listed_words():
+    one = "Быстрая коричневая лиса перепрыгивает через ленивую собаку и бежит дальше по полю к реке. " * 3
+    assert H.extract(page(f"<div><p>{one}</p><p>{one}</p></div>")) == "\n\n".join([one.strip()] * 2)
+    assert H.extract(page(f"<div><p>{one}</p><p>{LONG * 2}</p><p>{one}</p></div>")) == "\n\n".join([one.strip(), (LONG * 2).strip(), one.strip()])
+    dutch = "Zeventien kleine vogels vlogen gisteren richting zuiden omdat winter snel dichterbij kwam dan verwacht. " * 3
+    assert H.extract(page(f"<div><p>{dutch}</p><p>{dutch}</p></div>")) == "\n\n".join([dutch.strip()] * 2)
+
+
+def test_generated_pages_with_known_main_text():
+    import random
+
+    rnd = random.Random(12)
+    words = [w for ws in H.STOP_WORDS.values() for w in ws][:60] + ["river", "house", "market", "garden", "letter", "window"]
+    say = lambda n: " ".join(rnd.choice(words) for _ in range(n)).capitalize() + "."
+    boiler = [lambda: f"<nav>{say(5)}</nav>", lambda: f"<div class='{rnd.choice(['ad', 'ad-box', 'cookie-notice', 'share-buttons', 'sidebar-left'])}'>{say(20)}</div>",
+              lambda: f"<aside><p>{say(40)}</p></aside>", lambda: f"<form><label>{say(3)}</label></form>", lambda: f"<footer>{say(30)}</footer>",
+              lambda: f"<section id='comments'><p>{say(50)}</p></section>", lambda: f"<script>{say(9)}</script>"]
+    for _ in range(150):
+        main = [say(rnd.choice([4, 60, 90])) for _ in range(rnd.randint(2, 6))] + [say(80)]
+        inner = "".join(f"<p>{t}</p>" + (rnd.choice(boiler)() if rnd.random() < 0.3 else "") for t in main)
+        around = lambda: "".join(rnd.choice(boiler)() for _ in range(rnd.randint(0, 3)))
+        html = page(f"<header>{say(6)}</header>{around()}<{rnd.choice(['article', 'main'])} class='x'>{inner}</article></main>{around()}<footer>{say(9)}</footer>")
+        assert H.extract(html) == "\n\n".join(main)
