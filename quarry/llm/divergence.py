@@ -1,7 +1,7 @@
 """How far apart the sources of a language are, term by term.
 
 Texts are cut into terms in Arrow columns and dealt, row by row, into shards
-of a language's vocabulary: a term's checksum names its shard, and the number
+of a language's vocabulary: a term's hash names its shard, and the number
 of shards follows an estimate of the language's distinct terms, so that a
 vocabulary of any size is made of parts of bounded size. A ``CountVectorizer``
 with ``minDF`` and the largest vocabulary size is fitted per language and
@@ -30,7 +30,6 @@ from __future__ import annotations
 import functools
 import os
 import uuid
-import zlib
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -89,15 +88,33 @@ def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += n
 
 
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values of an ordered array begin."""
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
+
+
+def _hashes(terms: pa.LargeStringArray) -> np.ndarray:
+    """A number of 63 bits for each of these terms, none of them empty."""
+    if not len(terms):
+        return np.zeros(0, np.int64)
+    offsets = np.frombuffer(terms.buffers()[1], np.int64)[terms.offset:terms.offset + len(terms) + 1]
+    data = np.frombuffer(terms.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    starts, sizes = offsets[:-1] - offsets[0], np.diff(offsets)
+    powers = np.cumprod(np.full(sizes.max(), 0x9E3779B97F4A7C15, np.uint64))
+    h = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * powers[np.arange(len(data)) - np.repeat(starts, sizes)], starts)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return ((h ^ (h >> np.uint64(33))) >> np.uint64(1)).astype(np.int64)
+
+
 def _first(rows: np.ndarray, lang: np.ndarray, codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, code) of the terms without a document's repeats and without those
     that ``most`` documents of the language before hold too."""
-    width = int(rows[-1]) + 1
-    key = np.unique((codes * (int(lang.max()) + 1) + lang[rows]) * width + rows)
-    group = key // width
-    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    width, langs = int(rows[-1]) + 1, int(lang.max()) + 1
+    key = np.sort((codes * langs + lang[rows]) * width + rows)
+    key = key[_starts(key)]
+    start = _starts(key // width)
     key = key[np.arange(len(key)) - np.repeat(start, np.diff(start, append=len(key))) < most]
-    return key % width, key // width // (int(lang.max()) + 1)
+    return key % width, key // width // langs
 
 
 def terms_of(docs: DataFrame, shards: dict[str, int] | None = None, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -119,14 +136,14 @@ def terms_of(docs: DataFrame, shards: dict[str, int] | None = None, min_docs: in
             coded = terms.dictionary_encode()
             codes = coded.indices.to_numpy().astype(np.int64)
             n = np.array([many.get(x, 1) for x in batch.column(0).to_pylist()], np.int64)
-            sums = np.fromiter(map(zlib.crc32, coded.dictionary.cast(pa.large_binary()).to_pylist()), np.int64, len(coded.dictionary)) if many else None
+            sums = _hashes(coded.dictionary) if many else None
             shard_of = lambda r, c: sums[c] % n[r] if many else np.zeros(len(r), np.int64)
             shard, most = shard_of(rows, codes), int(n.max())
             if many:
                 order = np.argsort(rows * most + shard, kind="stable")
                 rows, shard, codes, terms = rows[order], shard[order], codes[order], terms.take(pa.array(order))
             lists_at = rows * most + shard
-            starts = np.flatnonzero(np.r_[True, lists_at[1:] != lists_at[:-1]])
+            starts = _starts(lists_at)
             r, c = _first(rows, batch.column(0).dictionary_encode().indices.to_numpy().astype(np.int64), codes, min_docs)
             some = np.sort((r * most + shard_of(r, c)) * len(coded.dictionary) + c)
             some_ends = np.r_[np.searchsorted(some, lists_at[starts] * len(coded.dictionary)), len(some)]
@@ -162,19 +179,23 @@ def group_sums(rows: DataFrame, vocabulary: Broadcast[list[str]]) -> DataFrame:
     vectors of a batch are summed as they are made."""
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = {x: i for i, x in enumerate(vocabulary.value)}
+        index = pa.array(vocabulary.value, pa.string())
         for batch in _slices(batches):
             terms = pc.ascii_split_whitespace(batch.column(1))
             source, coded = batch.column(0).dictionary_encode(), terms.flatten().dictionary_encode()
-            found = np.fromiter((index.get(x, -1) for x in coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+            found = pc.fill_null(pc.index_in(coded.dictionary, value_set=index), -1).to_numpy().astype(np.int64)
             doc = np.repeat(np.arange(batch.num_rows), pc.list_value_length(terms).to_numpy())
             ix = found[coded.indices.to_numpy()] if len(found) else found
             held = ix >= 0
-            vector, count = np.unique(doc[held] * len(index) + ix[held], return_counts=True)  # (document, index): count
-            own = source.indices.to_numpy().astype(np.int64)[vector // len(index)]
-            key, at = np.unique(own * len(index) + vector % len(index), return_inverse=True)
-            n = np.zeros(len(key), np.int64)
-            np.add.at(n, at, count)
+            every = np.sort(doc[held] * len(index) + ix[held])
+            starts = _starts(every)
+            vector, count = every[starts], np.diff(starts, append=len(every))  # (document, index): count
+            own = source.indices.to_numpy().astype(np.int64)[vector // len(index)] * len(index) + vector % len(index)
+            order = np.argsort(own)
+            own = own[order]
+            starts = _starts(own)
+            key = own[starts]
+            n = np.add.reduceat(count[order], starts) if len(key) else key
             yield pa.RecordBatch.from_arrays([source.dictionary.take(pa.array(key // len(index))), pa.array((key % len(index)).astype(np.int32)), pa.array(n)],
                                              ["source", "ix", "n"])
 
