@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators import classify as C
+from quarry.operators import kernels as KE
 from quarry.operators.relational import min_max
 from quarry.plans.q_relational import p11, wordset_sql
 from quarry.plans.registry import register
@@ -221,3 +222,27 @@ def b14(spark, sf):
     rng = sorted(min_max(e, "embedding").collect(), key=lambda r: r["pos"])
     lows, highs = [r["low"] for r in rng], [r["high"] for r in rng]
     return e.select("vec_id", C.min_max_scale(e, "embedding", lows, highs).alias("scaled"))
+
+
+def _kernel_rows(spark, sf):
+    return Tables(spark, sf).embeddings.select("vec_id", F.col("embedding").alias("vec"), "label")
+
+
+@register("b12_kernel_rows", sql="""WITH vl AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x,
+  unnest(range(0, len(embedding))) AS pos FROM embeddings),
+d AS (SELECT q.vec_id AS query_id, vl.vec_id, any_value(vl.label) AS label, sum((vl.x - q.x) * (vl.x - q.x)) AS sq
+      FROM vl JOIN vl q ON q.pos = vl.pos AND q.vec_id % 100 = 0 WHERE vl.label IN (0, 1) GROUP BY 1, 2),
+k AS (SELECT query_id, sum(exp(-10.0 * sq)) FILTER (WHERE label = 0) / count(*) FILTER (WHERE label = 0)
+          - sum(exp(-10.0 * sq)) FILTER (WHERE label = 1) / count(*) FILTER (WHERE label = 1) AS y FROM d GROUP BY 1)
+SELECT query_id, y, CASE WHEN y > 0 THEN 0 ELSE 1 END AS predicted FROM k""")
+def b12_rows(spark, sf):
+    """RBF-kernel decision of every row with vec_id % 100 = 0 against all rows."""
+    rows = _kernel_rows(spark, sf)
+    return KE.kernel_decisions(rows, rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "vec"))
+
+
+@register("b13_kernel_offset")
+def b13(spark, sf):
+    """Mean kernel within class 1 less that within class 0, by random features."""
+    rows = _kernel_rows(spark, sf)
+    return rows.agg(F.lit(KE.kernel_offset(rows)).alias("kernel_offset"))
