@@ -22,7 +22,12 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the perplexity classifier accepts."""
+    """Documents that the perplexity classifier accepts.
+
+    Null and empty texts are rejected (they have no perplexity). Nulls in other
+    columns, long texts and tables without labels: see ``kneser_ney``. Repeated
+    rows are judged alike, an empty table stays empty, and columns other than
+    those of ``documents`` are dropped, here and in every stage but the last."""
     judged = kneser_ney.classify(docs, table(spark, sf_dir, "labels"))
     bad = judged.where("NOT kept").select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
     k1, k2 = hashed_key(F.col("doc_id"), F.col("text"))
@@ -31,7 +36,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without boilerplate lines; those of which nothing is left go."""
+    """Documents without boilerplate lines; those of which nothing is left go.
+
+    Null texts, and texts of which no line was removed, stay as they are. A
+    null source is no site; blank lines are never removed. Repeated rows lose
+    the same lines; an empty table stays empty."""
     out = line_dedup.remove(docs, MIN_SITES)
     left = F.col("n_removed").eqNullSafe(0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     cut = out.where(F.coalesce(left, F.lit(True)))
@@ -40,17 +49,27 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates.
+
+    Texts without a word share the fingerprint zero and count as duplicates of
+    each other; of a group the smallest id stays, of repeated rows one. Null
+    ids come last."""
     return simhash.keep_one(docs, shingle=3, max_bits=3).select(*COLUMNS)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
+    """Documents that overlap no benchmark item.
+
+    Null and wordless texts overlap none and stay; items of fewer than five
+    words match nothing. Repeated rows go or stay together."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in training sequences."""
+    """The pieces of the documents and their places in training sequences.
+
+    A null text is its end token alone; long texts are cut, ties go by the
+    row's key, repeated rows are packed each, an empty table gives no piece."""
     cut = packing.pieces(docs, tokenizer_path(), WINDOW, END_ID)
     return packing.pack(cut, WINDOW).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
