@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 def test_every_operator_has_a_query():
     names = list(queries())
     assert [n for n in names if n != "pipeline"] == sorted((n for n in names if n != "pipeline"), key=lambda n: int(n[2:].split("_")[0]))
-    assert len(names) == 11 and set(oracle_sql()) <= set(names)
+    assert len(names) == 14 and set(oracle_sql()) <= set(names)
 
 
 def test_stages_do_what_their_operators_find(spark):
