@@ -1,4 +1,4 @@
-"""Contact and title operators (inventory J6, J11, C9, C11, C13, H8, H9).
+"""Contact and title operators (inventory J6, J11, C9-C11, C13, H8, H9).
 
 Titles are compared by the Jaccard distance of their word sets.  The join
 orders each title's words from rare to common and meets titles on a prefix of
@@ -41,6 +41,30 @@ def title_clusters(titles: DataFrame, title: str, distance: float = 0.5) -> Data
     return both.union(both.select("cluster", F.col("cluster").alias("member")).distinct())
 
 
+def title_sketches(titles: DataFrame, title: str, bands: int = 24, rows: int = 2) -> DataFrame:
+    """The sketch index of C10: (t, band, sketch), ``bands`` rows for every
+    different title with a word. A sketch joins ``rows`` least word hashes, so
+    two titles of similarity s share a band's sketch with probability s^rows."""
+    words = titles.select(F.col(title).alias("t")).where(F.col(title).isNotNull()).distinct()
+    words = words.select("t", F.array_distinct(T.ws_tokens("t")).alias("w")).where(F.size("w") > 0)
+    least = lambda i: F.array_min(F.transform("w", lambda x: F.md5(F.concat(F.lit(f"{i}:"), x))))
+    sketches = F.array(*[F.concat(*[least(b * rows + r) for r in range(rows)]) for b in range(bands)])
+    return words.select("t", F.posexplode(sketches).alias("band", "sketch"))
+
+
+def sketched_clusters(titles: DataFrame, title: str, distance: float = 0.5, bands: int = 24, rows: int = 2) -> DataFrame:
+    """(cluster, member) like ``title_clusters``, but titles are compared
+    only where the sketches of a band agree. Every title is in the index and
+    every candidate is compared exactly, so no wrong pair is found; a pair of
+    similarity s is missed with probability (1 - s^rows)^bands."""
+    index = title_sketches(titles, title, bands, rows)
+    met = (index.withColumnRenamed("t", "a").join(index.withColumnRenamed("t", "b"), ["band", "sketch"])
+           .where("a < b").select("a", "b").distinct())
+    near = met.where(T.jaccard_distance(T.ws_tokens("a"), T.ws_tokens("b")) < distance)
+    both = near.select(F.col("a").alias("cluster"), F.col("b").alias("member")).union(near.select("b", "a"))
+    return both.union(both.select("cluster", F.col("cluster").alias("member")).distinct())
+
+
 def level_clusters(titles: DataFrame, title: str, distance: float = 0.5) -> DataFrame:
     """C11: (cluster, member): the clusters of single-linkage clustering cut at
     ``distance``, named by their first title; clusters of one are left out.

@@ -144,6 +144,21 @@ def c13(spark, sf):
     return k.join(m, "cluster").where("n = m").select("cluster", "word", (F.col("n") / F.col("m")).alias("share"))
 
 
+_SKETCH_SQL = f"""t AS (SELECT DISTINCT {_PART_TITLE} AS t FROM part),
+w AS (SELECT t, list_distinct({_WS.format(c='t')}) AS w FROM t),
+h AS (SELECT t, w, i, list_min(list_transform(w, lambda x: md5(concat(i, ':', x)))) AS h FROM w, range(48) r(i)),
+k AS (SELECT t, w, i // 2 AS band, string_agg(h, '' ORDER BY i) AS sketch FROM h GROUP BY ALL),
+j AS (SELECT DISTINCT a.t AS a, b.t AS b FROM k a JOIN k b USING (band, sketch) WHERE a.t < b.t
+      AND 1.0 - len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) < 0.5)"""
+
+
+@register("c10_sketched_clusters", sql=f"""WITH {_SKETCH_SQL}
+SELECT a AS cluster, b AS member FROM j UNION ALL SELECT b, a FROM j UNION ALL SELECT DISTINCT x, x FROM (SELECT a AS x FROM j UNION SELECT b FROM j)""")
+def c10(spark, sf):
+    """For each title the titles near it, compared where their sketches meet."""
+    return C.sketched_clusters(Tables(spark, sf).part.select(F.expr(_PART_TITLE).alias("t")), "t")
+
+
 _LEVEL_SQL = f"""WITH RECURSIVE {_PAIRS_SQL},
 e AS (SELECT a, b FROM d WHERE distance <= 0.5 UNION ALL SELECT b, a FROM d WHERE distance <= 0.5),
 r AS (SELECT DISTINCT a AS member, a AS seen FROM e UNION SELECT r.member, e.b FROM r JOIN e ON e.a = r.seen),

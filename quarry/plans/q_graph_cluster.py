@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions import vectors as V
+from quarry.operators import cliques as CQ
 from quarry.operators import cluster as CL
 from quarry.operators import graph as G
 from quarry.operators import scaling as SC
 from quarry.operators.classify import class_means
 from quarry.plans.registry import register
+from quarry.session import cut_lineage
 from quarry.sources.tables import PART_EDGES_SQL, PREFS_SQL, Tables
 
 SEED_PART = 558
@@ -178,3 +180,51 @@ def c8(spark, sf):
     """Two coordinates for every vector."""
     placed = SC.landmark_scaling(Tables(spark, sf).embeddings, "vec_id", "embedding")
     return placed.select(F.col("id").alias("vec_id"), F.round(F.col("place")[0], 6).alias("x"), F.round(F.col("place")[1], 6).alias("y"))
+
+
+def _cliques_sql(edges: str) -> str:
+    """Every clique grown by rising ids; ``common`` are the neighbours that all
+    its members share, so a maximal one has none left."""
+    return f"""WITH RECURSIVE {PART_EDGES_SQL}, {edges},
+b AS (SELECT a AS id, b AS nb FROM u UNION SELECT b, a FROM u),
+adj AS (SELECT id, list(nb) AS nb FROM b GROUP BY id),
+c AS (SELECT [id] AS members, nb AS common FROM adj UNION ALL
+      SELECT list_append(members, x), list_intersect(common, nb) FROM (
+        SELECT members, common, unnest(list_filter(common, lambda y: y > members[-1])) AS x FROM c) g JOIN adj ON adj.id = g.x),
+k AS (SELECT members FROM c WHERE len(common) = 0)"""
+
+
+_ALL_SQL = "u AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM part_edges WHERE src <> dst)"
+_MUTUAL_SQL = f"""p AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM part_edges WHERE src <> dst),
+m AS (SELECT b AS f FROM p WHERE a = {SEED_PART} UNION SELECT a FROM p WHERE b = {SEED_PART}),
+u AS (SELECT a, b FROM p WHERE (a = {SEED_PART} OR a IN (SELECT f FROM m)) AND (b = {SEED_PART} OR b IN (SELECT f FROM m)))"""
+_STATISTICS_SQL = """s AS (SELECT members, len(members) AS size FROM k),
+z AS (SELECT count(*) AS n_cliques, floor(avg(size))::BIGINT AS mean_size, max(size) AS largest FROM s),
+l AS (SELECT members FROM s, z WHERE size = largest),
+x AS (SELECT m FROM (SELECT unnest(members) AS m FROM l) GROUP BY m HAVING count(*) = (SELECT count(*) FROM l))
+SELECT n_cliques, mean_size, largest, (SELECT count(*) FROM l) AS n_largest,
+  coalesce((SELECT string_agg(m::VARCHAR, ',' ORDER BY m) FROM x), '') AS in_all_largest FROM z"""
+
+
+def _joined(report):
+    return report.withColumn("in_all_largest", F.array_join("in_all_largest", ","))
+
+
+@register("g9_maximal_cliques", sql=f"{_cliques_sql(_ALL_SQL)} SELECT array_to_string(members, ',') AS members, len(members) AS size FROM k")
+def g9(spark, sf):
+    """Every maximal clique of the part graph."""
+    return CQ.maximal_cliques(_edges(spark, sf)).select(F.array_join("members", ",").alias("members"), F.size("members").alias("size"))
+
+
+@register("g10_clique_statistics", sql=f"{_cliques_sql(_ALL_SQL)}, {_STATISTICS_SQL}")
+def g10(spark, sf):
+    """Number, mean and largest size of the cliques of the part graph, and who
+    is in all the largest."""
+    return _joined(CQ.clique_statistics(cut_lineage(CQ.maximal_cliques(_edges(spark, sf)))))
+
+
+@register("h12_mutual_cliques", sql=f"{_cliques_sql(_MUTUAL_SQL)}, {_STATISTICS_SQL}")
+def h12(spark, sf):
+    """The clique report of one part and its mutual neighbours."""
+    e = _edges(spark, sf)
+    return _joined(CQ.clique_statistics(cut_lineage(CQ.maximal_cliques(G.mutual_friend_edges(SEED_PART, G.mutual_friends(e, SEED_PART))))))
