@@ -246,3 +246,12 @@ def b13(spark, sf):
     """Mean kernel within class 1 less that within class 0, by random features."""
     rows = _kernel_rows(spark, sf)
     return rows.agg(F.lit(KE.kernel_offset(rows)).alias("kernel_offset"))
+
+
+@register("b16_rbf_classifier")
+def b16(spark, sf):
+    """Every row with vec_id % 100 = 0 classified as label 0 or 1 by a kernel
+    machine trained on the other rows of these labels."""
+    rows = _kernel_rows(spark, sf)
+    model = KE.train_rbf(rows.where("vec_id % 100 <> 0"))
+    return model.predict(rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "vec")).select("query_id", "predicted")

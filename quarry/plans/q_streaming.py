@@ -54,6 +54,16 @@ def st2(spark, sf):
     return spark.read.parquet(out).select("snapshot", "lang", "n")
 
 
+@register("st2_interval_snapshots", sql="""WITH d AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS snapshot, event_type, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL)
+SELECT * FROM d WHERE snapshot + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def st2_intervals(spark, sf):
+    """Events per type of every whole day, an hour after the day is over, from
+    a stream of files in the order of the events."""
+    e = Tables(spark, sf).events.select("event_id", "ts", "event_type")
+    stream = ST.file_stream(spark, _in_files(spark, e, "event_id", "events"), e.schema)
+    return spark.read.parquet(ST.interval_snapshots(stream, "ts", "1 day", ["event_type"], _path(spark, "st2i"), late="1 hour"))
+
+
 @register("st3_incremental_training", sql=f"WITH {_BASE_SQL} SELECT feature, cat, n FROM fc")
 def st3(spark, sf):
     """Classifier counts trained batch by batch from a document stream;

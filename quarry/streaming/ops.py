@@ -29,21 +29,28 @@ def file_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> D
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def run_available(df: DataFrame, out: str, fmt: str = "parquet") -> str:
+def _run(writer, out: str, every: str | None, seconds: float | None) -> str:
+    """Start a stream whose progress is kept beside ``out``. Without ``every``
+    it takes what is present and ends; with it a micro-batch starts at that
+    interval, and the stream is stopped after ``seconds``, if given."""
+    when = {"processingTime": every} if every else {"availableNow": True}
+    q = writer.option("checkpointLocation", out + "-progress").trigger(**when).start()
+    try:
+        q.awaitTermination(seconds) if every and seconds else q.awaitTermination()
+    finally:
+        q.stop()
+    return out
+
+
+def run_available(df: DataFrame, out: str, fmt: str = "parquet", every: str | None = None, seconds: float | None = None) -> str:
     """Run a streaming DataFrame over the data present, adding to the table
     ``out``; the progress is kept beside it, so a second run adds only what
-    is new."""
-    q = (df.writeStream.format(fmt).option("path", out)
-         .option("checkpointLocation", out + "-progress").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return out
+    is new. ``every`` and ``seconds``: run at an interval instead."""
+    return _run(df.writeStream.format(fmt).option("path", out), out, every, seconds)
 
 
-def _each_batch(stream: DataFrame, out: str, work) -> str:
-    q = (stream.writeStream.foreachBatch(work).option("checkpointLocation", out + "-progress")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return out
+def _each_batch(stream: DataFrame, out: str, work, every: str | None = None, seconds: float | None = None) -> str:
+    return _run(stream.writeStream.foreachBatch(work), out, every, seconds)
 
 
 def _batch_counts(batch: DataFrame, batch_id: int, features: str, cat: str, out: str) -> None:
@@ -97,16 +104,34 @@ def classify_and_train(stream: DataFrame, key: str, features: str, cat: str, out
     return _each_batch(stream, out, work)
 
 
-def snapshots(stream: DataFrame, by: list[str], out: str) -> str:
+def snapshots(stream: DataFrame, by: list[str], out: str, every: str | None = None, seconds: float | None = None) -> str:
     """ST2: a snapshot of counts per micro-batch, under ``snapshot=<id>`` with
-    the time it was taken; with a processing-time trigger that is a snapshot
-    per interval."""
+    the time it was taken. ``every`` ('60 seconds') makes that a snapshot per
+    interval of the clock, for ``seconds`` or until stopped; without it each
+    batch of what is present is one."""
 
     def work(batch: DataFrame, i: int) -> None:
         n = batch.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("taken_at", F.current_timestamp())
         n.write.mode("overwrite").parquet(f"{out}/snapshot={i}")
 
-    return _each_batch(stream, out, work)
+    return _each_batch(stream, out, work, every, seconds)
+
+
+def interval_snapshots(stream: DataFrame, time: str, interval: str, by: list[str], out: str, late: str = "0 seconds",
+                       every: str | None = None, seconds: float | None = None) -> str:
+    """ST2 by event time: rows (snapshot, *by, n), the counts of each whole
+    ``interval`` of the rows' own ``time``, added to the table ``out`` once the
+    interval is over.
+
+    Counts of open intervals are kept in the state store. An interval is over
+    when the watermark, the latest time seen in the batches before less
+    ``late``, has passed its end: rows that come up to ``late`` behind the
+    latest are counted, rows of an interval that is over are dropped, and rows
+    without a time belong to none. A stream that is started again with the same
+    folder goes on with the state that it had."""
+    counts = (stream.withWatermark(time, late).groupBy(F.window(time, interval).alias("w"), *by)
+              .agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("snapshot"), *by, "n"))
+    return run_available(counts, out, every=every, seconds=seconds)
 
 
 def labelled_word_sets(stream: DataFrame, labels: DataFrame) -> DataFrame:

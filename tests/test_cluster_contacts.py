@@ -126,3 +126,19 @@ def test_any_feature_column_as_extractor(spark):
     items = spark.createDataFrame([("a b", "x"), ("b c", "y")], "t string, cat string").withColumn("pairs", F.split("t", " "))
     fc, _ = C.train_counts(items, F.transform("pairs", lambda w: F.upper(w)), "cat")
     assert {r["feature"] for r in fc.collect()} == {"A", "B", "C"}
+
+
+def test_sketched_titles_find_nearly_all_near_pairs(spark):
+    """Every pair found is near, and 0.9 of the near pairs or more are found;
+    every title is in the index."""
+    rnd = random.Random(4)
+    vocab = ["chief", "senior", "junior", "sales", "data", "cloud", "risk", "field", "lead", "staff", "manager", "engineer", "analyst", "officer"]
+    titles = [" ".join(rnd.sample(vocab, rnd.randint(1, 6))) for _ in range(400)] + [None, "", "sales lead"]
+    df = spark.createDataFrame([(t,) for t in titles], "title string")
+    near = {tuple(r) for r in CO.title_clusters(df, "title").collect()}
+    got = [tuple(r) for r in CO.sketched_clusters(df, "title").collect()]
+    assert len(got) == len(set(got)) and set(got) <= near and len(got) >= 0.9 * len(near)
+    index = CO.title_sketches(df, "title", bands=5)
+    assert index.count() == 5 * len({t for t in titles if t}) and index.select("t").distinct().count() == len({t for t in titles if t})
+    few = CO.sketched_clusters(df, "title", bands=1, rows=3).count()
+    assert few < len(got)

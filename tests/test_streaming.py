@@ -68,3 +68,30 @@ def test_table_folder_as_source(spark, tmp_path, files):
     s = ST.file_stream(spark, src, schema(spark), files)
     out = ST.run_available(s.select("id"), f"{tmp_path}/out")
     assert spark.read.parquet(out).count() == 5
+
+
+def test_interval_snapshots_wait_for_late_rows_and_go_on_after_a_restart(spark, tmp_path):
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+
+    def put(*rows):
+        (spark.createDataFrame(rows, "ts string, kind string").select(F.col("ts").cast("timestamp").alias("ts"), "kind")
+         .coalesce(1).write.mode("append").parquet(src))
+        schema = spark.read.parquet(src).schema
+        ST.interval_snapshots(ST.file_stream(spark, src, schema), "ts", "10 minutes", ["kind"], out, late="5 minutes")
+        return sorted((r["snapshot"].strftime("%H:%M"), r["kind"], r["n"]) for r in spark.read.parquet(out).collect())
+
+    day = "2024-01-01 "
+    assert put((day + "10:01:00", "a"), (day + "10:11:00", "a"), (None, "a")) == []   # 10:00 is open until 10:15 is seen
+    # late by less than five minutes behind the latest: counted; stream restarted in between
+    assert put((day + "10:08:00", "a"), (day + "10:09:00", "b"), (day + "10:16:00", "b")) == [("10:00", "a", 2), ("10:00", "b", 1)]
+    got = put((day + "10:05:00", "a"), (day + "10:26:00", "a"))                       # 10:00 is over: the late row is dropped
+    assert got == [("10:00", "a", 2), ("10:00", "b", 1), ("10:10", "a", 1), ("10:10", "b", 1)]
+
+
+def test_snapshots_at_an_interval_of_the_clock(spark, tmp_path):
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    add(spark, src, ROWS[:2])
+    add(spark, src, ROWS[2:])
+    ST.snapshots(ST.file_stream(spark, src, schema(spark)), ["cat"], out, every="1 second", seconds=8)
+    taken = spark.read.parquet(out)
+    assert taken.agg(F.sum("n")).first()[0] == 5 and taken.select("taken_at").distinct().count() == 2
