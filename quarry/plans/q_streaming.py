@@ -59,9 +59,12 @@ SELECT * FROM d WHERE snapshot + INTERVAL 1 DAY <= (SELECT max(ts) FROM events)
 def st2_intervals(spark, sf):
     """Events per type of every whole day, an hour after the day is over, from
     a stream of files in the order of the events."""
-    e = Tables(spark, sf).events.select("event_id", "ts", "event_type")
+    # the table's times have no zone, and a watermark needs instants: read as UTC whatever the session's zone
+    instant = F.expr("timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts))").alias("ts")
+    e = Tables(spark, sf).events.select("event_id", instant, "event_type")
     stream = ST.file_stream(spark, _in_files(spark, e, "event_id", "events"), e.schema)
-    return spark.read.parquet(ST.interval_snapshots(stream, "ts", "1 day", ["event_type"], _path(spark, "st2i"), late="1 hour"))
+    out = spark.read.parquet(ST.interval_snapshots(stream, "ts", "1 day", ["event_type"], _path(spark, "st2i"), late="1 hour"))
+    return out.withColumn("snapshot", F.expr("timestampadd(SECOND, cast(unix_seconds(snapshot) AS int), TIMESTAMP_NTZ'1970-01-01 00:00:00')"))
 
 
 @register("st3_incremental_training", sql=f"WITH {_BASE_SQL} SELECT feature, cat, n FROM fc")
