@@ -67,3 +67,60 @@ def test_text_that_begins_inside_a_template(docs_of):
     got = {r["doc_id"]: r for r in L.scan(docs_of(rows)).collect()}
     assert [got[i]["labels"] for i in range(1, 7)] == ["mit", "apache-2.0", "gpl,gpl-3.0", "gpl,lgpl", "", ""]
     assert got[1]["score"] == 2 / 5 and got[2]["score"] == 5 / 8 and got[3]["score"] == 6 / 12
+
+
+NAMES = {"CC BY-NC-SA 4.0": "cc-by-nc-sa-4.0", "BSD 3-Clause License": "bsd", "ISC License": "isc", "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+         "SPDX-License-Identifier: BSD-3-Clause": "bsd", "distributed under the ISC license": "isc", "available under the MIT License": "mit",
+         "Creative Commons Attribution-ShareAlike 3.0 International License": "cc-by-sa-3.0", "licensed under the GNU Affero General Public License": "agpl",
+         "This is free and unencumbered software released into the public domain": "unlicense"}
+
+
+def test_names_alone_and_inside_a_text(docs_of):
+    names = list(NAMES)
+    rows = list(enumerate(names)) + [(100 + i, f"one two three four five {n} six seven eight nine") for i, n in enumerate(names)]
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in L.scan(docs_of(rows)).collect()}
+    for i, n in enumerate(names):
+        assert NAMES[n] in got[i], n
+        assert n == "ISC License" or NAMES[n] in got[100 + i], n  # two words of running text name no licence
+
+
+def test_running_text_is_no_notice(docs_of):
+    rows = [(1, "many people like the mit license for its short text"), (2, "he asked which isc license they meant"), (3, "permission is hereby granted to enter the garden free of charge"),
+            (4, "a version 3 of the public house"), (5, "redistribution of wealth and use in source and binary forms")]
+    assert {r["labels"] for r in L.scan(docs_of(rows)).collect()} == {""}
+
+
+def test_labels_and_score_match_brute_force(docs_of):
+    """Every template at every shift, without an index."""
+    import math
+    import random
+    rnd, rows = random.Random(8), []
+    filler = ["the", "software", "license", "under", "of", "a", "public", "version", "2", "0", "3", "cc", "by", "river", "stone"]
+    for i in range(250):
+        t = rnd.choice(L.TEMPLATES).text.split()
+        for _ in range(rnd.choice([0, 0, 1, 2, 4])):
+            t[rnd.randrange(len(t))] = rnd.choice(filler)
+        a, b = rnd.choice([(0, len(t)), (0, len(t)), (2, len(t)), (0, len(t) - 2)])
+        more = rnd.choice(L.TEMPLATES).text.split() if i % 3 == 0 else []
+        rows.append((i, " ".join([*rnd.choices(filler, k=rnd.choice([0, 3, 40])), *t[a:b], *rnd.choices(filler, k=rnd.choice([0, 5])), *more])))
+    n = {}
+    for _, t in rows:
+        for w in set(L.scan_words(t)):
+            n[w] = n.get(w, 0) + 1
+    idf = lambda w: math.log((1 + len(rows)) / (1 + n.get(w, 0)))
+    want = {}
+    for d, t in rows:
+        ws, labels, score = L.scan_words(t), set(filter(None, brute(t)[4].split(","))), 0.0
+        for x in L.TEMPLATES:
+            xs = x.text.encode().split()
+            rare = sorted(set(xs) & set(ws), key=lambda w: (-idf(w), w))[:8]
+            for shift in range(1 - len(xs), len(ws)):
+                pairs = [(ws[shift + p], w) for p, w in enumerate(xs) if 0 <= shift + p < len(ws)]
+                same = [w for v, w in pairs if v == w]
+                here = b" " + b" ".join(v for v, _ in pairs) + b" "
+                if len(set(same) & set(rare)) >= 2 and len(same) >= x.least * len(pairs) and all(b" %b " % p.encode() in here for p in x.phrases):
+                    labels.add(x.label)
+                    score = max(score, len(same) / len(xs))
+        want[d] = (",".join(sorted(labels)), score)
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in L.scan(docs_of(rows)).collect()} == want
+    assert len({w for w, _ in want.values()}) > 20
