@@ -5,7 +5,9 @@ mean, var)``.  A node is named by its path from the root, ``r``, then ``T`` or
 ``F`` for each step to a true or false child, so the depth has no limit.
 Building is level-wise: one pass per level scores every candidate split of
 every open node at once and moves each row to its child, so the number of Spark
-jobs grows with the depth, not with the number of nodes.
+jobs grows with the depth, not with the number of nodes. A node of at most
+``local_rows`` rows is grown to its end in one task (``subtrees``): the levels
+that cost jobs are those of the large nodes.
 
 Candidate splits are all values of every feature in the node, as in the
 reference: numeric features split on ``>=`` (true side), others on ``=``.
@@ -29,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from quarry.operators import subtrees
 from quarry.session import cut_lineage
 
 TIE_DIGITS = 9
@@ -185,14 +188,33 @@ def _child(side: Column) -> Column:
     return F.concat(F.col("node"), F.when(F.coalesce(side, F.lit(False)), "T").otherwise("F"))
 
 
+def _subtrees(rows: DataFrame, features: list[str], label: str, score: str, depth: int, max_depth: int | None) -> DataFrame:
+    """The node table of every node of ``rows`` and all below, a node a task."""
+    num = [_is_num(rows, c) for c in features]
+    typed = rows.select("node", *[F.col(c).cast("double" if n else "string").alias(f"f{i}") for i, (c, n) in enumerate(zip(features, num, strict=True))],
+                        F.col(label).cast("double" if score == "variance" else "string").alias("y"))
+    grow = subtrees.grower([f"f{i}" for i in range(len(features))], num, "y", score, depth, max_depth)
+    col = F.get(F.array(*[F.lit(c) for c in features]), F.substring("col", 2, 10).cast("int"))
+    return (typed.groupBy("node").applyInPandas(grow, subtrees.SCHEMA)
+            .select("node", "depth", col.alias("col"), "vnum", "vstr", "is_leaf", F.map_from_arrays("keys", "counts").alias("results"), "n", "mean", "var"))
+
+
 def build_tree(df: DataFrame, features: list[str], label: str, score: str = "entropy",
-               max_depth: int | None = None) -> DataFrame:
+               max_depth: int | None = None, local_rows: int = 0) -> DataFrame:
     """Grow the tree until no split has a gain, or to ``max_depth``
-    if the caller sets one.  Q25 fixed: every level uses ``score``."""
+    if the caller sets one.  Q25 fixed: every level uses ``score``.
+    ``local_rows``: the most rows that one task takes at once."""
     num = {c: _is_num(df, c) for c in features}
     rows = root_rows(df, [*features, label])
     parts, depth = [], 0
     while True:
+        if local_rows:
+            small = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= local_rows).select("node"))
+            if not small.isEmpty():
+                parts.append(cut_lineage(_subtrees(rows.join(small, "node"), features, label, score, depth, max_depth)))
+                rows = cut_lineage(rows.join(small, "node", "left_anti").select(rows.columns))
+            if rows.isEmpty() and parts:
+                break
         splits = None
         if max_depth is None or depth < max_depth:
             splits = cut_lineage(best_splits(rows, features, label, score))

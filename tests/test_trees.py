@@ -173,3 +173,36 @@ def test_tree_of_seventy_levels(spark):
     got = {r["id"]: r["node"] for r in TR.classify(deep, q, ["x"], "id").collect()}
     assert got == {1: "r" + "F" * n, 2: "rT", 3: "r" + "F" * (n - 1) + "T"}
     assert TR.tree_shape(deep).first()["depth"] == n
+
+
+@pytest.mark.parametrize("name,score", [("entropy", entropy), ("gini", gini), ("variance", variance)])
+@pytest.mark.parametrize("local_rows", [5, 1000])
+def test_subtrees_in_tasks_equal_brute_force(spark, name, score, local_rows):
+    """Whole trees, by levels above and in tasks below, with missing values and
+    many classes."""
+    import random
+    rnd = random.Random(6)
+    rows = [(rnd.choice([None, "a", "b", "c"]), rnd.choice([None, 1.0, 2.0, 2.5, 7.0]), rnd.randint(0, 9), rnd.choice([1.0, 2.0, 5.0, 11.0])) for _ in range(45)]
+    if name != "variance":
+        rows = [(*r[:3], None if rnd.random() < 0.1 else f"k{int(r[3])}") for r in rows]
+    kind = "double" if name == "variance" else "string"
+    df = spark.createDataFrame(rows, f"a string, b double, c int, y {kind}")
+    got = TR.build_tree(df, ["a", "b", "c"], "y", name, local_rows=local_rows).collect()
+    want = brute(rows, score)
+    assert {r["node"] for r in got} == set(want) and len(got) == len(want) > 15
+    for r in got:
+        w = want[r["node"]]
+        if not r["is_leaf"]:
+            assert (["a", "b", "c"].index(r["col"]), r["vstr"] if r["vstr"] is not None else r["vnum"]) == w
+        elif name == "variance":
+            assert r["n"] == sum(w.values()) and r["results"] is None
+            assert r["mean"] == pytest.approx(sum(float(k) * n for k, n in w.items()) / r["n"])
+        else:
+            assert r["results"] == {"null" if k == "None" else k: n for k, n in w.items()}
+
+
+def test_subtrees_keep_a_depth_limit_and_an_empty_table(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    tree = TR.build_tree(df, FEATURES, "service", "gini", max_depth=2, local_rows=100)
+    assert as_dict(tree, FEATURES) == brute(ROWS, gini, most=2)
+    assert TR.build_tree(df.limit(0), FEATURES, "service", local_rows=100).count() == 0
