@@ -2,9 +2,9 @@
 
 Label: order status; features: priority (text), order year and month and price
 (numbers; the price is continuous).  The regression tree predicts the price.
-The queries grow three levels, a parameter of theirs, so that SQL can state the
-result level by level; trees grown to the end are tested against a recursive
-brute force."""
+Some queries grow three levels, a parameter of theirs, so that SQL can state the
+result level by level; the ``whole`` queries grow their tree until no split has
+a gain, have no SQL, and are tested against a recursive brute force."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from quarry.sources.tables import Tables
 FEATURES = ["o_orderpriority", "o_year", "o_month", "o_totalprice"]
 PRICE_FEATURES = FEATURES[:3]
 DEPTH = 3
+LOCAL_ROWS = 20_000
 MIN_GAIN = 0.03
 
 
@@ -223,3 +224,39 @@ def t6l(spark, sf):
 def t7(spark, sf):
     """Variance-reduction tree of the order price."""
     return _table(_price_tree(spark, sf))
+
+
+def _whole(spark, sf):
+    return TR.build_tree(_orders(spark, sf), FEATURES, "o_orderstatus", local_rows=LOCAL_ROWS)
+
+
+@register("t2_whole_tree")
+def t2w(spark, sf):
+    """The order-status tree, grown to its end."""
+    return _table(_whole(spark, sf))
+
+
+@register("t3_classify_whole")
+def t3w(spark, sf):
+    """Every order routed to its leaf of the whole order-status tree."""
+    out = TR.classify(_whole(spark, sf), _orders(spark, sf), FEATURES, "o_orderkey")
+    return out.select("o_orderkey", "node", F.to_json("results").alias("results"))
+
+
+@register("t5_prune_whole")
+def t5w(spark, sf):
+    """The whole order-status tree after merging leaf pairs with a small gain."""
+    return _table(TR.prune(_whole(spark, sf), MIN_GAIN))
+
+
+@register("t6_whole_shape")
+def t6w(spark, sf):
+    """Width (leaves) and depth of the whole order-status tree."""
+    return TR.tree_shape(_whole(spark, sf))
+
+
+@register("t7_whole_regression")
+def t7w(spark, sf):
+    """Variance-reduction tree of the order price, grown to its end."""
+    o = _orders(spark, sf)
+    return _table(TR.build_tree(o, PRICE_FEATURES, "o_totalprice", "variance", local_rows=LOCAL_ROWS))
