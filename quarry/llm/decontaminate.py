@@ -9,14 +9,17 @@ differs in at most ``SUBSTITUTIONS`` of them.
 The three masks are lossless for that test: whichever two words of thirteen are
 replaced, one of the masks fits somewhere between them. Items of 5 to 12 words
 must occur whole with at most one word replaced (one mask for each omitted
-word). Items under ``MIN_WORDS`` words are ordinary phrases and not searched.
+word). Shorter items are ordinary phrases: they are searched only if the caller
+lowers ``min_words``, and then must occur whole and unchanged. Equal items are
+searched once.
 
 The test side is dealt into chunks of at most ``chunk_bytes`` by its measured
 size; each chunk is broadcast in turn and the documents are scanned once per
 chunk, so documents never are shuffled and memory stays bounded.
 
 Defined cases: null or wordless texts on either side match nothing; equal items
-are reported each by its own id (a null id too); documents with null or
+are reported each by its own id (a null id too), or with ``expand=False`` once,
+by their least id and number; documents with null or
 repeated ids are reported one row each; other columns are not read.
 """
 
@@ -73,16 +76,17 @@ def _seed(ids: np.ndarray, mask: tuple[int, ...], at: int) -> np.ndarray:
 class Seeds:
     """Seeds of a chunk of test items; what is broadcast."""
 
-    def __init__(self, ids: list[int | None], texts: list[str | None]):
-        items = [(i, w) for i, w in zip(ids, map(word_ids, texts), strict=True) if len(w) >= MIN_WORDS]
+    def __init__(self, ids: list[tuple], texts: list[str | None], min_words: int = MIN_WORDS):
+        items = [(i, w) for i, w in zip(ids, map(word_ids, texts), strict=True) if len(w) >= max(min_words, 1)]
         self.ids = [i for i, _ in items]
         self.words = [w for _, w in items]
         lengths = [len(w) for w in self.words]
         self.masks = list(MASKS)
         short = {}  # length: numbers of its masks
         for n in sorted({x for x in lengths if x < WINDOW}):
-            short[n] = range(len(self.masks), len(self.masks) + n)
-            self.masks += [tuple(p for p in range(n) if p != out) for out in range(n)]
+            masks = [tuple(p for p in range(n) if p != out) for out in range(n)] if n >= MIN_WORDS else [tuple(range(n))]
+            short[n] = range(len(self.masks), len(self.masks) + len(masks))
+            self.masks += masks
         seeds, item, place = [], [], []
         for k, w in enumerate(self.words):
             for at in short.get(len(w), range(len(MASKS))):
@@ -117,7 +121,7 @@ class Seeds:
         this shift, from the first to the last good window; None without any."""
         w = self.words[item]
         need = min(WINDOW, len(w))
-        allowed = SUBSTITUTIONS if len(w) >= WINDOW else 1
+        allowed = SUBSTITUTIONS if len(w) >= WINDOW else 1 if len(w) >= MIN_WORDS else 0
         a, b = max(0, -shift), min(len(w), len(words) - shift)
         if b - a < need:
             return None
@@ -130,29 +134,34 @@ class Seeds:
         return a + shift + first, a + shift + last, int(sums[last] - sums[first])
 
 
-def _chunks(benchmark: DataFrame, item_id: str, text: str, chunk_bytes: int) -> Iterator[Seeds]:
-    """The test side in parts whose words and seeds take about chunk_bytes."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t"))
+def _chunks(items: DataFrame, chunk_bytes: int, min_words: int) -> Iterator[Seeds]:
+    """The different test items (c1, c2, i, n, t) in parts whose words and
+    seeds take about chunk_bytes."""
     chars = items.agg(F.sum(F.length("t")).alias("n")).first()["n"] or 0
     n = 1 + int(chars * 40 // chunk_bytes)  # a word of two characters: 8 bytes, and three seeds of 24
     for part in range(n):
-        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == part).collect()
+        rows = items.where(F.pmod(F.xxhash64("t"), F.lit(n)) == part).collect()
         rows.sort(key=lambda r: (r["i"] is None, r["i"], r["t"] or ""))
-        yield Seeds([r["i"] for r in rows], [r["t"] for r in rows])
+        yield Seeds([(r["i"], r["n"], r["c1"], r["c2"]) for r in rows], [r["t"] for r in rows], min_words)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
-            item_id: str = "item_id", item_text: str = "text", chunk_bytes: int = 64 << 20) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+            item_text: str = "text", chunk_bytes: int = 64 << 20, min_words: int = MIN_WORDS, expand: bool = True) -> DataFrame:
     """One row per document and test item that overlap: doc_id, item_id,
     start_word, end_word (of the document, end exclusive, the widest of several
-    places), n_equal (equal words there), item_words; and k1, k2, the row's key."""
+    places), n_equal (equal words there), item_words; and k1, k2, the row's key.
+    Without ``expand`` one row per document and class of equal items: item_id is
+    its least id, n_items its number of items."""
+    c1, c2 = hashed_key(F.col(item_text))
+    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"), c1.alias("c1"), c2.alias("c2"))
+    classes = items.groupBy("c1", "c2", "t").agg(F.min("i").alias("i"), F.count(F.lit(1)).alias("n"))
     k1, k2 = hashed_key(F.col(doc_id), F.col(text))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), k1.alias("k1"), k2.alias("k2"), F.col(text).alias("t"))
-    schema = "doc_id long, k1 long, k2 long, item_id long, start_word long, end_word long, n_equal long, item_words long"
+    schema = "doc_id long, k1 long, k2 long, item_id long, n_items long, c1 long, c2 long, start_word long, end_word long, n_equal long, item_words long"
     names = [f.split()[0] for f in schema.split(", ")]
     spark = docs.sparkSession
     out = None
-    for seeds in _chunks(benchmark, item_id, item_text, chunk_bytes):
+    for seeds in _chunks(classes, chunk_bytes, min_words):
         sent = spark.sparkContext.broadcast(seeds)
 
         def run(pdf: pd.DataFrame, sent=sent) -> pd.DataFrame:
@@ -170,19 +179,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
                             x = s.overlaps(words, k, shift)
                             if x and (x[2], -x[0]) > (best[k][2], -best[k][0]) if k in best else x:
                                 best[k] = x
-                found += [(doc, a, b, s.ids[k], *x, len(s.words[k])) for k, x in sorted(best.items())]
+                found += [(doc, a, b, *s.ids[k], *x, len(s.words[k])) for k, x in sorted(best.items())]
             return pd.DataFrame(found, columns=names).astype(dict.fromkeys(names, "Int64"))
 
         part = map_frames(rows, run, schema)
         out = part if out is None else out.unionByName(part)
-    return out
+    if not expand:
+        return out.drop("c1", "c2")
+    every = items.select("c1", "c2", F.col("i").alias("item_id"))
+    return out.drop("item_id", "n_items").join(every, ["c1", "c2"]).select(*[c for c in names if c not in ("n_items", "c1", "c2")])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that overlap a test item."""
     from quarry.llm.common import cut_lineage, fits_broadcast
 
-    bad = cut_lineage(matches(docs, benchmark, doc_id, text).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct())
+    bad = cut_lineage(matches(docs, benchmark, doc_id, text, expand=False).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct())
     k1, k2 = hashed_key(F.col(doc_id), F.col(text))
     return (docs.withColumns({"__k1": k1, "__k2": k2})
             .join(fits_broadcast(bad, 64, 16 << 20), ["__k1", "__k2"], "left_anti").drop("__k1", "__k2"))

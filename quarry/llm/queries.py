@@ -49,8 +49,9 @@ def tokenizer_path() -> str:
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that overlap a benchmark item, a row per pair."""
-    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k1", "k2")
+    """Documents that overlap a benchmark item of any length, a row per pair;
+    equal items are one."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_words=1, expand=False).drop("k1", "k2")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,3 +74,20 @@ def test_empty_tables(spark, docs_of):
     none = bench.where("false")
     assert D.matches(docs_of([(1, "a b c d e f")]), none).count() == 0
     assert D.clean(docs_of([(1, "a b c d e f"), (2, None)]), none).count() == 2
+
+
+def test_short_items_must_occur_whole_and_unchanged(spark, docs_of):
+    bench = spark.createDataFrame([(1, "red green blue black"), (2, "zebra"), (3, "red green"), (4, "")], "item_id long, text string")
+    docs = docs_of([(1, "a Red, green; blue black b"), (2, "red green blue white"), (3, "one zebra two zebra"), (4, "green red"), (5, None), (6, "zebras")])
+    assert D.matches(docs, bench).count() == 0
+    got = {(r["doc_id"], r["item_id"], r["start_word"], r["end_word"]) for r in D.matches(docs, bench, min_words=1).collect()}
+    assert {g[:2] for g in got} == {(1, 1), (1, 3), (2, 3), (3, 2)} and (1, 1, 1, 5) in got and (2, 3, 0, 2) in got
+
+
+def test_equal_items_are_searched_once(spark, docs_of):
+    item = " ".join(words(20))
+    bench = spark.createDataFrame([(i, item) for i in range(30)] + [(None, item)], "item_id long, text string")
+    docs = docs_of([(i, f"before {item} behind") for i in range(20)])
+    once = D.matches(docs, bench, expand=False).collect()
+    assert len(once) == 20 and {(r["item_id"], r["n_items"]) for r in once} == {(0, 31)}
+    assert D.matches(docs, bench).count() == 20 * 31
