@@ -62,7 +62,7 @@ def x4(spark, sf):
     return X.tfidf_query(_docs(spark, sf), QUERY, library_form=True)
 
 
-@register("x5_most_similar", sql=f"""WITH d AS (SELECT doc_id, text FROM documents WHERE length(text) > 1000),
+_COSINE_SQL = f"""WITH d AS (SELECT doc_id, text FROM documents WHERE length(text) > 1000),
 ws AS (SELECT doc_id, {WS_SQL.format(c='text')} AS t FROM d),
 terms AS (SELECT doc_id, term, len, count(*) AS n FROM (SELECT doc_id, len(t) AS len, unnest(t) AS term FROM ws) GROUP BY ALL),
 dfs AS (SELECT term, count(DISTINCT doc_id) AS df FROM terms GROUP BY term),
@@ -72,7 +72,10 @@ norms AS (SELECT doc_id, sqrt(sum(w*w)) AS norm FROM w2 GROUP BY 1),
 dots AS (SELECT a.doc_id AS d1, b.doc_id AS d2, sum(a.w * b.w) AS dot FROM w2 a JOIN w2 b ON a.term = b.term AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 dist AS (SELECT d1, d2, round(1.0 - dot / (n1.norm * n2.norm), 9) AS dist FROM dots
          JOIN norms n1 ON n1.doc_id = d1 JOIN norms n2 ON n2.doc_id = d2),
-best AS (SELECT d1, d2, dist FROM (SELECT *, row_number() OVER (PARTITION BY d1 ORDER BY dist, d2) AS r FROM dist WHERE dist < 1.0) WHERE r = 1)
+best AS (SELECT d1, d2, dist FROM (SELECT *, row_number() OVER (PARTITION BY d1 ORDER BY dist, d2) AS r FROM dist WHERE dist < 1.0) WHERE r = 1)"""
+
+
+@register("x5_most_similar", sql=f"""{_COSINE_SQL}
 SELECT d.doc_id, best.d2 AS most_similar, coalesce(1.0 - best.dist, 0.0) AS score FROM d LEFT JOIN best ON d.doc_id = best.d1""")
 def x5(spark, sf):
     """Nearest other long document by TF-IDF cosine distance."""
@@ -80,6 +83,35 @@ def x5(spark, sf):
     return X.most_similar(d)
 
 
+@register("x5_nearest_of_queries", sql=f"""{_COSINE_SQL}
+SELECT d.doc_id, best.d2 AS most_similar, coalesce(1.0 - best.dist, 0.0) AS score FROM d LEFT JOIN best ON d.doc_id = best.d1 WHERE d.doc_id % 100 = 0""")
+def x5_search(spark, sf):
+    """Nearest other long document of every long one with id % 100 = 0, sought
+    among all long documents."""
+    d = _docs(spark, sf).where(F.length("text") > 1000)
+    return X.nearest_documents(d.where("doc_id % 100 = 0"), d)
+
+
+TITLE = "substring(text, 1, 30)"
+
+
+@register("x6_similarity_nodes", sql=f"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS idx, doc_id, {TITLE} AS title
+FROM documents WHERE length(text) > 1000""")
+def x6_nodes(spark, sf):
+    """The long documents as numbered nodes of the similarity graph."""
+    d = _docs(spark, sf).where(F.length("text") > 1000)
+    return X.similarity_nodes(d, F.expr(TITLE))
+
+
+@register("x6_similarity_links", sql=f"""{_COSINE_SQL}, idx AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM d)
+SELECT s.i AS source, t.i AS target, coalesce(1.0 - best.dist, 0.0) AS score FROM idx s LEFT JOIN best ON s.doc_id = best.d1
+LEFT JOIN idx t ON t.doc_id = best.d2 WHERE s.doc_id % 100 = 0""")
+def x6_links(spark, sf):
+    """Links of the similarity graph from every query document to its nearest."""
+    d = _docs(spark, sf).where(F.length("text") > 1000)
+    return X.similarity_graph(d.where("doc_id % 100 = 0"), d, F.expr(TITLE))[1]
+
+
 def _bigram_sql():
     return f"""ws AS (SELECT doc_id, {WS_SQL.format(c='text')} AS t FROM documents),
 tok AS (SELECT doc_id, unnest(t) AS w, unnest(range(0, len(t))) AS pos FROM ws),

@@ -109,3 +109,53 @@ def test_headers_with_quotes_and_repeated_attributes(spark, tmp_path):
             "<Attribute><id>3</id><value>4.5</value></Attribute></i>")
     rows = spark.createDataFrame([(1, text), (2, "<i><Attribute><id>1</id><value>2</value></Attribute></i>")], "k long, xml string")
     assert [(r["k"], r["vec"]) for r in xml.attribute_vectors(rows, "k", "xml", ["3", "1"]).collect()] == [(1, [4.5, 2.0])]
+
+
+def test_ownership_matrix_in_tiles(spark, tmp):
+    owned = [(f"item{i}", 100 + u) for i in range(7) for u in range(11) if (i * u) % 3 == 1] + [("don't\tstop", 105), ("item1", 101)]
+    df = spark.createDataFrame([*owned, (None, 3), ("lost", None)], "item string, user long")
+    for tile in (3, 1000):
+        path = os.path.join(tmp, f"own{tile}")
+        IO.write_ownership_matrix(df, "item", "user", path, tile=tile)
+        back = IO.read_ownership_matrix(spark, path).collect()
+        pairs = {(i.replace("\t", " "), str(u)) for i, u in owned}
+        rows, cols = {i for i, _ in pairs}, {u for _, u in pairs}
+        assert len(back) == len(rows) * len(cols)
+        assert {(r["row"], r["col"]): r["value"] for r in back} == {(i, u): int((i, u) in pairs) for i in rows for u in cols}
+        files = [os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.startswith("part-")]
+        assert len(files) == -(-len(rows) // tile) * -(-len(cols) // tile)
+        for f in files:
+            lines = open(f).read().splitlines()
+            assert lines[0].startswith("Item\t") and len(lines) <= tile + 1 and lines[1:] == sorted(lines[1:])
+    path = os.path.join(tmp, "none")
+    IO.write_ownership_matrix(df.limit(0), "item", "user", path)
+    assert IO.read_ownership_matrix(spark, path).collect() == []
+
+
+def test_schedule_over_several_files(spark, tmp):
+    folder = os.path.join(tmp, "legs")
+    os.mkdir(folder)
+    # the larger file is read first unless the order is the files'
+    open(os.path.join(folder, "a.txt"), "w").write("LGA,OMA,6:19,8:13,1\n")
+    open(os.path.join(folder, "b.txt"), "w").write("".join(f"LGA,OMA,6:19,8:13,{i}\n" for i in range(2, 400)))
+    rows = {r["leg"]: r["price"] for r in IO.read_schedule(spark, folder).collect()}
+    assert rows == {i: i + 1 for i in range(399)}
+
+
+def test_mbox_in_byte_ranges(spark, tmp):
+    """A message may span many ranges, and a range may start no message."""
+    body = ["".join(f"From here line {k} of {i}\n" for k in range(i * 7 % 60)) for i in range(40)]
+    text = "".join(f"From a@x Mon Dec  1 10:{i:02d}:00 2025\nFrom: A <a@x>\nSubject: S{i}\n\nstart {i}\n{body[i]}\n" for i in range(40))
+    for name in ("one", "two"):
+        open(os.path.join(tmp, name), "w").write(text.replace("Subject: S", f"Subject: {name}-"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("300", "5000", "10000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            m = IO.read_mbox(spark, tmp)
+            got = {r["Subject"]: r["body"].strip() for r in m.collect()}
+            assert got == {f"{name}-{i}": f"start {i}\n{body[i]}".strip() for name in ("one", "two") for i in range(40)}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -52,6 +52,34 @@ def _brute_nearest(docs):
     return best
 
 
+@pytest.mark.parametrize("block_postings", [1, 60, 200_000])
+def test_nearest_documents_match_brute_force(spark, block_postings):
+    rnd = random.Random(11)
+    docs = [(i, " ".join(f"w{min(rnd.randint(0, 60), rnd.randint(0, 60))}" for _ in range(rnd.randint(3, 25)))) for i in range(40)]
+    docs += [(40, docs[3][1]), (41, "all alone here"), (42, ""), (43, None)]  # a copy, one that shares no word, none at all
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    queries = d.where("doc_id % 3 = 0 OR doc_id > 39")
+    got = {r["doc_id"]: (r["most_similar"], r["score"]) for r in X.nearest_documents(queries, d, block_postings=block_postings).collect()}
+    best = _brute_nearest([(k, t or "") for k, t in docs])
+    assert set(got) == {i for i, _ in docs if i % 3 == 0 or i > 39}
+    for k, (near, score) in got.items():
+        if k not in best:
+            assert (near, score) == (None, 0.0)
+        else:
+            assert near == best[k][1] and score == pytest.approx(1 - best[k][0], abs=2e-9)
+    assert got[40][0] == 3 and got[41][0] is None
+
+
+def test_similarity_graph(spark):
+    d = spark.createDataFrame([(5, "a b c x"), (9, "a b c y"), (12, "p q"), (20, "z")], "doc_id long, text string")
+    nodes, links = X.similarity_graph(d.where("doc_id <> 12"), d, F.upper("text"))
+    assert [tuple(r) for r in nodes.orderBy("idx").collect()] == [(0, 5, "A B C X"), (1, 9, "A B C Y"), (2, 12, "P Q"), (3, 20, "Z")]
+    got = {r["source"]: (r["target"], r["score"] > 0) for r in links.collect()}
+    assert got == {0: (1, True), 1: (0, True), 3: (None, False)}
+    none = d.limit(0)
+    assert X.nearest_documents(none, d).collect() == [] and X.nearest_documents(none, none).collect() == []
+
+
 def test_most_similar_blocks_match_brute_force(spark):
     rnd = random.Random(7)
     vocab = [f"w{i}" for i in range(40)]
