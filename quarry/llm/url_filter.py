@@ -85,13 +85,12 @@ def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str = "ur
     input are replaced."""
     keys = listed.select(canonical(F.col(listed_url)).alias("__key")).where(F.col("__key").isNotNull()).distinct()
     n_keys = keys.agg(F.approx_count_distinct("__key", 0.02).alias("n")).first()["n"]
-    filter_ = bloom.build(keys, "__key", n_keys)
     u = F.col(url)
     rows = pages.withColumn("__canon", canonical(u))
     rule, verdict = match_rules(F.col("host"), F.col("path"), rules)
     rows = (rows.withColumns({"host": host_of(u), "path": path_of(u)})
             .withColumn("rule", rule).withColumn("__by_rule", verdict))
-    rows = bloom.probe(rows, "__canon", filter_, "__maybe")
+    rows = bloom.flagged(rows, "__canon", keys, "__key", n_keys, "__maybe")
     # only possible hits meet the list; all others skip the join with a null key,
     # dealt out by themselves so that they do not gather in one task
     may = rows.where("__maybe")

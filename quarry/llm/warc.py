@@ -2,8 +2,7 @@
 
 Writing uses Spark's text sink with a blank line as separator, so files are
 committed like any table's. Pages of equal payload become one response and
-revisits of it; a Bloom filter of the repeated digests (fixed greatest size)
-lets pages with a unique payload be written without a shuffle.
+revisits of it; a Bloom filter of the repeated digests lets pages with a unique payload be written without a shuffle.
 
 Reading deals each archive into byte ranges. A task finds each place of its
 range where a record header stands and emits it as a candidate, with the offset
@@ -13,12 +12,15 @@ offset beyond its range that its chain reaches, pointer jumping doubles these
 steps from the file's start, and only records on that chain are read. Payloads
 are read (in pieces) for verified records alone.
 
-Defined cases: a null payload counts as empty, a null URL, or one of more than
-``MAX_URL`` bytes, leaves its header out, a null page_id is written without a number and read back as null. Of
+Headers, of records and of HTTP blocks, may be of any length: the first
+``HEAD`` bytes are read at once, longer ones to their blank line, as long as the
+lines read are header lines.
+
+Defined cases: a null payload counts as empty, a null URL leaves its header out, a null page_id is written without a number and read back as null. Of
 repeated rows with the largest page_id of their payload each is a response.
 Pages of equal payload without any page_id are all responses. An empty table
 gives no record. Bytes behind a damaged record cannot be reached from the
-file's start and are not returned.
+file's start and are not returned; ``reach`` reports them per file.
 """
 
 from __future__ import annotations
@@ -37,8 +39,7 @@ from quarry.llm.common import cut_lineage
 
 MAGIC = b"WARC/1."
 END = "\r\n\r\n"
-MAX_HEADER = 1 << 16
-MAX_URL = MAX_HEADER // 2
+HEAD = 1 << 16
 PIECE = 1 << 20
 URN = "urn:page:"
 
@@ -59,7 +60,7 @@ def _records(rows: DataFrame, date: str) -> DataFrame:
     line = lambda k, v: F.concat(F.lit(f"{k}: "), v, F.lit("\r\n"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("html")))
-    url = F.when(F.octet_length("url") <= MAX_URL, F.translate(F.col("url"), "\r\n", ""))
+    url = F.translate(F.col("url"), "\r\n", "")
     head = F.concat(
         F.lit("WARC/1.0\r\n"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
@@ -86,7 +87,7 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-
             .agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1")
             .select(F.col("digest").alias("__digest"), "top"))
     many = cut_lineage(many)
-    marked = bloom.probe(rows, "digest", bloom.build(many, "__digest", many.count()), "__maybe")
+    marked = bloom.flagged(rows, "digest", many, "__digest", many.count(), "__maybe")
     repeated = (marked.where("__maybe").join(many, F.col("digest") == F.col("__digest"), "left").drop("__digest")
                 .withColumn("top", F.when(F.col("bytes") >= min_bytes, F.col("top"))))
     unique = marked.where("NOT __maybe").withColumn("top", F.lit(None).cast("long"))
@@ -107,6 +108,25 @@ def _fields(head: bytes) -> dict[str, str]:
     return {k.decode("latin-1").lower(): v.decode("utf-8", "replace") for k, v in _FIELD.findall(head.replace(b"\r\n", b"\n"))}
 
 
+_LINES = re.compile(rb"(?:WARC|HTTP)/[^\r\n]*\r\n(?:(?:[!-9;-~]+:|[ \t])[^\r\n]*\r\n)*")
+VERSION_BYTES = len(b"WARC/1.0\r\n")
+_VERSION = re.compile(rb"WARC/1\.\d\r\n")
+
+
+def _header(f, head: bytes, at: int, end: int) -> bytes | None:
+    """The header that begins at ``at`` with the bytes ``head``, without its
+    blank line; read on, twice as far each time, until that line stands there.
+    None if ``end`` or a line that is no header line comes first."""
+    while (stop := head.find(b"\r\n\r\n")) < 0:
+        if at + len(head) >= end:
+            return None
+        whole = head.rfind(b"\r\n") + 2 if len(head) >= HEAD else 0
+        if whole and not _LINES.fullmatch(head, 0, whole):
+            return None
+        head += f.read_at(min(max(HEAD, len(head)), end - at - len(head)), at + len(head))
+    return head[:stop]
+
+
 def _candidates(f, start: int, end: int, length: int) -> list[tuple]:
     """(offset, successor, block start, fields) of the record headers that
     begin in [start, end)."""
@@ -115,15 +135,14 @@ def _candidates(f, start: int, end: int, length: int) -> list[tuple]:
     at = data.find(MAGIC)
     while at >= 0:
         off = start + at
-        head = data[at:at + MAX_HEADER]
-        if b"\r\n\r\n" not in head and off + len(head) < length:
-            head = f.read_at(min(MAX_HEADER, length - off), off)
-        stop = head.find(b"\r\n\r\n")
-        if stop > 0 and re.match(rb"WARC/1\.\d\r\n", head):
-            fields = _fields(head[:stop])
+        head = data[at:at + HEAD]
+        if len(head) < VERSION_BYTES:
+            head = f.read_at(min(HEAD, length - off), off)
+        if _VERSION.match(head) and (head := _header(f, head, off, length)):
+            fields = _fields(head)
             size = fields.get("content-length", "")
             if size.isdigit() and "warc-type" in fields:
-                block = off + stop + 4
+                block = off + len(head) + 4
                 # the blank line behind the block; some writers leave out the last
                 succ = min(length, block + int(size) + 4)
                 if block + int(size) <= length:
@@ -196,15 +215,33 @@ def verified(found: DataFrame, most_ranges: int) -> DataFrame:
     return found.join(chain.select("file", "off"), ["file", "off"])
 
 
-def _payload(f, block: int, size: int, head_max: int = MAX_HEADER) -> tuple[int, dict[str, str]]:
+def _payload(f, block: int, size: int) -> tuple[int, dict[str, str]]:
     """Start of the payload in an HTTP block, and the HTTP fields."""
-    head = f.read_at(min(size, head_max), block)
+    head = f.read_at(min(size, HEAD), block)
     if not head.startswith(b"HTTP/"):
         return block, {}
-    stop = head.find(b"\r\n\r\n")
-    if stop < 0:
+    head = _header(f, head, block, block + size)
+    if head is None:
         return block + size, {}
-    return block + stop + 4, _fields(head[:stop])
+    return block + len(head) + 4, _fields(head)
+
+
+def _found(spark: SparkSession, path: str, range_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """The archives (path, length) in a folder, and their verified records."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    most = files.agg(F.max(F.ceil(F.col("length") / range_bytes))).first()[0] or 0
+    return files, verified(cut_lineage(candidates(files, range_bytes)), most)
+
+
+def reach(spark: SparkSession, path: str, range_bytes: int = 8 << 20) -> DataFrame:
+    """(path, length, records, reached, lost) of each archive in a folder: its
+    verified records, the offset up to which the chain of records leads from its
+    start, and the bytes behind that, which ``read`` cannot return."""
+    files, good = _found(spark, path, range_bytes)
+    ends = good.groupBy("path").agg(F.count(F.lit(1)).alias("records"), F.max("succ").alias("reached"))
+    zero = F.lit(0).cast("long")
+    return (files.join(ends, "path", "left").select("path", "length", F.coalesce("records", zero).alias("records"), F.coalesce("reached", zero).alias("reached"))
+            .withColumn("lost", F.col("length") - F.col("reached")))
 
 
 def read(spark: SparkSession, path: str, range_bytes: int = 8 << 20, with_payload: bool = False) -> DataFrame:
@@ -213,10 +250,7 @@ def read(spark: SparkSession, path: str, range_bytes: int = 8 << 20, with_payloa
     gives), payload_bytes and payload_digest (of the full payload; of a
     revisit, those that its headers state), and the payload itself if asked
     for. Archives must be where pyarrow's file systems reach."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length")
-    most = files.agg(F.max(F.ceil(F.col("length") / range_bytes))).first()[0] or 0
-    found = cut_lineage(candidates(files, range_bytes))
-    good = verified(found, most).select("path", "range", "off", "block", "size", "kind", "record", "refers", "digest")
+    good = _found(spark, path, range_bytes)[1].select("path", "range", "off", "block", "size", "kind", "record", "refers", "digest")
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = lambda x: int(m[1]) if x and (m := re.fullmatch(rf"<{URN}(-?\d+)>", x)) else None

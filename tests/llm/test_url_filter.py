@@ -45,3 +45,14 @@ def test_full_filter_still_gives_exact_verdicts(spark, monkeypatch):
     pages = spark.range(6000).selectExpr("id AS page_id", "concat('http://bad', id, '.org/') AS url")
     got = U.judge(pages, [], listed)
     assert got.where("verdict = 'block'").count() == 3000 and got.where("page_id >= 3000 AND listed").count() == 0
+
+
+def test_filter_of_many_keys_keeps_its_share_of_false_positives(spark, monkeypatch):
+    monkeypatch.setattr(bloom, "MAX_BLOCKS", 5)
+    keys = spark.range(4000).selectExpr("concat('k', id) AS k")
+    rows = spark.range(10000).selectExpr("IF(id < 4000, concat('k', id), concat('other', id)) AS key", "id").unionByName(
+        spark.createDataFrame([(None, -1)], "key string, id long"))
+    got = bloom.flagged(rows, "key", keys, "k", 4000, "hit").collect()
+    assert sorted(r["id"] for r in got) == list(range(-1, 10000))
+    assert all(r["hit"] for r in got if 0 <= r["id"] < 4000) and not any(r["hit"] for r in got if r["id"] < 0)
+    assert sum(r["hit"] for r in got if r["id"] >= 4000) < 150

@@ -73,3 +73,37 @@ def test_records_behind_a_damaged_one_are_not_returned(spark, tmp_path):
 
 def test_empty_table(spark):
     assert round_trip(spark, []) == []
+
+
+def test_headers_of_any_length(spark, tmp_path):
+    """Record and HTTP headers beyond every read; a magic whose lines are no
+    header lines is none."""
+    http = "HTTP/1.1 200 OK\r\n" + "".join(f"X-{i}: {'h' * 900}\r\n" for i in range(200)) + "\r\n"
+    fake = "WARC/1.0\r\nWARC-Type: response\r\n" + "no header line\r\n" * 9000 + "Content-Length: 3\r\n\r\nabc\r\n\r\n"
+    out = ""
+    for i, body in enumerate(["first", fake, "x" * 100_000, "last"]):
+        block = http + body
+        out += (f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Target-URI: http://a/{'u' * (i * 150_000)}\r\n"
+                f"Content-Length: {len(block)}\r\n\r\n{block}\r\n\r\n")
+    (tmp_path / "a.warc").write_text(out, newline="")
+    for range_bytes in (1 << 23, 50_000):
+        got = {r["page_id"]: r["payload_digest"] for r in W.read(spark, str(tmp_path), range_bytes).collect()}
+        assert got == {0: digest("first"), 1: digest(fake), 2: digest("x" * 100_000), 3: digest("last")}
+
+
+def test_long_urls_are_kept(spark):
+    path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
+    W.write(pages_of(spark, [(1, "http://a/" + "u" * 200_000, "one"), (2, "http://b", "two")]), path)
+    text = "".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+    assert "WARC-Target-URI: http://a/" + "u" * 200_000 + "\r\n" in text
+
+
+def test_reach(spark, tmp_path):
+    head = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{}>\r\nContent-Length: {}\r\n\r\n"
+    good = [head.format(i, 5) + "abcde\r\n\r\n" for i in range(3)]
+    (tmp_path / "a.warc").write_text(good[0] + good[1] + "damage" + good[2], newline="")
+    (tmp_path / "b.warc").write_text("".join(good), newline="")
+    (tmp_path / "c.warc").write_text("nothing of the kind")
+    got = {r["path"][-6:]: (r["records"], r["reached"], r["lost"]) for r in W.reach(spark, str(tmp_path), 64).collect()}
+    n = len(good[0])
+    assert got == {"a.warc": (2, 2 * n, n + 6), "b.warc": (3, 3 * n, 0), "c.warc": (0, 0, 19)}
