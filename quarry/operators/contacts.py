@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators.components import components
+from quarry.operators.relational import global_rank
 
 
 def similar_titles(titles: DataFrame, title: str, distance: float = 0.5, inclusive: bool = False) -> DataFrame:
@@ -100,3 +101,24 @@ def location_report(df: DataFrame, location: Column, places: DataFrame) -> DataF
     n = clean.groupBy("location").agg(F.count(F.lit(1)).alias("n"))
     return (n.join(places.select("location", "address"), "location", "left")
             .select("location", T.state_code(F.coalesce("address", F.lit(""))).alias("state"), "n"))
+
+
+def placemarks(people: DataFrame, label: str, name: str, places: DataFrame, centroids: DataFrame, chunk: int = 1000) -> DataFrame:
+    """IO21: (label, part, coords, contacts): for every place of ``places``
+    (label, lat, lon) at which someone is, its coordinates as ``lon,lat`` and
+    the names of the people there in order, one a line; then a row labelled
+    CENTROID for each of ``centroids`` (lat, lon).
+
+    A place of more than ``chunk`` people has several rows (``part`` 0, 1, ...),
+    so a row stays bounded. People are numbered by a distributed sort, so a
+    place that holds most of them gathers in no task. A null name counts as
+    empty; people at no known place are left out."""
+    coords = F.concat_ws(",", F.col("lon").cast("string"), F.col("lat").cast("string"))
+    known = places.select(F.col("label").alias("_label"), coords.alias("coords"))
+    who = people.select(F.col(label).alias("label"), F.coalesce(F.col(name).cast("string"), F.lit("")).alias("name"))
+    placed = global_rank(who.join(known, F.col("label") == F.col("_label")).drop("_label"), ["label", "name"])
+    first = placed.groupBy("label").agg(F.min("rank").alias("first"))
+    rows = placed.join(first, "label").withColumn("part", F.floor((F.col("rank") - F.col("first")) / chunk).cast("int"))
+    marks = rows.groupBy("label", "part", "coords").agg(F.array_join(F.array_sort(F.collect_list("name")), "\n").alias("contacts"))
+    means = centroids.select(F.lit("CENTROID").alias("label"), F.lit(0).alias("part"), coords.alias("coords"), F.lit(None).cast("string").alias("contacts"))
+    return marks.select("label", "part", "coords", "contacts").unionByName(means)

@@ -178,3 +178,21 @@ def c11_contacts(spark, sf):
     p = Tables(spark, sf).part.select("p_partkey", F.expr(_PART_TITLE).alias("t"))
     rows = C.roll_up(C.level_clusters(p, "t"), p, "t", "p_partkey")
     return rows.groupBy("cluster").agg(F.countDistinct("member").alias("titles"), F.count(F.lit(1)).alias("n"))
+
+
+_SPOTS_SQL = """s AS (SELECT c_name, n_name, n_regionkey, n_nationkey * 3 - 30 AS lat, n_nationkey * 5 - 60 AS lon FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
+
+@register("io21_placemarks", sql=f"""WITH {_SPOTS_SQL},
+n AS (SELECT *, (row_number() OVER (PARTITION BY n_name ORDER BY c_name) - 1) // 50 AS part FROM s)
+SELECT n_name AS label, part, concat(lon, ',', lat) AS coords, string_agg(c_name, chr(10) ORDER BY c_name) AS contacts FROM n GROUP BY n_name, part, lat, lon
+UNION ALL SELECT 'CENTROID', 0, concat(round(avg(lon), 3), ',', round(avg(lat), 3)), NULL FROM s GROUP BY n_regionkey""")
+def io21(spark, sf):
+    """Placemarks of the nations with their customers, fifty names a row, and
+    the centroid of each region's customers."""
+    t = Tables(spark, sf)
+    lat, lon = F.col("n_nationkey") * 3 - 30, F.col("n_nationkey") * 5 - 60
+    places = t.nation.select(F.col("n_name").alias("label"), "n_nationkey", "n_regionkey", lat.alias("lat"), lon.alias("lon"))
+    people = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    means = people.groupBy("n_regionkey").agg(F.round(F.avg("lat"), 3).alias("lat"), F.round(F.avg("lon"), 3).alias("lon"))
+    return C.placemarks(people, "label", "c_name", places, means, chunk=50)

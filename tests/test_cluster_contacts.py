@@ -142,3 +142,18 @@ def test_sketched_titles_find_nearly_all_near_pairs(spark):
     assert index.count() == 5 * len({t for t in titles if t}) and index.select("t").distinct().count() == len({t for t in titles if t})
     few = CO.sketched_clusters(df, "title", bands=1, rows=3).count()
     assert few < len(got)
+
+
+def test_placemarks(spark):
+    from quarry.operators.contacts import placemarks
+
+    names = [f"n{i % 7}" for i in range(25)]
+    people = spark.createDataFrame([("x", n) for n in names] + [("y", "solo"), ("y", None), ("nowhere", "lost"), (None, "lost")], "at string, who string")
+    places = spark.createDataFrame([("x", 1.5, -2.0), ("y", 0.0, 3.25), ("empty", 9.0, 9.0)], "label string, lat double, lon double")
+    means = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0)], "lat double, lon double")
+    got = [tuple(r) for r in placemarks(people, "at", "who", places, means, chunk=10).collect()]
+    rows = sorted(r for r in got if r[0] != "CENTROID")
+    assert [r[:3] for r in rows] == [("x", 0, "-2.0,1.5"), ("x", 1, "-2.0,1.5"), ("x", 2, "-2.0,1.5"), ("y", 0, "3.25,0.0")]
+    assert [n for r in rows[:3] for n in r[3].split("\n")] == sorted(names) and rows[3][3] == "\nsolo"
+    assert [r for r in got if r[0] == "CENTROID"] == [("CENTROID", 0, "2.0,1.0", None)] * 2
+    assert placemarks(people.limit(0), "at", "who", places.limit(0), means.limit(0)).collect() == []
