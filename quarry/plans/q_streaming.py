@@ -22,27 +22,30 @@ def _path(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def _in_files(spark, df, key: str, name: str) -> str:
-    """The whole table as BATCHES files, written one after the other by ranges
-    of its key, which is the order in which a stream reads them."""
+def _fed(spark, df, key: str, name: str, run) -> str:
+    """The output of ``run`` over the whole table as a stream of BATCHES
+    micro-batches by ranges of its key. The files of a range, as many as the
+    table's scan has tasks, are added to the stream's folder, and ``run``, which
+    goes on where it stopped, takes all that are new as one micro-batch."""
     path = _path(spark, name)
     low, high = df.agg(F.min(key), F.max(key)).first()
     part = F.floor((F.col(key) - F.lit(low)) * BATCHES / F.lit(high - low + 1))
     for i in range(BATCHES):
-        df.where(part == i).coalesce(1).write.mode("append").parquet(path)
-    return path
+        df.where(part == i).write.mode("append").parquet(path)
+        out = run(ST.file_stream(spark, path, df.schema, None))
+    return out
 
 
-def _doc_stream(spark, sf):
-    docs = Tables(spark, sf).documents
-    return ST.file_stream(spark, _in_files(spark, docs, "doc_id", "stream"), docs.schema)
+def _doc_fed(spark, sf, run):
+    return _fed(spark, Tables(spark, sf).documents, "doc_id", "stream", run)
 
 
 @register("st1_keyword_stream", sql="""SELECT doc_id FROM documents
 WHERE contains(lower(text), 'chouou') OR contains(lower(text), 'thorreou')""")
 def st1(spark, sf):
     """Documents whose text holds a tracked term, from a file stream."""
-    out = ST.run_available(ST.keyword_filter(_doc_stream(spark, sf), "text", TERMS).select("doc_id"), _path(spark, "st1"))
+    to = _path(spark, "st1")
+    out = _doc_fed(spark, sf, lambda stream: ST.run_available(ST.keyword_filter(stream, "text", TERMS).select("doc_id"), to))
     return spark.read.parquet(out)
 
 
@@ -50,7 +53,8 @@ def st1(spark, sf):
 SELECT floor((doc_id - lo) * {BATCHES} / (hi - lo + 1))::INT AS snapshot, lang, count(*) AS n FROM documents, r GROUP BY ALL""")
 def st2(spark, sf):
     """A snapshot of documents per language for every micro-batch."""
-    out = ST.snapshots(_doc_stream(spark, sf), ["lang"], _path(spark, "st2"))
+    to = _path(spark, "st2")
+    out = _doc_fed(spark, sf, lambda stream: ST.snapshots(stream, ["lang"], to))
     return spark.read.parquet(out).select("snapshot", "lang", "n")
 
 
@@ -62,8 +66,8 @@ def st2_intervals(spark, sf):
     # the table's times have no zone, and a watermark needs instants: read as UTC whatever the session's zone
     instant = F.expr("timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts))").alias("ts")
     e = Tables(spark, sf).events.select("event_id", instant, "event_type")
-    stream = ST.file_stream(spark, _in_files(spark, e, "event_id", "events"), e.schema)
-    out = spark.read.parquet(ST.interval_snapshots(stream, "ts", "1 day", ["event_type"], _path(spark, "st2i"), late="1 hour"))
+    to = _path(spark, "st2i")
+    out = spark.read.parquet(_fed(spark, e, "event_id", "events", lambda stream: ST.interval_snapshots(stream, "ts", "1 day", ["event_type"], to, late="1 hour")))
     return out.withColumn("snapshot", F.expr("timestampadd(SECOND, cast(unix_seconds(snapshot) AS int), TIMESTAMP_NTZ'1970-01-01 00:00:00')"))
 
 
@@ -72,7 +76,8 @@ def st3(spark, sf):
     """Classifier counts trained batch by batch from a document stream;
     equal to the batch counts (a17)."""
     t = Tables(spark, sf)
-    path = ST.incremental_counts(ST.labelled_word_sets(_doc_stream(spark, sf), t.labels), "fs", "cat", _path(spark, "st3"))
+    to = _path(spark, "st3")
+    path = _doc_fed(spark, sf, lambda stream: ST.incremental_counts(ST.labelled_word_sets(stream, t.labels), "fs", "cat", to))
     return ST.merged_counts(spark, path)[0]
 
 
@@ -97,5 +102,6 @@ def st4(spark, sf):
     """Every labelled document classified with what the batches before its own
     taught, then learnt."""
     t = Tables(spark, sf)
-    out = ST.classify_and_train(ST.labelled_word_sets(_doc_stream(spark, sf), t.labels), "doc_id", "fs", "cat", _path(spark, "st4"))
+    to = _path(spark, "st4")
+    out = _doc_fed(spark, sf, lambda stream: ST.classify_and_train(ST.labelled_word_sets(stream, t.labels), "doc_id", "fs", "cat", to))
     return spark.read.parquet(f"{out}/decided").select("doc_id", "category")

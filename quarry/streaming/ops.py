@@ -23,10 +23,12 @@ def keyword_filter(stream: DataFrame, col: str, terms: str) -> DataFrame:
     return stream.where(cond)
 
 
-def file_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema, max_files: int | None = 1) -> DataFrame:
     """A parquet file stream over a table folder (or over one file's folder by
-    a glob in ``path``); ``max_files`` new files make a micro-batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    a glob in ``path``); ``max_files`` new files make a micro-batch, all that
+    are new if it is None."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
 def _run(writer, out: str, every: str | None, seconds: float | None) -> str:
