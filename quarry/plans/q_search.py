@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.operators import search as S
 from quarry.plans.registry import register
+from quarry.session import cut_lineage
 from quarry.sources.tables import PART_EDGES_SQL, Tables
 
 DOC_QUERY = "de la que"
@@ -180,6 +181,7 @@ nodes AS (SELECT fromid AS id FROM link UNION SELECT toid FROM link UNION SELECT
 def _page_graph(spark, sf):
     p = Tables(spark, sf).pages
     link, lw = S.page_links(p)
+    link = cut_lineage(link)   # read up to five times; every reading would search the pages' html again
     urls = S.url_list(link, p.select(F.col("url").alias("urlid")))
     return link, lw, urls
 
