@@ -11,12 +11,22 @@ so that sums taken in a different order rank the same way.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.dist import pair_join, top_n_per_key
+from quarry.session import cut_lineage
 
 SCORE_DIGITS = 9
+LOT_PAIRS = 150_000_000     # pairs of ratings whose lists are on disk at once, about 3 GB
+TASK_ROWS = 2_000_000       # rows that a task sums up, by count: compressed bytes would let a task take many more
 
 
 def transpose(prefs: DataFrame) -> DataFrame:
@@ -126,18 +136,79 @@ def item_pair_sums(prefs: DataFrame, heavy_rows: int = 4_000, measures: list[str
     return _pair_sums(j, "item_a", "item_b", measures)
 
 
-def similar_items(prefs: DataFrame, n: int = 10, heavy_rows: int = 4_000) -> DataFrame:
+def similar_items(prefs: DataFrame, n: int = 10, heavy_rows: int = 4_000, lot_pairs: int = LOT_PAIRS) -> DataFrame:
     """For each item the ``n`` most similar items by distance
     similarity, ties by item id descending.  Items that share no rater are
     left out (they would score 0).  Output (item_id, other_item, similarity,
-    rank)."""
-    s = item_pair_sums(prefs, heavy_rows, measures=["sq"]).select("item_a", "item_b", distance_score().alias("similarity"))
-    # both directions from one pass over the pair sums (a union would aggregate the pairs twice)
-    both = s.select(F.explode(F.array(
-        F.struct(F.col("item_a").alias("item_a"), F.col("item_b").alias("item_b"), "similarity"),
-        F.struct(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "similarity"))).alias("x")).select("x.*")
-    top = top_n_per_key(both, "item_a", [F.desc("similarity"), F.desc("item_b")], n)
-    return top.select(F.col("item_a").alias("item_id"), F.col("item_b").alias("other_item"), "similarity", "rank")
+    rank).
+
+    Every rating moves to its item with the list of its rater's ratings (in
+    pieces of ``heavy_rows / 8``, so that rows stay short), and one task sums the
+    pairs of its items in both directions and drops all but the nearest: pairs
+    are not shuffled. Items come in lots of about ``lot_pairs`` pairs, counted
+    first; disk holds the lists of one lot."""
+    known = prefs.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
+    counts = known.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    pairs = counts.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0
+    lots = max(1, math.ceil(pairs / lot_pairs))
+    tasks = max(1, math.ceil(pairs / lots / TASK_ROWS))
+    pieces = F.ceil(F.col("n") / max(1, heavy_rows // 8))
+    lists = (known.join(counts, "user_id").groupBy("user_id", F.pmod(F.xxhash64("item_id"), pieces).alias("piece"))
+             .agg(F.collect_list(F.struct("item_id", "rating")).alias("x"))
+             .select("user_id", F.col("x.item_id").alias("others"), F.col("x.rating").alias("rbs")))
+    lists = cut_lineage(lists)
+    kind = prefs.schema["item_id"].dataType.simpleString()
+    parts = []
+    for lot in range(lots):
+        own = known.where(F.pmod(F.xxhash64("item_id", F.lit("lot")), F.lit(lots)) == lot)
+        dealt = (own.select("user_id", F.col("item_id").alias("item_a"), F.col("rating").alias("ra")).join(lists, "user_id")
+                 .select("item_a", "ra", "others", "rbs").repartition(tasks, "item_a"))
+        s = (dealt.mapInArrow(_nearest(n), f"item_a {kind}, item_b {kind}, sq double")
+             .select("item_a", "item_b", distance_score().alias("similarity")))
+        top = top_n_per_key(s, "item_a", [F.desc("similarity"), F.desc("item_b")], n)
+        parts.append(cut_lineage(top.select(F.col("item_a").alias("item_id"), F.col("item_b").alias("other_item"), "similarity", "rank")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _nearest(n: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function from all ratings of some items, each with ratings of the same
+    rater, to (item_a, item_b, sq): per item_a the pairs that can be among the
+    ``n`` with the smallest sums, equal ones by item_b descending."""
+
+    def summed(held: list[pa.Table]) -> pa.Table:
+        t = pa.concat_tables(held).group_by(["item_a", "item_b"], use_threads=False).aggregate([("sq", "sum")])
+        return t.select(["item_a", "item_b", "sq_sum"]).rename_columns(["item_a", "item_b", "sq"])
+
+    def best(t: pa.Table) -> pa.Table:
+        # not-a-number sorts before, null after all other sums, as a similarity does in Spark
+        order = pc.fill_null(t["sq"], math.inf)
+        t = t.append_column("o", pc.if_else(pc.is_nan(order), -math.inf, order))
+        t = t.take(pc.sort_indices(t, [("item_a", "ascending"), ("o", "ascending"), ("item_b", "descending")]))
+        item, o = t["item_a"].combine_chunks().dictionary_encode().indices.to_numpy(), t["o"].to_numpy()
+        new = np.append(True, item[1:] != item[:-1])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))
+        tie = np.maximum.accumulate(np.where(new | np.append(True, o[1:] != o[:-1]), np.arange(len(o)), 0))
+        last = np.minimum(first + n - 1, np.append(np.flatnonzero(new)[1:], len(o))[np.cumsum(new) - 1] - 1)
+        # sums are rounded later: those within rounding of the n-th stay too
+        keep = (np.arange(len(o)) - tie < n) & (o <= o[last] + 1e-6 * np.maximum(1.0, np.where(np.isfinite(o[last]), np.abs(o[last]), 1.0)))
+        return t.filter(pa.array(keep)).drop_columns(["o"])
+
+    def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, limit = [], 0, TASK_ROWS
+        for x in batches:
+            at = pc.list_parent_indices(x["others"])
+            t = pa.table({"item_a": x["item_a"].take(at), "item_b": pc.list_flatten(x["others"]),
+                          "sq": pc.power(pc.subtract(x["ra"].take(at), pc.list_flatten(x["rbs"])), 2.0)})
+            t = t.filter(pc.not_equal(t["item_a"], t["item_b"]))
+            held, rows = [*held, t], rows + len(t)
+            if rows > 2 * limit:
+                held = [summed(held)]
+                rows = len(held[0])
+                limit = max(limit, rows)
+        if rows:
+            yield from best(summed(held)).to_batches()
+
+    return pairs
 
 
 def item_recommendations(prefs: DataFrame, item_match: DataFrame, users: DataFrame | None = None) -> DataFrame:
@@ -146,13 +217,26 @@ def item_recommendations(prefs: DataFrame, item_match: DataFrame, users: DataFra
 
     ``users`` (one column user_id) restricts the users; default all.  The
     neighbour table has a bounded number of rows per item, so the join fans
-    out at most n times the ratings."""
+    out at most n times the ratings. A rating moves to its user with its
+    item's neighbours as one array and leads to candidates only there, where a
+    row for the rated item itself marks it as seen."""
     r = prefs if users is None else prefs.join(users, "user_id", "left_semi")
-    j = (r.join(item_match, "item_id")
-         .select("user_id", F.col("other_item").alias("item_id"), "rating", "similarity"))
-    j = j.join(prefs.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    return (j.groupBy("user_id", "item_id")
-            .agg((F.sum(F.col("similarity") * F.col("rating")) / F.sum("similarity")).alias("score")))
+    kind = prefs.schema["item_id"].dataType
+    near = (item_match.where(F.col("item_id").isNotNull())
+            .groupBy("item_id").agg(F.collect_list(F.struct(F.col("other_item").cast(kind).alias("item_id"), "similarity")).alias("near")))
+    dealt = r.join(near, "item_id", "left").select("user_id", "item_id", "rating", "near")
+    dealt = dealt.repartition(max(1, math.ceil(11 * r.count() / TASK_ROWS)), "user_id")
+    score = F.col("x.similarity")
+    # a null user or item equals no other: it marks nothing
+    known = F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
+    own = F.struct(F.col("item_id"), F.lit(None).cast("double").alias("similarity"))
+    none = F.array().cast(near.schema["near"].dataType)
+    rows = F.concat(F.when(known, F.array(own)).otherwise(none), F.coalesce("near", none))
+    return (dealt.select("user_id", "rating", F.posexplode(rows).alias("pos", "x"), known.alias("known"))
+            .groupBy("user_id", F.col("x.item_id").alias("item_id"))
+            .agg((F.sum(score * F.col("rating")) / F.sum(score)).alias("score"),
+                 F.max(F.col("known") & (F.col("pos") == 0)).alias("seen"))
+            .where(~F.col("seen")).select("user_id", "item_id", "score"))
 
 
 def unseen_items(prefs: DataFrame, person, include_zero: bool = True) -> DataFrame:
