@@ -13,17 +13,20 @@ member, so that the number of tasks follows the work.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quarry.operators.graph import undirected, vertices
 from quarry.session import cut_lineage
 
 SLACK = 0.1
 TASK_EDGES = 20_000
+BATCH = 10_000
 
 
 def peel(edges: DataFrame) -> DataFrame:
@@ -101,21 +104,31 @@ def maximal_cliques(edges: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame
     dealt = (mine.unionByName(outer).join(load.withColumnRenamed("a", "v"), "v")
              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
 
-    def cliques(pdf: pd.DataFrame) -> pd.DataFrame:
-        v, parts, part = pdf["v"].tolist()[0], int(pdf["parts"].iloc[0]), int(pdf["part"].iloc[0])
-        inner, outer = pdf[pdf["inner"]], pdf[~pdf["inner"]]
-        names = sorted(inner["m"].tolist())
+    # one row a task of the search: a call into Python takes many of them
+    sought = dealt.groupBy("v", "part", "parts").agg(F.collect_list(F.struct("m", "later", "inner")).alias("x")).select(
+        "v", "part", "parts", F.col("x.m").alias("m"), F.col("x.later").alias("later"), F.col("x.inner").alias("inner"))
+    member = pa.list_(to_arrow_type(rows.schema["a"].dataType))
+
+    def found(v, part: int, parts: int, ms: list, laters: list, inner: list) -> Iterator[list]:
+        names = sorted(m for m, own in zip(ms, inner, strict=True) if own)
         at = {x: i for i, x in enumerate(names)}
-        near = [0] * len(names)
-        for m, later in zip(inner["m"], inner["later"], strict=True):
+        near, earlier = [0] * len(names), set()
+        for m, later, own in zip(ms, laters, inner, strict=True):
+            if not own:
+                earlier.add(sum(1 << at[x] for x in later))
+                continue
             for x in later:
                 near[at[m]] |= 1 << at[x]
                 near[at[x]] |= 1 << at[m]
-        earlier = {sum(1 << at[x] for x in later) for later in outer["later"]}
-        found = [sorted([v, *(names[i] for i in _bits(c))]) for c in _search(near, range(part, len(names), parts), earlier)]
-        return pd.DataFrame({"members": pd.Series(found, dtype=object)})
+        for c in _search(near, range(part, len(names), parts), earlier):
+            yield sorted([v, *(names[i] for i in _bits(c))])
+
+    def cliques(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = chain.from_iterable(found(*x) for b in batches for x in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        while some := list(islice(every, BATCH)):
+            yield pa.RecordBatch.from_arrays([pa.array(some, member)], ["members"])
 
-    return dealt.groupBy("v", "part").applyInPandas(cliques, f"members array<{kind}>")
+    return sought.mapInArrow(cliques, f"members array<{kind}>")
 
 
 def clique_statistics(cliques: DataFrame) -> DataFrame:
