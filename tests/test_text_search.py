@@ -95,6 +95,14 @@ def test_most_similar_blocks_match_brute_force(spark):
             assert got[k][0] is None
 
 
+def test_most_similar_in_lots_of_block_pairs(spark):
+    rnd = random.Random(8)
+    docs = [(i, " ".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(3, 9)))) for i in range(24)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    whole, lots = (sorted(map(tuple, X.most_similar(d, block_docs=5, lot_rows=n).collect())) for n in (10**9, 200))
+    assert len(whole) == 24 and whole == lots
+
+
 def test_distance_score_matches_match_rows(spark):
     rnd = random.Random(3)
     words = ["x", "y", "z", "q"]
