@@ -271,22 +271,24 @@ def classify_missing(tree: DataFrame, df: DataFrame, features: list[str], key: s
     counts; counts of a class in both are added (Q26).  ``key`` must be unique.
     Output (key, class, weight)."""
     leaves = tree.where(F.col("is_leaf")).select("node", F.explode("results").alias("class", "weight"))
-    cur = _routed(tree, df, features, key, both=True).join(leaves, "node").select(
-        key, "node", "class", F.col("weight").cast("double").alias("weight"))
+    # the weights follow from the leaves reached: each set of them is merged once, whatever its number of rows
+    reached = cut_lineage(_routed(tree, df, features, key, both=True).groupBy(key).agg(F.array_sort(F.collect_list("node")).alias("nodes")))
+    cur = reached.select("nodes").distinct().select("nodes", F.explode("nodes").alias("node")).join(leaves, "node").select(
+        "nodes", "node", "class", F.col("weight").cast("double").alias("weight"))
     depth = tree.agg(F.max("depth")).first()[0] or 0
     for d in range(depth, 0, -1):
         here = F.length("node") == d + 1
         parent = F.when(here, F.substring(F.col("node"), 1, d)).otherwise(F.col("node"))
-        branch = Window.partitionBy(key, "node")
-        pair = Window.partitionBy(key, parent)
+        branch = Window.partitionBy("nodes", "node")
+        pair = Window.partitionBy("nodes", parent)
         # one branch alone keeps its counts: its share is one
         share = F.sum("weight").over(branch) / F.sum("weight").over(pair)
         weight = F.when(here, F.col("weight") * share).otherwise(F.col("weight"))
-        cur = (cur.select(key, parent.alias("p"), "class", weight.alias("weight"))
-               .groupBy(key, F.col("p").alias("node"), "class").agg(F.sum("weight").alias("weight")))
+        cur = (cur.select("nodes", parent.alias("p"), "class", weight.alias("weight"))
+               .groupBy("nodes", F.col("p").alias("node"), "class").agg(F.sum("weight").alias("weight")))
         if d % 4 == 0:
             cur = cut_lineage(cur)
-    return cur.select(key, "class", "weight")
+    return reached.join(cut_lineage(cur.select("nodes", "class", "weight")), "nodes").select(key, "class", "weight")
 
 
 def tree_shape(tree: DataFrame) -> DataFrame:

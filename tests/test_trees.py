@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import trees as TR
 
@@ -206,3 +207,17 @@ def test_subtrees_keep_a_depth_limit_and_an_empty_table(spark):
     tree = TR.build_tree(df, FEATURES, "service", "gini", max_depth=2, local_rows=100)
     assert as_dict(tree, FEATURES) == brute(ROWS, gini, most=2)
     assert TR.build_tree(df.limit(0), FEATURES, "service", local_rows=100).count() == 0
+
+
+def test_missing_values_are_merged_once_for_each_set_of_leaves(spark, monkeypatch):
+    rows = ROWS * 20
+    df = spark.createDataFrame(rows, SCHEMA)
+    tree = TR.build_tree(df, FEATURES, "service", max_depth=1)
+    wide = df.withColumn("id", F.monotonically_increasing_id()).withColumn(FEATURES[0], F.when(F.col("id") % 2 == 0, F.col(FEATURES[0])))
+    sizes, cut = [], TR.cut_lineage
+    monkeypatch.setattr(TR, "cut_lineage", lambda d: sizes.append(d.columns) or cut(d))
+    out = TR.classify_missing(tree, wide, FEATURES, "id")
+    assert out.select("id").distinct().count() == len(rows)
+    # from the routed rows on, only leaf sets are merged
+    merged = sizes[sizes.index(["id", "nodes"]) + 1:]
+    assert merged and all("id" not in c for c in merged)
