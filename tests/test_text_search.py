@@ -4,6 +4,8 @@ import itertools
 import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +72,21 @@ def test_nearest_documents_match_brute_force(spark, block_postings):
     assert got[40][0] == 3 and got[41][0] is None
 
 
+@pytest.mark.parametrize("cells", [1, 40, 700, 4_000_000])
+def test_block_search_in_steps_matches_whole_product(cells):
+    rnd = np.random.default_rng(3)
+    m = np.where(rnd.random((60, 30)) < np.linspace(0.02, 0.9, 30), rnd.integers(1, 4, (60, 30)), 0) * 0.1
+    m[17] = m[4]                                            # equal distances: the smaller document is named
+    rows = pd.DataFrame({"cand": np.arange(60) * 7, "tid": [np.flatnonzero(r) * 11 for r in m], "u": [r[r > 0] for r in m]})
+    block = rows[rows["cand"] % 3 == 0].rename(columns={"cand": "q"})
+    parts = pd.concat(X._nearest_in_block(block, cells)(iter([rows[25:].sample(frac=1, random_state=1), rows[:0], rows[:25]])))
+    got = {q: min(zip(g["dist"], g["cand"], strict=True)) for q, g in parts.groupby("q")}
+    for q in block["q"]:
+        d = {c: round(1 - float(m[c // 7] @ m[q // 7]), 9) for c in rows["cand"] if c != q}
+        near = min((x, c) for c, x in d.items())
+        assert got.get(q, (1, None))[1] == (near[1] if near[0] < 1 else None)
+
+
 def test_similarity_graph(spark):
     d = spark.createDataFrame([(5, "a b c x"), (9, "a b c y"), (12, "p q"), (20, "z")], "doc_id long, text string")
     nodes, links = X.similarity_graph(d.where("doc_id <> 12"), d, F.upper("text"))
