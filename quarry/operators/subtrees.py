@@ -9,7 +9,7 @@ that it holds, so a split costs the sort, however many classes there are.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -122,9 +122,9 @@ def _best(target, columns: list, rows: np.ndarray) -> tuple | None:
     return i, value, x >= value if columns[i][1] else x == value
 
 
-def grower(features: list[str], numeric: list[bool], label: str, score: str, depth: int, max_depth: int | None) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """A function from the rows of one node, at ``depth``, to the rows of the
-    node table for it and all below it."""
+def grower(features: list[str], numeric: list[bool], label: str, score: str, max_depth: int | None) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A function from the rows of one node, whose name tells its depth, to the
+    rows of the node table for it and all below it."""
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         target = _Moments(pdf[label]) if score == "variance" else _Classes(pdf[label], score)
@@ -137,7 +137,7 @@ def grower(features: list[str], numeric: list[bool], label: str, score: str, dep
                 columns.append((codes, False))
 
         def nodes() -> Iterator[tuple]:
-            todo = [(pdf["node"].iloc[0], depth, np.arange(len(pdf)))]
+            todo = [(pdf["node"].iloc[0], len(pdf["node"].iloc[0]) - 1, np.arange(len(pdf)))]
             while todo:
                 node, at, rows = todo.pop()
                 best = _best(target, columns, rows) if max_depth is None or at < max_depth else None
@@ -152,3 +152,64 @@ def grower(features: list[str], numeric: list[bool], label: str, score: str, dep
         return pd.DataFrame(list(nodes()), columns=[c.split()[0] for c in SCHEMA.split(", ")], dtype=object)
 
     return grow
+
+
+def walker(nodes: pd.DataFrame, num: list[bool], root: str) -> Callable[..., pd.Series]:
+    """A function from feature columns to the names of the nodes that rows
+    reach from ``root`` by the splits (node, col_idx, vnum, vstr) of ``nodes``; a
+    missing value goes to the false side."""
+    names = nodes["node"].tolist()
+    place = {n: i for i, n in enumerate(names)}
+    ends: dict[str, int] = {}
+    child = [np.array([place[c] if (c := n + side) in place else -1 - ends.setdefault(c, len(ends)) for n in names], np.int64) for side in "FT"]
+    start = place[root] if root in place else -1 - ends.setdefault(root, len(ends))
+    reached = np.array(list(ends), object)
+    texts = pd.Index(nodes["vstr"].dropna().unique())
+    feature = nodes["col_idx"].to_numpy(np.int64)
+    numeric = np.array(num)[feature]
+    value = np.where(numeric, nodes["vnum"].to_numpy(np.float64, na_value=np.nan), texts.get_indexer(nodes["vstr"]) if len(texts) else -1)
+
+    def walk(*columns: pd.Series) -> pd.Series:
+        x = np.stack([c.to_numpy(np.float64, na_value=np.nan) if n else (texts.get_indexer(c) - 0.0 if len(texts) else np.full(len(c), -1.0))
+                      for c, n in zip(columns, num, strict=True)])
+        g = np.full(len(columns[0]), start, np.int64)
+        todo = np.flatnonzero(g >= 0)
+        while len(todo):
+            at = g[todo]
+            v = x[feature[at], todo]
+            true = np.where(numeric[at], v >= value[at], v == value[at])
+            g[todo] = np.where(true, child[1][at], child[0][at])
+            todo = todo[g[todo] >= 0]
+        return pd.Series(reached[-1 - g], dtype=object)
+
+    return walk
+
+
+def _entropy(counts: Iterable[int]) -> float:
+    c = np.array(list(counts), np.float64)
+    return float(np.log2(c.sum()) - (c * np.log2(c)).sum() / c.sum())
+
+
+def pruner(min_gain: float, parity: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A function from nodes (node, is_leaf, keys, counts) of one part of a
+    tree to its changes: (node, keys, counts) of each pair's parent that is
+    now a leaf, without keys for a node that is gone."""
+
+    def prune(pdf: pd.DataFrame) -> pd.DataFrame:
+        leaf = {n: None if k is None else dict(zip(k, c, strict=True)) for n, x, k, c in zip(pdf["node"], pdf["is_leaf"], pdf["keys"], pdf["counts"], strict=True) if x}
+        gone, merged = [], set()
+        for n in sorted(pdf["node"][~pdf["is_leaf"].astype(bool)], key=len, reverse=True):
+            t, f = leaf.get(n + "T"), leaf.get(n + "F")
+            if not t or not f:
+                continue
+            both = {k: t.get(k, 0) + f.get(k, 0) for k in t | f}
+            ht, hf = _entropy(t.values()), _entropy(f.values())
+            delta = _entropy(both.values()) - ((ht + hf / 2) if parity else (ht + hf) / 2)
+            if delta < min_gain:
+                leaf[n] = both
+                merged.add(n)
+                gone += [n + "T", n + "F"]
+        out = [(n, None, None) for n in gone] + [(n, sorted(leaf[n]), [int(leaf[n][k]) for k in sorted(leaf[n])]) for n in merged - set(gone)]
+        return pd.DataFrame(out, columns=["node", "keys", "counts"], dtype=object)
+
+    return prune

@@ -25,18 +25,23 @@ its targets.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from quarry.operators import subtrees
+from quarry.operators.levels import Levels
 from quarry.session import cut_lineage
 
 TIE_DIGITS = 9
 NOISE = 1e-12           # a gain below this is rounding of a zero gain
 ROOT = "r"
+PART_ROWS = 20_000      # training rows of a node whose part of the tree is one task's
 CANDIDATE = ["node", "col_idx", "vnum", "vstr"]
 
 
@@ -161,7 +166,7 @@ def root_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     return cut_lineage(df.select(*columns).withColumn("node", F.lit(ROOT)))
 
 
-def _leaves(rows: DataFrame, label: str, score: str, depth: int) -> DataFrame:
+def _leaves(rows: DataFrame, label: str, score: str, depth: int | Column) -> DataFrame:
     """Leaf rows of the node table for the nodes of ``rows``."""
     head = ["node", F.lit(depth).alias("depth"), F.lit(None).cast("string").alias("col"), F.lit(None).cast("double").alias("vnum"),
             F.lit(None).cast("string").alias("vstr"), F.lit(True).alias("is_leaf")]
@@ -188,14 +193,15 @@ def _child(side: Column) -> Column:
     return F.concat(F.col("node"), F.when(F.coalesce(side, F.lit(False)), "T").otherwise("F"))
 
 
-def _subtrees(rows: DataFrame, features: list[str], label: str, score: str, depth: int, max_depth: int | None) -> DataFrame:
+def _subtrees(rows: DataFrame, features: list[str], label: str, score: str, max_depth: int | None) -> DataFrame:
     """The node table of every node of ``rows`` and all below, a node a task."""
     num = [_is_num(rows, c) for c in features]
     typed = rows.select("node", *[F.col(c).cast("double" if n else "string").alias(f"f{i}") for i, (c, n) in enumerate(zip(features, num, strict=True))],
                         F.col(label).cast("double" if score == "variance" else "string").alias("y"))
-    grow = subtrees.grower([f"f{i}" for i in range(len(features))], num, "y", score, depth, max_depth)
+    grow = subtrees.grower([f"f{i}" for i in range(len(features))], num, "y", score, max_depth)
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism     # by number, as a node costs far more than its bytes
     col = F.get(F.array(*[F.lit(c) for c in features]), F.substring("col", 2, 10).cast("int"))
-    return (typed.groupBy("node").applyInPandas(grow, subtrees.SCHEMA)
+    return (typed.repartition(tasks, "node").groupBy("node").applyInPandas(grow, subtrees.SCHEMA)
             .select("node", "depth", col.alias("col"), "vnum", "vstr", "is_leaf", F.map_from_arrays("keys", "counts").alias("results"), "n", "mean", "var"))
 
 
@@ -207,11 +213,15 @@ def build_tree(df: DataFrame, features: list[str], label: str, score: str = "ent
     num = {c: _is_num(df, c) for c in features}
     rows = root_rows(df, [*features, label])
     parts, depth = [], 0
+    if local_rows and rows.count() > local_rows:
+        levels = Levels(rows, features, list(num.values()), label, score)
+        if levels.usable:
+            return _with_levels(levels, rows, label, max_depth, local_rows)
     while True:
         if local_rows:
             small = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= local_rows).select("node"))
             if not small.isEmpty():
-                parts.append(cut_lineage(_subtrees(rows.join(small, "node"), features, label, score, depth, max_depth)))
+                parts.append(cut_lineage(_subtrees(rows.join(small, "node"), features, label, score, max_depth)))
                 rows = cut_lineage(rows.join(small, "node", "left_anti").select(rows.columns))
             if rows.isEmpty() and parts:
                 break
@@ -232,6 +242,65 @@ def build_tree(df: DataFrame, features: list[str], label: str, score: str = "ent
     return cut_lineage(reduce(lambda a, b: a.unionByName(b), parts))
 
 
+def _walk_udf(nodes: pd.DataFrame, num: list[bool]) -> Callable[..., Column]:
+    walk = subtrees.walker(nodes, num, ROOT)
+    return F.pandas_udf(lambda x: walk(*[x[c] for c in x.columns]), "string")
+
+
+def _values(df: DataFrame, features: list[str], num: list[bool]) -> list[Column]:
+    """Features as tests see them: numbers, of which NaN is the largest, or text."""
+    x = lambda c: F.col(c).cast("double")
+    return [(F.when(F.isnan(x(c)), F.lit(float("inf"))).otherwise(x(c)) if n else F.col(c).cast("string")).alias(f"f{i}")
+            for i, (c, n) in enumerate(zip(features, num, strict=True))]
+
+
+def _with_levels(levels: Levels, rows: DataFrame, label: str, max_depth: int | None, local_rows: int) -> DataFrame:
+    """The whole node table: large nodes by ``levels``, the rest in tasks."""
+    features, num, score = levels.features, levels.num, levels.score
+    size = (lambda c: c[0]) if score == "variance" else (lambda c: c.sum())
+    inner, ended = [], []
+    names, depth = [ROOT], 0
+    while names:
+        if max_depth is not None and depth >= max_depth:
+            ended += names
+            break
+        total, best = levels.splits(len(names))
+        sides, nxt, child = [], [], {"T": [], "F": []}
+        for g, name in enumerate(names):
+            if g not in best:
+                ended.append(name)
+                sides.append((0, 0.0))
+                child["T"].append(-1)
+                child["F"].append(-1)
+                continue
+            i, value, c1 = best[g]
+            sides.append((i, value))
+            inner.append((name, depth, i, *levels.split_values(i, value), int(round(size(total[g])))))
+            for side, c in (("T", c1), ("F", total[g] - c1)):
+                if round(size(c)) > local_rows:
+                    child[side].append(len(nxt))
+                    nxt.append(name + side)
+                else:
+                    child[side].append(-1)
+        if nxt:
+            levels.move(sides, np.array(child["T"]), np.array(child["F"]))
+        names, depth = nxt, depth + 1
+    top = pd.DataFrame(inner, columns=["node", "depth", "col_idx", "vnum", "vstr", "n"]).astype({"vstr": object})
+    walk = _walk_udf(top, num)
+    placed = cut_lineage(rows.select(*features, label, walk(F.struct(*_values(rows, features, num))).alias("node")))
+    spark = rows.sparkSession
+    table = spark.createDataFrame([(n, d, features[i], v, t, k) for n, d, i, v, t, k in inner],
+                                  "node string, depth int, col string, vnum double, vstr string, n long")
+    none = lambda kind: F.lit(None).cast(kind)
+    table = table.select("node", "depth", "col", "vnum", "vstr", F.lit(False).alias("is_leaf"), none("map<string,bigint>").alias("results"),
+                         "n", none("double").alias("mean"), none("double").alias("var"))
+    ends = F.col("node").isin(ended) if ended else F.lit(False)
+    parts = [table, _subtrees(placed.where(~ends), features, label, score, max_depth)]
+    if ended:
+        parts.append(_leaves(placed.where(ends), label, score, F.length("node") - 1))
+    return cut_lineage(reduce(lambda a, b: a.unionByName(b), parts))
+
+
 def _inner(tree: DataFrame, features: list[str]) -> DataFrame:
     idx = F.coalesce(*[F.when(F.col("col") == c, F.lit(i)) for i, c in enumerate(features)])
     return tree.where(~F.col("is_leaf")).select("node", idx.alias("col_idx"), "vnum", "vstr")
@@ -257,12 +326,63 @@ def _routed(tree: DataFrame, df: DataFrame, features: list[str], key: str, both:
     return cur.select(key, "node")
 
 
+def _top(tree: DataFrame, part_rows: int) -> DataFrame:
+    """The internal nodes of more than ``part_rows`` training rows: at most
+    (rows / part_rows) a level, whatever the tree's size."""
+    return tree.where(~F.col("is_leaf") & (F.col("n") > part_rows))
+
+
+def _walked(tree: DataFrame, df: DataFrame, features: list[str], key: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """(key, node): the leaf of each row. Rows go down the large nodes in one
+    pass, then meet the part of the tree below the node that they reached,
+    ``part_rows`` rows at a time."""
+    num = [_is_num(df, c) for c in features]
+    idx = F.coalesce(*[F.when(F.col("col") == c, F.lit(i)) for i, c in enumerate(features)])
+    picked = ["node", idx.alias("col_idx"), "vnum", "vstr"]
+    top = _top(tree, part_rows).select(*picked).toPandas().astype({"vstr": object})
+    x = df.select(key, *_values(df, features, num))
+    at = _walk_udf(top, num)(F.struct(*[f"f{i}" for i in range(len(features))]))
+    rows = cut_lineage(x.withColumn("at", at))
+    lower = _below(tree.where(~F.col("is_leaf")), top["node"]).select(*picked, "at")
+    parts = rows.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("parts"))
+    dealt = rows.join(F.broadcast(parts), "at").withColumn("part", F.pmod(F.xxhash64(key, F.col("f0")), F.col("parts")).cast("int")).drop("parts")
+    copies = lower.join(F.broadcast(parts), "at").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    kind = df.schema[key].dataType.simpleString()
+
+    def leaf(rows: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame({"key": [], "node": []})
+        walk = subtrees.walker(nodes, num, rows["at"].iloc[0])
+        return pd.DataFrame({"key": rows["key"], "node": walk(*[rows[f"f{i}"] for i in range(len(num))]).to_numpy()})
+
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    dealt = dealt.withColumnRenamed(key, "key").repartition(tasks, "at", "part")
+    out = dealt.groupBy("at", "part").cogroup(copies.repartition(tasks, "at", "part").groupBy("at", "part")).applyInPandas(leaf, f"key {kind}, node string")
+    return out.withColumnRenamed("key", key)
+
+
+def _below(nodes: DataFrame, top: Iterable[str]) -> DataFrame:
+    """``nodes`` without those named by ``top``, which has every node above
+    its own, with ``at``: the first node outside of it on the way to them."""
+    inside = set(top)
+
+    def first(node: pd.Series) -> pd.Series:
+        def one(n: str) -> str:
+            lo, hi = 0, len(n)
+            while lo < hi:                                  # the longest prefix inside
+                mid = (lo + hi + 1) // 2
+                lo, hi = (mid, hi) if n[:mid] in inside else (lo, mid - 1)
+            return n[:lo + 1] if lo else n[:1]
+        return node.map(lambda n: "" if n in inside else one(n))
+
+    return nodes.withColumn("at", F.pandas_udf(first, "string")("node")).where("at <> ''")
+
+
 def classify(tree: DataFrame, df: DataFrame, features: list[str], key: str) -> DataFrame:
-    """Route every row from the root to its leaf by repeated joins with
-    the internal nodes (one join per level); a missing value goes to the false
-    side.  Output (key, node, results, mean)."""
+    """Route every row from the root to its leaf (``_walked``); a missing
+    value goes to the false side.  Output (key, node, results, mean)."""
     leaves = tree.where(F.col("is_leaf")).select("node", "results", "mean")
-    return _routed(tree, df, features, key, both=False).join(leaves, "node").select(key, "node", "results", "mean")
+    return _walked(tree, df, features, key).join(leaves, "node").select(key, "node", "results", "mean")
 
 
 def classify_missing(tree: DataFrame, df: DataFrame, features: list[str], key: str) -> DataFrame:
@@ -306,40 +426,33 @@ def tree_listing(tree: DataFrame) -> DataFrame:
     return tree.select("node", "depth", path.alias("path"), text.alias("text")).orderBy("path")
 
 
-def _entropy(entries: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, h): base-2 entropy of (keys, k, c) class-count rows."""
-    c = F.col("c").cast("double")
-    return entries.groupBy(*keys).agg((F.log2(F.sum(c)) - F.sum(c * F.log2(c)) / F.sum(c)).alias("h"))
-
-
-def prune(tree: DataFrame, min_gain: float, parity: bool = False) -> DataFrame:
+def prune(tree: DataFrame, min_gain: float, parity: bool = False, part_rows: int = PART_ROWS) -> DataFrame:
     """T5: bottom-up, merge two leaf children whose entropy reduction is
     below ``min_gain``.  Default gain H(all) - (H(t) + H(f)) / 2; ``parity``
     uses the reference's H(all) - (H(t) + H(f) / 2) (Q27).
 
-    Class counts are exploded into (node, class, count) rows, so entropies
-    are plain aggregates; one pass per level, from the deepest up."""
-    max_depth = tree.agg(F.max("depth")).first()[0] or 0
+    Nodes below the large ones are pruned part by part in tasks, then the large
+    ones with what is left of the parts' own roots."""
     cur = cut_lineage(tree)
-    parent = F.expr("substring(node, 1, length(node) - 1)")
-    for d in range(max_depth - 1, -1, -1):
-        kids = (cur.where(F.col("is_leaf") & (F.col("depth") == d + 1))
-                .select(parent.alias("p"), F.expr("right(node, 1)").alias("side"), F.explode("results").alias("k", "c")))
-        sides = _entropy(kids, ["p", "side"]).groupBy("p").agg(
-            F.max(F.when(F.col("side") == "T", F.col("h"))).alias("ht"), F.max(F.when(F.col("side") == "F", F.col("h"))).alias("hf"))
-        every = cut_lineage(kids.groupBy("p", "k").agg(F.sum("c").alias("c")))
-        both = _entropy(every, ["p"]).join(sides.where("ht IS NOT NULL AND hf IS NOT NULL"), "p")
-        delta = (F.col("h") - (F.col("ht") + F.col("hf") / 2)) if parity else (F.col("h") - (F.col("ht") + F.col("hf")) / 2)
-        merged = (every.join(both.where(delta < min_gain).select("p"), "p").groupBy("p")
-                  .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "c")))).alias("mres")))
-        merged = cut_lineage(merged)
-        if merged.isEmpty():
-            continue
-        gone = merged.select(F.explode(F.array(F.concat("p", F.lit("T")), F.concat("p", F.lit("F")))).alias("node"))
-        left = (cur.join(gone, "node", "left_anti")
-                .join(merged.select(F.col("p").alias("node"), "mres"), "node", "left"))
-        now = F.col("mres").isNotNull()
-        cur = cut_lineage(left.select(
-            "node", "depth", *[F.when(~now, F.col(c)).alias(c) for c in ("col", "vnum", "vstr")],
-            (F.col("is_leaf") | now).alias("is_leaf"), F.coalesce("mres", "results").alias("results"), "n", "mean", "var"))
+    top = [r["node"] for r in _top(cur, part_rows).select("node").collect()]
+    merge = subtrees.pruner(min_gain, parity)
+    schema = "node string, keys array<string>, counts array<long>"
+    seen = ["node", "is_leaf", F.map_keys("results").alias("keys"), F.map_values("results").alias("counts")]
+    tasks = 4 * tree.sparkSession.sparkContext.defaultParallelism
+    parts = _below(cur, top)
+    low = parts.select(*seen, "at").repartition(tasks, "at").groupBy("at").applyInPandas(lambda pdf: merge(pdf), schema)
+    cur = cut_lineage(_merged(cur, low))
+    if top:
+        own = _below(cur, top).where("node = at").select("node")
+        high = cur.join(own.unionByName(_top(cur, part_rows).select("node")), "node", "left_semi").select(*seen)
+        cur = cut_lineage(_merged(cur, high.groupBy(F.lit(0).alias("all")).applyInPandas(lambda pdf: merge(pdf), schema)))
     return cur
+
+
+def _merged(tree: DataFrame, changes: DataFrame) -> DataFrame:
+    """``tree`` after ``changes``: nodes without keys go, others become leaves."""
+    changes = changes.select("node", F.map_from_arrays("keys", "counts").alias("mres"), F.lit(True).alias("hit"))
+    now = F.col("mres").isNotNull()
+    return tree.join(changes, "node", "left").where(now | F.col("hit").isNull()).select(
+        "node", "depth", *[F.when(~now, F.col(c)).alias(c) for c in ("col", "vnum", "vstr")],
+        (F.col("is_leaf") | now).alias("is_leaf"), F.coalesce("mres", "results").alias("results"), "n", "mean", "var")

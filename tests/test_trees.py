@@ -1,6 +1,7 @@
 """Trees against a recursive brute force on the 16-row customer fixture."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -181,7 +182,6 @@ def test_tree_of_seventy_levels(spark):
 def test_subtrees_in_tasks_equal_brute_force(spark, name, score, local_rows):
     """Whole trees, by levels above and in tasks below, with missing values and
     many classes."""
-    import random
     rnd = random.Random(6)
     rows = [(rnd.choice([None, "a", "b", "c"]), rnd.choice([None, 1.0, 2.0, 2.5, 7.0]), rnd.randint(0, 9), rnd.choice([1.0, 2.0, 5.0, 11.0])) for _ in range(45)]
     if name != "variance":
@@ -221,3 +221,30 @@ def test_missing_values_are_merged_once_for_each_set_of_leaves(spark, monkeypatc
     # from the routed rows on, only leaf sets are merged
     merged = sizes[sizes.index(["id", "nodes"]) + 1:]
     assert merged and all("id" not in c for c in merged)
+
+
+@pytest.mark.parametrize("score,label", [("entropy", "y"), ("gini", "y"), ("variance", "z")])
+def test_large_nodes_over_parts_match_one_task(spark, score, label, monkeypatch):
+    from quarry.operators import levels
+
+    monkeypatch.setattr(levels, "PART_ROWS", 60)
+    monkeypatch.setattr(levels, "FEW", 10)
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice(["u", "v", None]), rnd.randint(1, 5), rnd.choice([None, *[round(rnd.uniform(0, 9), 1)] * 9]),
+             rnd.choice(["A", "B", None]), rnd.choice([None, *[float(rnd.randint(0, 9))] * 9])) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, a string, b int, c double, y string, z double")
+    features = ["a", "b", "c"]
+
+    def table(tree):
+        return sorted((r["node"], r["depth"], r["col"] or "", r["vnum"] or 0, r["vstr"] or "", r["is_leaf"], sorted((r["results"] or {}).items()), r["n"],
+                       round(r["mean"] or 0, 6), round(r["var"] or 0, 6)) for r in tree.collect())
+
+    whole = TR.build_tree(df, features, label, score, local_rows=1000)
+    parts = TR.build_tree(df, features, label, score, local_rows=40)
+    assert table(parts) == table(whole)
+    assert table(TR.build_tree(df, features, label, score, max_depth=2, local_rows=40)) == table(TR.build_tree(df, features, label, score, max_depth=2))
+    routed = TR._walked(parts, df, features, "id", 40).collect()
+    assert sorted((r["id"], r["node"]) for r in routed) == sorted((r["id"], r["node"]) for r in TR._routed(parts, df, features, "id", False).collect())
+    if score == "entropy":
+        for min_gain in (0.4, 0.7, 2.0):
+            assert table(TR.prune(parts, min_gain, part_rows=40)) == table(TR.prune(parts, min_gain))
