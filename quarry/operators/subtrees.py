@@ -2,20 +2,26 @@
 
 A node with few rows is grown to its end by the same splits as the level-wise
 build: all values of every feature, gains equal to 9 decimals decided by the
-feature's index and then the lower value. Each feature of a node is sorted
-once; the impurities of both sides change from value to value by the classes
-that it holds, so a split costs the sort, however many classes there are.
+feature's index and then the lower value. With few classes all nodes of a
+level are split at once (``_grow_levels``): rows are counted by node, value and
+class, so a level costs a few passes over its rows, however many nodes it has.
+Otherwise nodes are split one by one: each feature of a node is sorted once; the
+impurities of both sides change from value to value by the classes that it holds, so
+a split costs the sort, however many classes there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 
 TIE_DIGITS = 9
 NOISE = 1e-12
+CLASSES = 32            # more are split node by node
+BATCH = 50_000          # nodes that leave a task at once
 SCHEMA = ("node string, depth int, col string, vnum double, vstr string, is_leaf boolean, keys array<string>, counts array<long>, "
           "n long, mean double, var double")
 
@@ -122,11 +128,129 @@ def _best(target, columns: list, rows: np.ndarray) -> tuple | None:
     return i, value, x >= value if columns[i][1] else x == value
 
 
-def grower(features: list[str], numeric: list[bool], label: str, score: str, max_depth: int | None) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """A function from the rows of one node, whose name tells its depth, to the
-    rows of the node table for it and all below it."""
-
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+def class_gains(score: str, total: np.ndarray, c1: np.ndarray) -> np.ndarray:
+    """Gain of candidates from the class counts of their node and true side (a
+    class a row, a candidate a column); -inf if a side is empty or it is noise."""
+
+    def term(c: np.ndarray) -> np.ndarray:
+        c = c.astype(np.float64)
+        return c * np.log2(np.maximum(c, 1.0)) if score == "entropy" else c * c
+
+    n, n1 = total.sum(axis=0), c1.sum(axis=0)
+    whole, s1, s2 = (sum(term(c) for c in side) for side in (total, c1, total - c1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p = n1 / n
+        gain = _impurity(score, n, whole) - p * _impurity(score, n1, s1) - (1 - p) * _impurity(score, n - n1, s2)
+        return np.where((n1 > 0) & (n1 < n) & (gain > NOISE), gain, -np.inf)
+
+
+def best_of_runs(node: np.ndarray, gain: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, largest rounded gain, its lowest value) of each run of ``node``."""
+    starts = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+    rounded = np.round(gain, TIE_DIGITS)
+    top = np.maximum.reduceat(rounded, starts)
+    held = rounded == np.repeat(top, np.diff(np.append(starts, len(node))))
+    return node[starts], top, np.minimum.reduceat(np.where(held, value, np.inf), starts)
+
+
+def count_classes(node: np.ndarray, code: np.ndarray, y: np.ndarray, n_nodes: int, span: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, code, class counts): a column of counts for each code below
+    ``span`` that a node has, in their order."""
+    key = (node.astype(np.int64) * span + code) * width + y
+    if n_nodes * span * width <= 2 * len(key):
+        counts = np.bincount(key, minlength=n_nodes * span * width).reshape(-1, width)
+        some = np.flatnonzero(counts.any(axis=1))
+        return some // span, some % span, counts[some].T
+    key.sort()
+    ends = np.flatnonzero(np.append(key[1:] != key[:-1], True))
+    group, of = np.divmod(key[ends], width)
+    first = np.append(True, group[1:] != group[:-1])
+    place = np.cumsum(first) - 1
+    counts = np.zeros((width, place[-1] + 1 if len(place) else 0), np.int64)
+    counts[of, place] = np.diff(np.append(-1, ends))
+    return group[first] // span, group[first] % span, counts
+
+
+def running(node: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Running sums along the columns, begun anew at every node."""
+    run = np.cumsum(counts, axis=1)
+    head = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+    return run - np.repeat((run - counts)[:, head], np.diff(np.append(head, len(node))), axis=1)
+
+
+def _coded(values: np.ndarray, numeric: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, values by code), numbers from the largest down; -1 is missing."""
+    if not numeric:
+        return values, np.arange(values.max(initial=-1) + 1, dtype=np.float64)
+    held = ~np.isnan(values)
+    known, at = np.unique(values[held], return_inverse=True)
+    codes = np.full(len(values), -1, np.int64)
+    codes[held] = len(known) - 1 - at
+    return codes, known[::-1]
+
+
+def _grow_levels(names: list[str], node: np.ndarray, y: np.ndarray, classes: list[str], columns: list, score: str, max_depth: int | None) -> Iterator[tuple]:
+    """(node, depth, feature or -1, value or its text's code, counts by class
+    name, rows) of ``names``, to which ``node`` deals the rows, and all below."""
+    width = len(classes)
+    coded = [_coded(*c) for c in columns]
+    code = np.stack([c for c, _ in coded])
+
+    def leaf(name: str, counts: np.ndarray) -> tuple:
+        got: dict[str, int] = {}
+        for k in np.flatnonzero(counts):
+            got[classes[k]] = got.get(classes[k], 0) + int(counts[k])
+        return name, len(name) - 1, -1, None, got, int(counts.sum())
+
+    while names:
+        total = np.bincount(node * width + y, minlength=len(names) * width).reshape(-1, width)
+        may = (total > 0).sum(axis=1) > 1
+        if max_depth is not None:
+            may &= np.array([len(name) <= max_depth for name in names])
+        top, feature, at = np.full(len(names), -np.inf), np.full(len(names), -1), np.zeros(len(names))
+        able = may[node]
+        some, y_of = node[able], y[able]
+        for i, (_, known) in enumerate(coded):
+            c = code[i][able]
+            held = c >= 0
+            if not held.any():
+                continue
+            of, v, counts = count_classes(some[held], c[held], y_of[held], len(names), len(known), width)
+            if columns[i][1]:
+                counts = running(of, counts)
+            of, gain, low = best_of_runs(of, class_gains(score, total[of].T, counts), known[v])
+            better = gain > top[of]
+            of = of[better]
+            top[of], feature[of], at[of] = gain[better], i, low[better]
+        yield from (leaf(names[g], total[g]) for g in np.flatnonzero(feature < 0))
+        split = np.flatnonzero(feature >= 0)
+        yield from ((names[g], len(names[g]) - 1, int(feature[g]), at[g], None, int(total[g].sum())) for g in split)
+        # the code of a split's value: sides are told by codes
+        cut = np.zeros(len(names), np.int64)
+        for i, (_, known) in enumerate(coded):
+            here = feature == i
+            cut[here] = len(known) - 1 - np.searchsorted(known[::-1], at[here]) if columns[i][1] else at[here]
+        numeric = np.array([c[1] for c in columns])[feature]
+        stay = feature[node] >= 0
+        node, y, code = node[stay], y[stay], code[:, stay]
+        c = code[feature[node], np.arange(len(node))]
+        side = np.where(numeric[node], (c >= 0) & (c <= cut[node]), c == cut[node])
+        child = np.zeros(len(names), np.int64)
+        child[split] = 2 * np.arange(len(split))
+        node = child[node] + ~side
+        names = [names[g] + s for g in split for s in "TF"]
+
+
+def grower(features: list[str], numeric: list[bool], label: str, score: str, max_depth: int | None) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A function from the rows of some nodes, whose names tell their depth, to
+    the rows of the node table for them and all below them."""
+
+    def grow(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [f for f in frames if len(f)]
+        if not held:
+            return
+        pdf = pd.concat(held, ignore_index=True)
+        held.clear()
         target = _Moments(pdf[label]) if score == "variance" else _Classes(pdf[label], score)
         columns, names = [], {}
         for i, (f, num) in enumerate(zip(features, numeric, strict=True)):
@@ -136,8 +260,19 @@ def grower(features: list[str], numeric: list[bool], label: str, score: str, max
                 codes, names[i] = pd.factorize(pdf[f], sort=True)
                 columns.append((codes, False))
 
+        at_root, roots = pd.factorize(pdf["node"])
+
+        def levels() -> Iterator[tuple]:
+            for node, at, i, value, counts, n in _grow_levels(list(roots), at_root, target.codes, target.names, columns, score, max_depth):
+                if i < 0:
+                    keys = sorted(counts)
+                    yield node, at, None, None, None, True, keys, [counts[k] for k in keys], n, None, None
+                    continue
+                vnum, vstr = (float(value), None) if numeric[i] else (None, names[i][int(value)])
+                yield node, at, features[i], vnum, vstr, False, None, None, n, None, None
+
         def nodes() -> Iterator[tuple]:
-            todo = [(pdf["node"].iloc[0], len(pdf["node"].iloc[0]) - 1, np.arange(len(pdf)))]
+            todo = [(root, len(root) - 1, np.flatnonzero(at_root == k)) for k, root in enumerate(roots)]
             while todo:
                 node, at, rows = todo.pop()
                 best = _best(target, columns, rows) if max_depth is None or at < max_depth else None
@@ -149,7 +284,9 @@ def grower(features: list[str], numeric: list[bool], label: str, score: str, max
                 yield node, at, features[i], vnum, vstr, False, None, None, len(rows), None, None
                 todo += [(node + "T", at + 1, rows[side]), (node + "F", at + 1, rows[~side])]
 
-        return pd.DataFrame(list(nodes()), columns=[c.split()[0] for c in SCHEMA.split(", ")], dtype=object)
+        found = levels() if score != "variance" and len(target.names) <= CLASSES else nodes()
+        while some := list(islice(found, BATCH)):
+            yield pd.DataFrame(some, columns=[c.split()[0] for c in SCHEMA.split(", ")], dtype=object)
 
     return grow
 

@@ -42,6 +42,7 @@ TIE_DIGITS = 9
 NOISE = 1e-12           # a gain below this is rounding of a zero gain
 ROOT = "r"
 PART_ROWS = 20_000      # training rows of a node whose part of the tree is one task's
+LOT_ROWS = 200_000      # rows of nodes that are grown together in a task
 CANDIDATE = ["node", "col_idx", "vnum", "vstr"]
 
 
@@ -194,14 +195,15 @@ def _child(side: Column) -> Column:
 
 
 def _subtrees(rows: DataFrame, features: list[str], label: str, score: str, max_depth: int | None) -> DataFrame:
-    """The node table of every node of ``rows`` and all below, a node a task."""
+    """The node table of every node of ``rows`` and all below. Nodes are dealt
+    out over tasks, each of about ``LOT_ROWS`` rows or one node."""
     num = [_is_num(rows, c) for c in features]
     typed = rows.select("node", *[F.col(c).cast("double" if n else "string").alias(f"f{i}") for i, (c, n) in enumerate(zip(features, num, strict=True))],
                         F.col(label).cast("double" if score == "variance" else "string").alias("y"))
     grow = subtrees.grower([f"f{i}" for i in range(len(features))], num, "y", score, max_depth)
-    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism     # by number, as a node costs far more than its bytes
+    lots = max(4 * rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // LOT_ROWS))     # by number, as a row costs far more than its bytes
     col = F.get(F.array(*[F.lit(c) for c in features]), F.substring("col", 2, 10).cast("int"))
-    return (typed.repartition(tasks, "node").groupBy("node").applyInPandas(grow, subtrees.SCHEMA)
+    return (typed.repartition(lots, "node").mapInPandas(grow, subtrees.SCHEMA)
             .select("node", "depth", col.alias("col"), "vnum", "vstr", "is_leaf", F.map_from_arrays("keys", "counts").alias("results"), "n", "mean", "var"))
 
 
@@ -209,14 +211,17 @@ def build_tree(df: DataFrame, features: list[str], label: str, score: str = "ent
                max_depth: int | None = None, local_rows: int = 0) -> DataFrame:
     """Grow the tree until no split has a gain, or to ``max_depth``
     if the caller sets one.  Q25 fixed: every level uses ``score``.
-    ``local_rows``: the most rows that one task takes at once."""
+    ``local_rows``: the most rows of a node that one task splits to its end;
+    with few classes a task grows more at once (``levels.NODE_ROWS``)."""
     num = {c: _is_num(df, c) for c in features}
     rows = root_rows(df, [*features, label])
     parts, depth = [], 0
     if local_rows and rows.count() > local_rows:
         levels = Levels(rows, features, list(num.values()), label, score)
+        if levels.n <= levels.node_rows:
+            return cut_lineage(_subtrees(rows, features, label, score, max_depth))
         if levels.usable:
-            return _with_levels(levels, rows, label, max_depth, local_rows)
+            return _with_levels(levels, rows, label, max_depth, max(local_rows, levels.node_rows))
     while True:
         if local_rows:
             small = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= local_rows).select("node"))
@@ -257,37 +262,10 @@ def _values(df: DataFrame, features: list[str], num: list[bool]) -> list[Column]
 def _with_levels(levels: Levels, rows: DataFrame, label: str, max_depth: int | None, local_rows: int) -> DataFrame:
     """The whole node table: large nodes by ``levels``, the rest in tasks."""
     features, num, score = levels.features, levels.num, levels.score
-    size = (lambda c: c[0]) if score == "variance" else (lambda c: c.sum())
-    inner, ended = [], []
-    names, depth = [ROOT], 0
-    while names:
-        if max_depth is not None and depth >= max_depth:
-            ended += names
-            break
-        total, best = levels.splits(len(names))
-        sides, nxt, child = [], [], {"T": [], "F": []}
-        for g, name in enumerate(names):
-            if g not in best:
-                ended.append(name)
-                sides.append((0, 0.0))
-                child["T"].append(-1)
-                child["F"].append(-1)
-                continue
-            i, value, c1 = best[g]
-            sides.append((i, value))
-            inner.append((name, depth, i, *levels.split_values(i, value), int(round(size(total[g])))))
-            for side, c in (("T", c1), ("F", total[g] - c1)):
-                if round(size(c)) > local_rows:
-                    child[side].append(len(nxt))
-                    nxt.append(name + side)
-                else:
-                    child[side].append(-1)
-        if nxt:
-            levels.move(sides, np.array(child["T"]), np.array(child["F"]))
-        names, depth = nxt, depth + 1
+    inner, ended = levels.grown(ROOT, max_depth, local_rows)
     top = pd.DataFrame(inner, columns=["node", "depth", "col_idx", "vnum", "vstr", "n"]).astype({"vstr": object})
     walk = _walk_udf(top, num)
-    placed = cut_lineage(rows.select(*features, label, walk(F.struct(*_values(rows, features, num))).alias("node")))
+    placed = cut_lineage(rows.select(*features, label, walk(F.struct(*levels.kinds)).alias("node")))
     spark = rows.sparkSession
     table = spark.createDataFrame([(n, d, features[i], v, t, k) for n, d, i, v, t, k in inner],
                                   "node string, depth int, col string, vnum double, vstr string, n long")

@@ -248,3 +248,59 @@ def test_large_nodes_over_parts_match_one_task(spark, score, label, monkeypatch)
     if score == "entropy":
         for min_gain in (0.4, 0.7, 2.0):
             assert table(TR.prune(parts, min_gain, part_rows=40)) == table(TR.prune(parts, min_gain))
+
+
+def _orders(spark, n, seed=5):
+    rnd = random.Random(seed)
+    rows = [(i, rnd.choice(["u", "v", None]), rnd.randint(1, 5), rnd.choice([None, float("nan"), *[round(rnd.uniform(0, 9), 1)] * 9]),
+             rnd.choice(["A", "B", None])) for i in range(n)]
+    return spark.createDataFrame(rows, "id long, a string, b int, c double, y string"), ["a", "b", "c"]
+
+
+def _nodes(tree):
+    return sorted((r["node"], r["depth"], r["col"] or "", r["vnum"] or 0, r["vstr"] or "", r["is_leaf"], sorted((r["results"] or {}).items()), r["n"])
+                  for r in tree.collect())
+
+
+@pytest.mark.parametrize("score,counted", [("entropy", 10), ("gini", 3)])       # one feature of many values, or two
+def test_large_nodes_in_one_barrier_stage(spark, score, counted, monkeypatch):
+    """A chain of large nodes takes no jobs a level, and gives the same tree
+    as levels by jobs and as one task."""
+    from quarry.operators import levels
+
+    df, features = _orders(spark, 400)
+    whole = _nodes(TR.build_tree(df, features, "y", score, local_rows=1000))
+    monkeypatch.setattr(levels, "PART_ROWS", 60)
+    monkeypatch.setattr(levels, "FEW", counted)
+    monkeypatch.setattr(levels, "NODE_ROWS", 30)
+    jobs = {}
+    for way, cores in (("stage", levels._cores(spark)), ("jobs", 0)):
+        monkeypatch.setattr(levels, "_cores", lambda s, c=cores: c)
+        spark.sparkContext.setJobGroup(way, way)
+        assert _nodes(TR.build_tree(df, features, "y", score, local_rows=20)) == whole
+        jobs[way] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(way))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    large = max(n[1] for n in whole if n[7] > 30 and not n[5])
+    assert large >= 5 and jobs["stage"] <= jobs["jobs"] - 3 * large
+
+
+@pytest.mark.parametrize("score", ["entropy", "gini"])
+def test_many_nodes_grown_at_once_as_one_by_one(score, monkeypatch):
+    import pandas as pd
+
+    from quarry.operators import subtrees
+
+    rnd = random.Random(8)
+    rows = pd.DataFrame([(rnd.choice(["rT", "rFF", "rFT"]), rnd.choice([None, "a", "b"]), rnd.choice([None, *range(30)]), rnd.choice("xyz")) for _ in range(500)],
+                        columns=["node", "f0", "f1", "y"])
+    calls, split = [], subtrees._best
+    monkeypatch.setattr(subtrees, "_best", lambda *a: calls.append(1) or split(*a))
+
+    def grown(limit):
+        monkeypatch.setattr(subtrees, "CLASSES", limit)
+        out = pd.concat(subtrees.grower(["f0", "f1"], [False, True], "y", score, 7)([rows[:200], rows[200:]]))
+        return sorted((r.node, r.depth, r.col or "", r.vnum or 0, r.vstr or "", r.is_leaf, r["keys"], r.counts, r.n) for _, r in out.iterrows())
+
+    at_once = grown(32)
+    assert not calls and len(at_once) > 100
+    assert at_once == grown(0) and len(calls) > 50
